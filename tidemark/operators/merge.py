@@ -8,6 +8,8 @@ the processing time written to ``updated_at``.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,11 +26,11 @@ def _fresh_or_stored(column: str) -> Column:
     return F.when(F.col("_last").isNotNull(), F.col(f"_last.{column}")).otherwise(F.col(column)).alias(column)
 
 
-def _touched_now(now: Column) -> Column:
-    return F.when(F.col("_last").isNotNull(), now).otherwise(F.col("updated_at")).alias("updated_at")
+def _touched_now(now: Column | datetime) -> Column:
+    return F.when(F.col("_last").isNotNull(), F.lit(now)).otherwise(F.col("updated_at")).alias("updated_at")
 
 
-def merge_users(stored: DataFrame, accepted: DataFrame, now: Column) -> DataFrame:
+def merge_users(stored: DataFrame, accepted: DataFrame, now: Column | datetime) -> DataFrame:
     """Last email and names win; ``created_at`` stays that of the first accepted message."""
     fresh = accepted.groupBy("user_id").agg(
         _last(["email", "first_name", "last_name"]), F.min_by("created_at", "seq").alias("_created_at")
@@ -41,7 +43,7 @@ def merge_users(stored: DataFrame, accepted: DataFrame, now: Column) -> DataFram
     )
 
 
-def merge_orders(stored: DataFrame, accepted: DataFrame, now: Column) -> DataFrame:
+def merge_orders(stored: DataFrame, accepted: DataFrame, now: Column | datetime) -> DataFrame:
     """Last user, amount and currency win; ``placed_at`` stays that of the first accepted message."""
     fresh = accepted.groupBy("order_id").agg(
         _last(["user_id", money(F.col("total_amount")).alias("total_amount"), "currency"]),
@@ -73,7 +75,7 @@ def replace_items(stored: DataFrame, accepted: DataFrame) -> DataFrame:
     return untouched.unionByName(exploded_items(last))
 
 
-def merge_payments(stored: DataFrame, accepted: DataFrame, now: Column) -> DataFrame:
+def merge_payments(stored: DataFrame, accepted: DataFrame, now: Column | datetime) -> DataFrame:
     """Every column follows the last accepted message."""
     columns = ["order_id", "amount", "currency", "payment_method", "status", "settled_at"]
     values = [money(F.col(c)).alias(c) if c == "amount" else F.col(c) for c in columns]
@@ -88,13 +90,13 @@ def with_delta(stock: DataFrame) -> DataFrame:
     return stock.withColumn("delta", signed_delta(F.col("quantity"), F.col("adjustment_type")))
 
 
-def merge_inventory(stored: DataFrame, accepted: DataFrame, now: Column) -> DataFrame:
+def merge_inventory(stored: DataFrame, accepted: DataFrame, now: Column | datetime) -> DataFrame:
     """Balances move by the sum of accepted deltas; every delivered message counts."""
     fresh = accepted.groupBy("sku").agg(F.sum("delta").alias("_moved"))
     return stored.join(fresh, "sku", "full_outer").select(
         "sku",
         (F.coalesce(F.col("quantity"), F.lit(0)) + F.coalesce(F.col("_moved"), F.lit(0))).cast("int").alias("quantity"),
-        F.when(F.col("_moved").isNotNull(), now).otherwise(F.col("updated_at")).alias("updated_at"),
+        F.when(F.col("_moved").isNotNull(), F.lit(now)).otherwise(F.col("updated_at")).alias("updated_at"),
     )
 
 

@@ -135,13 +135,22 @@ def parse_events(log: DataFrame) -> DataFrame:
     return decoded.select(*log.columns, outcome)
 
 
+def with_lane(parsed: DataFrame) -> DataFrame:
+    """Add ``lane``: the event type of decodable events, ``rejected`` for the rest (five values at most)."""
+    return parsed.withColumn("lane", F.when(F.col("error").isNull(), F.col("event_type")).otherwise(F.lit("rejected")))
+
+
 def route(parsed: DataFrame, event_type: str) -> DataFrame:
     """Decodable events of one type: ``seq``, ``event_id`` and the body fields, flattened."""
     body = S.BODY_COLUMNS[event_type]
     carried = [c for c in ("seq", "event_id") if c in parsed.columns]
-    return parsed.filter((F.col("event_type") == event_type) & F.col("error").isNull()).select(*carried, f"{body}.*")
+    if "lane" in parsed.columns:
+        mine = F.col("lane") == event_type
+    else:
+        mine = (F.col("event_type") == event_type) & F.col("error").isNull()
+    return parsed.filter(mine).select(*carried, f"{body}.*")
 
 
 def unroutable(parsed: DataFrame) -> DataFrame:
     """Messages that reached no handler, with their reason."""
-    return parsed.filter(F.col("error").isNotNull())
+    return parsed.filter(F.col("lane") == "rejected" if "lane" in parsed.columns else F.col("error").isNotNull())

@@ -77,7 +77,14 @@ def _guess_openings(summary: DataFrame) -> DataFrame:
         for moved in group["moved"].tolist():
             openings.append(balance)
             balance = min(max(balance + moved, S.INT_MIN), S.INT_MAX)
-        return pd.DataFrame({"sku": group["sku"], "slice": group["slice"], "first": group["opening"], "opening": openings})
+        return pd.DataFrame(
+            {
+                "sku": pd.Series([group["sku"].iloc[0]] * len(group), dtype=object),
+                "slice": group["slice"].to_numpy(),
+                "first": group["opening"].to_numpy(),
+                "opening": openings,
+            }
+        )
 
     return summary.groupBy("sku").applyInPandas(walk, "sku string, slice int, first bigint, opening bigint")
 
@@ -101,10 +108,10 @@ def refused_moves(moves: DataFrame, balances: DataFrame, rows_per_slice: int = R
 
     def closing(keys, group: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         if start.empty or group.empty:
-            return pd.DataFrame({"sku": [], "slice": [], "closing": []})
+            return pd.DataFrame({"sku": pd.Series([], dtype=object), "slice": [], "closing": []})
         deltas = group.sort_values(names)["delta"].to_numpy(dtype=np.int64)
         balance, _ = play(int(start["opening"].iloc[0]), deltas)
-        return pd.DataFrame({"sku": [keys[0]], "slice": [keys[1]], "closing": [balance]})
+        return pd.DataFrame({"sku": pd.Series([keys[0]], dtype=object), "slice": [keys[1]], "closing": [balance]})
 
     by_slice = ["sku", "slice"]
     state = cut_lineage(_guess_openings(summary).withColumns({"closing": F.lit(None).cast("bigint"), "todo": F.lit(True)}))

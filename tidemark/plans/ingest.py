@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from tidemark import schemas as S
 from tidemark.operators import constraints as C
 from tidemark.operators import merge as M
 from tidemark.operators.email_claims import refused_claims
-from tidemark.operators.parse import parse_events, route
+from tidemark.operators.parse import parse_events, route, unroutable, with_lane
 from tidemark.operators.stock import refused_moves
+from tidemark.session import staged
 
 _NO_USER = "failed to upsert order: FOREIGN KEY conflict in column user_id"
 _NO_ORDER = "failed to upsert payment: FOREIGN KEY conflict in column order_id"
@@ -34,6 +36,14 @@ def _rejects(df: DataFrame, error: Column | str = "error", cause: Column | str =
     return df.select("seq", error.alias("error"), cause.alias("error_class"))
 
 
+def _split(checked: DataFrame) -> Verdicts:
+    """Accepted and rejected rows of a judged table, which is written once for all its readers."""
+    checked = staged(checked)
+    return Verdicts(
+        checked.filter("error IS NULL").drop("error", "error_class"), _rejects(checked.filter("error IS NOT NULL"))
+    )
+
+
 def settle_users(users: DataFrame, stored_users: DataFrame) -> Verdicts:
     """Length limits, then email uniqueness in log order."""
     checked = C.user_errors(users)
@@ -56,8 +66,7 @@ def settle_orders(orders: DataFrame, accepted_users: DataFrame, stored_users: Da
             "error_class": F.coalesce("error_class", F.when(orphan, F.lit("foreign_key")), "item_error_class"),
         }
     )
-    extra = ("error", "error_class", "item_error", "item_error_class", "has_parent")
-    return Verdicts(checked.filter("error IS NULL").drop(*extra), _rejects(checked.filter("error IS NOT NULL")))
+    return _split(checked.drop("item_error", "item_error_class", "has_parent"))
 
 
 def settle_payments(payments: DataFrame, accepted_orders: DataFrame, stored_orders: DataFrame) -> Verdicts:
@@ -70,8 +79,7 @@ def settle_payments(payments: DataFrame, accepted_orders: DataFrame, stored_orde
             "error_class": F.coalesce("error_class", F.when(orphan, F.lit("foreign_key"))),
         }
     )
-    extra = ("error", "error_class", "has_parent")
-    return Verdicts(checked.filter("error IS NULL").drop(*extra), _rejects(checked.filter("error IS NOT NULL")))
+    return _split(checked.drop("has_parent"))
 
 
 def settle_stock(stock: DataFrame, stored_inventory: DataFrame, dedupe_event_id: bool = False) -> Verdicts:
@@ -99,7 +107,7 @@ class Settlement:
 
     def rejected(self) -> DataFrame:
         """Every failed message with ``event_id, event_type, value, error, error_class, counted``."""
-        undecoded = self.parsed.filter(F.col("error").isNotNull())
+        undecoded = unroutable(self.parsed)
         verdicts = self.users.rejected
         for other in (self.orders, self.payments, self.stock):
             verdicts = verdicts.unionByName(other.rejected)
@@ -107,7 +115,7 @@ class Settlement:
         bodies = list(S.BODY_COLUMNS.values())
         return undecoded.drop(*bodies).unionByName(refused.drop(*bodies))
 
-    def merged(self, stored: dict[str, DataFrame], now: Column) -> dict[str, DataFrame]:
+    def merged(self, stored: dict[str, DataFrame], now: Column | datetime) -> dict[str, DataFrame]:
         """New contents of the five tables."""
         return {
             "users": M.merge_users(stored["users"], self.users.accepted, now),
@@ -129,7 +137,8 @@ class Settlement:
 
 def settle(log: DataFrame, stored: dict[str, DataFrame], dedupe_event_id: bool = False) -> Settlement:
     """Decide every message of a log with columns ``value`` and ``seq`` against the stored tables."""
-    return settle_parsed(parse_events(log), stored, dedupe_event_id)
+    parsed = staged(with_lane(parse_events(log)), ("lane",))
+    return settle_parsed(parsed, stored, dedupe_event_id)
 
 
 def settle_parsed(parsed: DataFrame, stored: dict[str, DataFrame], dedupe_event_id: bool = False) -> Settlement:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,20 +26,35 @@ def local_session(cores: str | int = "*", app: str = "tidemark", **conf: str) ->
     return spark
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate results: the cluster's ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a folder of its own.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
-    else:
+        return configured
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from the written copy."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, partition_by: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet and read it back, so that several consumers share the work.
+
+    Unlike a checkpoint the copy is columnar: each consumer reads its own columns and partitions.
+    """
+    spark = df.sparkSession
+    path = path or f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
