@@ -112,23 +112,22 @@ def running_total(
     )
 
 
-def positions(df: DataFrame, order: list[str], out: str, slices: list[str]) -> DataFrame:
+def positions(df: DataFrame, order: list[str], out: str, slices: list[str], total: str | None = None) -> DataFrame:
     """Add ``out``: the 0-based position of each row in the total order given by ``order``.
 
-    ``slices`` are columns (or leading expressions already added to ``df``) that cut the order into
-    consecutive runs. Rows are numbered inside their run; run sizes, one row per run, supply the offset.
+    ``slices`` are columns of ``df`` that cut the order into consecutive runs. Rows are numbered inside
+    their run; run sizes, one row per run, supply the offset and, if asked for, the ``total``.
     """
     within = Window.partitionBy(*slices).orderBy(*order)
     earlier = Window.orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        df.groupBy(*slices)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .drop("_n")
-    )
+    everything = Window.orderBy(*slices).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    starts = df.groupBy(*slices).agg(F.count(F.lit(1)).alias("_n"))
+    starts = starts.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    if total:
+        starts = starts.withColumn(total, F.sum("_n").over(everything))
     return (
         df.withColumn("_rank", F.row_number().over(within))
-        .join(starts, slices)
+        .join(starts.drop("_n"), slices)
         .withColumn(out, F.col("_start") + F.col("_rank") - 1)
         .drop("_rank", "_start")
     )
