@@ -36,9 +36,9 @@ def _rejects(df: DataFrame, error: Column | str = "error", cause: Column | str =
     return df.select("seq", error.alias("error"), cause.alias("error_class"))
 
 
-def _split(checked: DataFrame) -> Verdicts:
+def _split(checked: DataFrame, path: str | None) -> Verdicts:
     """Accepted and rejected rows of a judged table, which is written once for all its readers."""
-    checked = staged(checked)
+    checked = staged(checked, path=path)
     return Verdicts(
         checked.filter("error IS NULL").drop("error", "error_class"), _rejects(checked.filter("error IS NOT NULL"))
     )
@@ -55,7 +55,9 @@ def settle_users(users: DataFrame, stored_users: DataFrame) -> Verdicts:
     return Verdicts(sound.join(refused, "seq", "left_anti"), rejected)
 
 
-def settle_orders(orders: DataFrame, accepted_users: DataFrame, stored_users: DataFrame) -> Verdicts:
+def settle_orders(
+    orders: DataFrame, accepted_users: DataFrame, stored_users: DataFrame, path: str | None = None
+) -> Verdicts:
     """Row limits, then the user must exist, then every item must be sound; all or nothing."""
     checked = C.item_errors(C.order_errors(orders))
     checked = C.parent_exists(checked, accepted_users, stored_users, "user_id")
@@ -66,10 +68,12 @@ def settle_orders(orders: DataFrame, accepted_users: DataFrame, stored_users: Da
             "error_class": F.coalesce("error_class", F.when(orphan, F.lit("foreign_key")), "item_error_class"),
         }
     )
-    return _split(checked.drop("item_error", "item_error_class", "has_parent"))
+    return _split(checked.drop("item_error", "item_error_class", "has_parent"), path)
 
 
-def settle_payments(payments: DataFrame, accepted_orders: DataFrame, stored_orders: DataFrame) -> Verdicts:
+def settle_payments(
+    payments: DataFrame, accepted_orders: DataFrame, stored_orders: DataFrame, path: str | None = None
+) -> Verdicts:
     """Row limits, then the order must exist."""
     checked = C.parent_exists(C.payment_errors(payments), accepted_orders, stored_orders, "order_id")
     orphan = ~F.col("has_parent")
@@ -79,7 +83,7 @@ def settle_payments(payments: DataFrame, accepted_orders: DataFrame, stored_orde
             "error_class": F.coalesce("error_class", F.when(orphan, F.lit("foreign_key"))),
         }
     )
-    return _split(checked.drop("has_parent"))
+    return _split(checked.drop("has_parent"), path)
 
 
 def settle_stock(stock: DataFrame, stored_inventory: DataFrame, dedupe_event_id: bool = False) -> Verdicts:
@@ -141,9 +145,13 @@ def settle(log: DataFrame, stored: dict[str, DataFrame], dedupe_event_id: bool =
     return settle_parsed(parsed, stored, dedupe_event_id)
 
 
-def settle_parsed(parsed: DataFrame, stored: dict[str, DataFrame], dedupe_event_id: bool = False) -> Settlement:
+def settle_parsed(
+    parsed: DataFrame, stored: dict[str, DataFrame], dedupe_event_id: bool = False, work: str | None = None
+) -> Settlement:
+    """Decide parsed messages; ``work`` is a folder whose previous intermediate tables are replaced."""
+    orders_path, payments_path = (f"{work}/orders", f"{work}/payments") if work else (None, None)
     users = settle_users(route(parsed, S.USER_CREATED), stored["users"])
-    orders = settle_orders(route(parsed, S.ORDER_PLACED), users.accepted, stored["users"])
-    payments = settle_payments(route(parsed, S.PAYMENT_SETTLED), orders.accepted, stored["orders"])
+    orders = settle_orders(route(parsed, S.ORDER_PLACED), users.accepted, stored["users"], orders_path)
+    payments = settle_payments(route(parsed, S.PAYMENT_SETTLED), orders.accepted, stored["orders"], payments_path)
     stock = settle_stock(route(parsed, S.INVENTORY_ADJUSTED), stored["inventory"], dedupe_event_id)
     return Settlement(parsed, users, orders, payments, stock)
