@@ -53,7 +53,7 @@ def latency_histogram(durations: DataFrame, by: list[str], duration: str = "dura
         *counts, F.count(duration).alias("observations"), F.sum(duration).alias("total_seconds")
     )
     buckets = F.array(
-        *[F.struct(F.lit(str(b)).alias("le"), F.col(f"_b{i}").alias("bucket_count")) for i, b in enumerate(BUCKETS)],
+        *[F.struct(F.lit(f"{b:g}").alias("le"), F.col(f"_b{i}").alias("bucket_count")) for i, b in enumerate(BUCKETS)],
         F.struct(F.lit(UNBOUNDED).alias("le"), F.col("observations").alias("bucket_count")),
     )
     return wide.select(*by, F.inline(buckets), "total_seconds", "observations")

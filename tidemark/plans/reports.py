@@ -76,8 +76,8 @@ def recent_rows(df: DataFrame, time: str, key: str, n: int = 5) -> DataFrame:
 
 
 def first_items(items: DataFrame, n: int = 10) -> DataFrame:
-    """Ten order items; by order and position so that the choice is stable."""
-    return items.orderBy("order_id", "pos").limit(n)
+    """A few order items; ordered by all columns so that the choice is stable."""
+    return items.orderBy("order_id", "pos", "sku", "quantity", "price").limit(n)
 
 
 def orders_with_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
