@@ -2,10 +2,11 @@
 
 ``from_json`` alone is more lenient than the wire contract: it ignores text after the object, reads
 numbers into string fields and accepts quotes other than ``"``. :func:`framed_parse` closes those
-gaps in a single pass. The message is placed between two entries of a map whose keys are its own
-digest; the parse is accepted only if exactly those two keys come back, so anything that ends the
-object early or adds to it changes the key list. Fields arrive as VARIANT, which keeps the JSON type
-of each value for the checks in :func:`decode`.
+gaps in a single pass. The message becomes the first entry of a map whose second entry carries the
+message's own digest; the parse is accepted only if exactly these two entries come back, so anything
+that ends the object early or adds to it shows. Read as VARIANT, fields keep the JSON type of each
+value for the checks in :func:`decode`; read as plain types they are several times cheaper, and
+:func:`may_hold_unquoted` tells when that reading could hide a wrong type.
 
 Every function takes and returns SQL expression text, so a whole message costs one parse call.
 """
@@ -20,6 +21,9 @@ RFC3339 = (
     r"(Z|[+-]([01]\d|2[0-3]):[0-5]\d)$"
 )
 
+#: Field of the closing entry that holds the digest; any string field of the message type will do.
+DIGEST_FIELD = "eventId"
+
 
 def fold_keys(text: str, names: Iterable[str]) -> str:
     """Rewrite known keys that differ only in letter case; other messages pass through untouched."""
@@ -31,17 +35,23 @@ def fold_keys(text: str, names: Iterable[str]) -> str:
     return f"""if({text} RLIKE r'(?<!\\\\)"(?!(?:{exact})")(?i:{exact})"\\s*:', {folded}, {text})"""
 
 
-def framed_parse(text: str, digest: str, names: Iterable[str]) -> str:
-    """Map of the message (under ``digest``) and an empty closing entry, fields as VARIANT."""
-    fields = ", ".join(f"{name} VARIANT" for name in names)
-    framed = f"""concat('{{"', {digest}, '":', {text}, ',"', {digest}, '.":{{}}}}')"""
+def framed_parse(text: str, digest: str, fields: dict[str, str]) -> str:
+    """Two-entry map of the message and the closing entry; ``fields`` gives the SQL type of each field.
+
+    The digest travels as a value: JSON readers keep every distinct key they meet in a symbol table.
+    """
+    spec = ", ".join(f"{name} {sql_type}" for name, sql_type in fields.items())
+    framed = f"""concat('{{"message":', {text}, ',"end":{{"{DIGEST_FIELD}":"', {digest}, '"}}}}')"""
     options = "map('mode', 'PERMISSIVE', 'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
-    return f"from_json({framed}, 'MAP<STRING, STRUCT<{fields}>>', {options})"
+    return f"from_json({framed}, 'MAP<STRING, STRUCT<{spec}>>', {options})"
 
 
-def framed_is_intact(parsed: str, digest: str) -> str:
-    """True when the text between the frames was one JSON object or null and nothing else."""
-    return f"coalesce(map_keys({parsed}) = array({digest}, concat({digest}, '.')), false)"
+def framed_is_intact(parsed: str, digest: str, as_variant: bool = False) -> str:
+    """True when the text inside the frame was one JSON object or null and nothing else."""
+    found = f"map_values({parsed})[1].{DIGEST_FIELD}"
+    if as_variant:
+        found = f"try_variant_get({found}, '$', 'string')"
+    return f"coalesce(map_keys({parsed}) = array('message', 'end') AND {found} = {digest}, false)"
 
 
 def decode(value: str, kind: str) -> str:
@@ -57,11 +67,20 @@ def decode(value: str, kind: str) -> str:
             f"AND abs({number}) < double('Infinity'), {number}, NULL)"
         )
     if kind == "time":
-        text = decode(value, "string")
-        return f"if({text} RLIKE r'{RFC3339}', try_to_timestamp({text}), NULL)"
+        return time_value(decode(value, "string"))
     raise ValueError(f"unknown kind {kind!r}")
 
 
 def is_wrong(value: str, decoded: str) -> str:
     """True when a field is present, not null, and of the wrong JSON type."""
     return f"coalesce(schema_of_variant({value}) <> 'VOID' AND {decoded} IS NULL, false)"
+
+
+def may_hold_unquoted(text: str, unquoted: Iterable[str]) -> str:
+    """True if a key other than ``unquoted`` may be followed by something other than a string."""
+    return rf"""{text} RLIKE r'"(?=\s*:\s*[^"\s])(?<!"(?:{"|".join(unquoted)})")'"""
+
+
+def time_value(text: str) -> str:
+    """Timestamp of an RFC 3339 text, null for any other text."""
+    return f"if({text} RLIKE r'{RFC3339}', try_to_timestamp({text}), NULL)"

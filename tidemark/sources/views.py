@@ -22,6 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table that is too small to be split by its files.
+
+    Building and parsing messages is work for the processor; a table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").selectExpr(
         "string(c_custkey) AS user_id",
@@ -109,7 +118,7 @@ def _with_topic_columns(messages: DataFrame) -> DataFrame:
 
 
 def user_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = table(spark, sf_dir, "customer").selectExpr(
+    base = _spread(table(spark, sf_dir, "customer")).selectExpr(
         "*", f"{USER_FAULT} AS fault", f"explode({USER_VERSIONS}) AS version"
     )
     events = base.selectExpr(
@@ -130,7 +139,7 @@ def user_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = table(spark, sf_dir, "orders").selectExpr(
+    base = _spread(table(spark, sf_dir, "orders")).selectExpr(
         "*", f"{ORDER_FAULT} AS fault", f"explode({ORDER_VERSIONS}) AS version"
     )
     item = """named_struct('sku', concat('SKU-', (o_custkey * 7 + i) % 500), 'quantity', bigint(i),
@@ -155,7 +164,7 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").selectExpr(
+    base = _spread(table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")).selectExpr(
         "*", f"{PAYMENT_FAULT} AS fault", f"explode({PAYMENT_VERSIONS}) AS version"
     )
     events = base.selectExpr(
@@ -177,7 +186,7 @@ def payment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stock_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines have no key of their own; a digest of the whole row gives each message its place."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = _spread(table(spark, sf_dir, "lineitem"))
     digest = f"xxhash64({', '.join(lines.columns)})"
     events = lines.selectExpr(
         f"{4 * _PHASE} + pmod({digest}, 9000000000000000000) AS seq",
