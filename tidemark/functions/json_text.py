@@ -29,10 +29,11 @@ def fold_keys(text: str, names: Iterable[str]) -> str:
     """Rewrite known keys that differ only in letter case; other messages pass through untouched."""
     names = list(names)
     exact = "|".join(names)
-    folded = text
-    for name in names:
-        folded = f"""regexp_replace({folded}, r'(?<!\\\\)"(?i:{name})"(\\s*:)', '"{name}"$1')"""
-    return f"""if({text} RLIKE r'(?<!\\\\)"(?!(?:{exact})")(?i:{exact})"\\s*:', {folded}, {text})"""
+    listed = ", ".join(f"'{name}'" for name in names)
+    # One fold over the names: written out, the replacements would make a method too long to compile.
+    folded = rf"""aggregate(array({listed}), {text}, (t, n) ->
+        regexp_replace(t, concat(r'(?<!\\)"(?i:', n, r')"(\s*:)'), concat('"', n, r'"$1')))"""
+    return rf"""if({text} RLIKE r'(?<!\\)"(?!(?:{exact})")(?i:{exact})"\s*:', {folded}, {text})"""
 
 
 def framed_parse(text: str, digest: str, fields: dict[str, str]) -> str:

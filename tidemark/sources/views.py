@@ -201,14 +201,28 @@ def stock_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_topic_columns(_messages(events, S.INVENTORY_ADJUSTED, 3))
 
 
+def _joined(*logs: DataFrame) -> DataFrame:
+    """One log of several. The partitions stay as they are; the coalesce above the union only keeps
+    the optimizer from copying the whole parse into every branch."""
+    union = logs[0]
+    for log in logs[1:]:
+        union = union.unionByName(log)
+    return union.coalesce(_NO_LIMIT)
+
+
+_NO_LIMIT = 1_000_000
+
+
 def document_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User, order and payment messages."""
-    return user_log(spark, sf_dir).unionByName(order_log(spark, sf_dir)).unionByName(payment_log(spark, sf_dir))
+    return _joined(user_log(spark, sf_dir), order_log(spark, sf_dir), payment_log(spark, sf_dir))
 
 
 def topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four kinds of messages."""
-    return document_log(spark, sf_dir).unionByName(stock_log(spark, sf_dir))
+    return _joined(
+        user_log(spark, sf_dir), order_log(spark, sf_dir), payment_log(spark, sf_dir), stock_log(spark, sf_dir)
+    )
 
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
