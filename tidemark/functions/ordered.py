@@ -58,12 +58,23 @@ def _ordering(order: list[str], descending: bool) -> list[Column]:
 
 
 def last_before(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, slice_col: str, descending: bool = False
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: Column,
+    out: str,
+    slice_col: str | None,
+    descending: bool = False,
 ) -> DataFrame:
     """Add ``out``: the nearest non-null ``value`` strictly before each row of its key.
 
-    With ``descending`` the scan runs the other way and finds the nearest value after the row.
+    With ``descending`` the scan runs the other way and finds the nearest value after the row. Without
+    ``slice_col`` the whole table must fit one slice, and a plain window does.
     """
+    if slice_col is None:
+        before = Window.partitionBy(*keys).orderBy(*_ordering(order, descending))
+        before = before.rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(before))
     df = df.withColumn("_value", value)
     before = (
         Window.partitionBy(*keys, slice_col)

@@ -55,14 +55,14 @@ def _contest(claims: DataFrame, holders: DataFrame, contested: DataFrame) -> Dat
     return held.unionByName(messages)
 
 
-def _judge(events: DataFrame) -> DataFrame:
+def _judge(events: DataFrame, cut: str | None) -> DataFrame:
     """One round: the outcome of every message given the current outcomes of the earlier ones."""
     order = ["gen", "seq"]
-    moved = last_before(events, ["user_id"], order, F.when(F.col("ok"), F.col("email")), "_prior_email", "slice")
+    moved = last_before(events, ["user_id"], order, F.when(F.col("ok"), F.col("email")), "_prior_email", cut)
     is_move = F.col("ok") & F.col("_prior_email").isNotNull() & (F.col("_prior_email") != F.col("email"))
-    left = last_before(moved, ["user_id"], order, F.when(is_move, F.col("seq")), "_left_at", "slice", descending=True)
+    left = last_before(moved, ["user_id"], order, F.when(is_move, F.col("seq")), "_left_at", cut, descending=True)
     claim = F.when(F.col("ok"), F.struct(F.col("user_id").alias("holder"), F.col("_left_at").alias("left_at")))
-    seen = last_before(left, ["email"], order, claim, "_last", "slice")
+    seen = last_before(left, ["email"], order, claim, "_last", cut)
     free = (
         F.col("_last").isNull()
         | (F.col("_last.holder") == F.col("user_id"))
@@ -82,7 +82,8 @@ def refused_claims(claims: DataFrame, holders: DataFrame, rows_per_slice: int =
         return claims.select("seq").limit(0)
     events = cut_lineage(_contest(claims, holders, contested))
     lead = lead_number(events, "seq")
-    events = events.withColumn("slice", slice_index(lead, slice_bounds(events, lead, rows_per_slice)))
+    cuts = slice_bounds(events, lead, rows_per_slice)
+    events = events.withColumn("slice", slice_index(lead, cuts))
 
     # First guess: the first claimant keeps the address for good.
     first = events.filter(~F.col("sure") | (F.col("gen") == 0)).groupBy("email").agg(
@@ -93,7 +94,7 @@ def refused_claims(claims: DataFrame, holders: DataFrame, rows_per_slice: int =
     )
     state = state.drop("_first_user")
     while True:
-        judged = cut_lineage(_judge(state))
+        judged = cut_lineage(_judge(state, "slice" if cuts else None))
         if judged.filter("ok <> next_ok").isEmpty():
             return judged.filter("gen = 1 AND NOT ok").select("seq")
         state = judged.drop("ok").withColumnRenamed("next_ok", "ok")

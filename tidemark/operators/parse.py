@@ -186,7 +186,10 @@ def parse_events(log: DataFrame) -> DataFrame:
 
 
 def with_lane(parsed: DataFrame) -> DataFrame:
-    """Add ``lane``: the event type of decodable events, ``rejected`` for the rest (five values at most)."""
+    """Add ``lane``: the event type of decodable events, ``rejected`` for the rest.
+
+    In a columnar copy each lane then reads its own body columns; those of other lanes are all null.
+    """
     return parsed.withColumn("lane", F.when(F.col("error").isNull(), F.col("event_type")).otherwise(F.lit("rejected")))
 
 

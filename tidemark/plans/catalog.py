@@ -150,7 +150,7 @@ def parse_route_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def constraint_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """Messages that break a length, decimal or integer limit by themselves, per limit."""
-    parsed = staged(with_lane(parse_events(V.topic_log(spark, sf))), ("lane",))
+    parsed = staged(with_lane(parse_events(V.topic_log(spark, sf))))
     users = C.user_errors(route(parsed, S.USER_CREATED))
     orders = C.item_errors(C.order_errors(route(parsed, S.ORDER_PLACED)))
     orders = orders.withColumns(

@@ -141,7 +141,7 @@ class Settlement:
 
 def settle(log: DataFrame, stored: dict[str, DataFrame], dedupe_event_id: bool = False) -> Settlement:
     """Decide every message of a log with columns ``value`` and ``seq`` against the stored tables."""
-    parsed = staged(with_lane(parse_events(log)), ("lane",))
+    parsed = staged(with_lane(parse_events(log)))
     return settle_parsed(parsed, stored, dedupe_event_id)
 
 

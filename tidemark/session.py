@@ -50,12 +50,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def staged(df: DataFrame, partition_by: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
+def staged(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and read it back, so that several consumers share the work.
 
-    Unlike a checkpoint the copy is columnar: each consumer reads its own columns and partitions.
+    Unlike a checkpoint the copy is columnar: each consumer reads its own columns.
     """
     spark = df.sparkSession
     path = path or f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

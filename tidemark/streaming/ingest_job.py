@@ -29,7 +29,7 @@ def apply_batch(
         return False
     now = now or datetime.now(timezone.utc)
     work = f"{tables.root}/work"
-    parsed = staged(with_lane(parse_events(with_seq(log))), ("lane",), f"{work}/parsed")
+    parsed = staged(with_lane(parse_events(with_seq(log))), f"{work}/parsed")
     outcome = settle_parsed(parsed, tables.read_all(), dedupe_event_id, work)
 
     accepted = {
