@@ -60,8 +60,8 @@ def test_publish_round_trip(spark):
         events = route(parsed, event_type).withColumn("event_time", F.lit(T0))
         sent = P.to_messages(events, event_type)
         assert sent.first()["key"] == key
-        again = route(parse_events(sent), event_type)
-        assert again.collect() == route(parsed, event_type).collect()
+        again = route(parse_events(sent), event_type).drop("value")
+        assert again.collect() == route(parsed, event_type).drop("value").collect()
         wire = json.loads(sent.first()["value"])
         original = next(m for m in messages if m["eventType"] == event_type)
         assert set(wire) == set(original)

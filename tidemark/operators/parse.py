@@ -193,10 +193,14 @@ def with_lane(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("lane", F.when(F.col("error").isNull(), F.col("event_type")).otherwise(F.lit("rejected")))
 
 
+#: Columns of the message itself that stay with a routed event, for the dead-letter table.
+MESSAGE_COLUMNS = ("seq", "partition", "offset", "event_id", "value")
+
+
 def route(parsed: DataFrame, event_type: str) -> DataFrame:
-    """Decodable events of one type: ``seq``, ``event_id`` and the body fields, flattened."""
+    """Decodable events of one type: the message's own columns and the body fields, flattened."""
     body = S.BODY_COLUMNS[event_type]
-    carried = [c for c in ("seq", "event_id") if c in parsed.columns]
+    carried = [c for c in MESSAGE_COLUMNS if c in parsed.columns]
     if "lane" in parsed.columns:
         mine = F.col("lane") == event_type
     else:

@@ -36,7 +36,7 @@ def to_messages(events: DataFrame, event_type: str) -> DataFrame:
         *[F.col(col).alias(name) for name, col, _ in body],
     ]
     key_column = next(col for name, col, _ in body if name == S.PARTITION_KEYS[event_type])
-    own = {"event_id", "event_time", *[col for _, col, _ in body]}
+    own = {"event_id", "event_time", "key", "value", *[col for _, col, _ in body]}
     carried = [c for c in events.columns if c not in own]
     value = F.to_json(F.struct(*wire), {"timestampFormat": _TIME_FORMAT})
     return events.select(*carried, F.col(key_column).alias("key"), value.alias("value"))

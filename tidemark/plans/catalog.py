@@ -183,7 +183,7 @@ def email_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     parsed = staged(parse_events(V.user_log(spark, sf)))
     users = route(parsed, S.USER_CREATED)
     refused = I.settle_users(users, spark.createDataFrame([], S.USERS)).rejected.filter("error_class = 'unique'")
-    return users.join(refused, "seq").select("event_id", "user_id", "email")
+    return users.join(refused.select("seq"), "seq").select("event_id", "user_id", "email")
 
 
 def upsert_users(spark: SparkSession, sf: str) -> DataFrame:

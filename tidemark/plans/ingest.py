@@ -12,7 +12,7 @@ from tidemark import schemas as S
 from tidemark.operators import constraints as C
 from tidemark.operators import merge as M
 from tidemark.operators.email_claims import refused_claims
-from tidemark.operators.parse import parse_events, route, unroutable, with_lane
+from tidemark.operators.parse import MESSAGE_COLUMNS, parse_events, route, unroutable, with_lane
 from tidemark.operators.stock import refused_moves
 from tidemark.session import staged
 
@@ -24,16 +24,16 @@ _BALANCE = f"failed to upsert inventory: {C.OUT_OF_RANGE}quantity"
 
 @dataclass(frozen=True)
 class Verdicts:
-    """Accepted and rejected events of one entity; ``rejected`` has ``seq, error, error_class``."""
+    """Accepted and rejected events of one entity; rejected ones keep their message and the reason."""
 
     accepted: DataFrame
     rejected: DataFrame
 
 
-def _rejects(df: DataFrame, error: Column | str = "error", cause: Column | str = "error_class") -> DataFrame:
-    error = F.col(error) if isinstance(error, str) else error
-    cause = F.col(cause) if isinstance(cause, str) else cause
-    return df.select("seq", error.alias("error"), cause.alias("error_class"))
+def _rejects(df: DataFrame, error: Column | None = None, cause: Column | None = None) -> DataFrame:
+    if error is not None:
+        df = df.withColumns({"error": error, "error_class": cause})
+    return df.select(*[c for c in MESSAGE_COLUMNS if c in df.columns], "error", "error_class")
 
 
 def _split(checked: DataFrame, path: str | None) -> Verdicts:
@@ -50,7 +50,7 @@ def settle_users(users: DataFrame, stored_users: DataFrame) -> Verdicts:
     sound = checked.filter("error IS NULL").drop("error", "error_class")
     refused = refused_claims(sound.select("seq", "user_id", "email"), stored_users.select("user_id", "email"))
     rejected = _rejects(checked.filter("error IS NOT NULL")).unionByName(
-        _rejects(refused, F.lit(_EMAIL_TAKEN), F.lit("unique"))
+        _rejects(sound.join(refused, "seq", "left_semi"), F.lit(_EMAIL_TAKEN), F.lit("unique"))
     )
     return Verdicts(sound.join(refused, "seq", "left_anti"), rejected)
 
@@ -94,7 +94,7 @@ def settle_stock(stock: DataFrame, stored_inventory: DataFrame, dedupe_event_id:
     sound = checked.filter("error IS NULL").drop("error", "error_class")
     refused = refused_moves(sound.select("seq", "sku", "delta"), stored_inventory.select("sku", "quantity"))
     rejected = _rejects(checked.filter("error IS NOT NULL")).unionByName(
-        _rejects(refused, F.lit(_BALANCE), F.lit("numeric"))
+        _rejects(sound.join(refused, "seq", "left_semi"), F.lit(_BALANCE), F.lit("numeric"))
     )
     return Verdicts(sound.join(refused, "seq", "left_anti"), rejected)
 
@@ -110,14 +110,22 @@ class Settlement:
     stock: Verdicts
 
     def rejected(self) -> DataFrame:
-        """Every failed message with ``event_id, event_type, value, error, error_class, counted``."""
-        undecoded = unroutable(self.parsed)
-        verdicts = self.users.rejected
-        for other in (self.orders, self.payments, self.stock):
-            verdicts = verdicts.unionByName(other.rejected)
-        refused = self.parsed.drop("error", "error_class").join(verdicts, "seq")
-        bodies = list(S.BODY_COLUMNS.values())
-        return undecoded.drop(*bodies).unionByName(refused.drop(*bodies))
+        """Every failed message with ``event_id, event_type, value, error, error_class, counted``.
+
+        The message text travels with the events that are judged, so nothing is joined back to the log.
+        """
+        failed = unroutable(self.parsed)
+        failed = failed.select(
+            *[c for c in MESSAGE_COLUMNS if c in failed.columns], "error", "error_class", "event_type", "counted"
+        )
+        for event_type, verdict in self._by_type():
+            failed = failed.unionByName(
+                verdict.rejected.withColumns({"event_type": F.lit(event_type), "counted": F.lit(True)})
+            )
+        return failed
+
+    def _by_type(self) -> list[tuple[str, Verdicts]]:
+        return list(zip(S.EVENT_TYPES, (self.users, self.orders, self.payments, self.stock)))
 
     def merged(self, stored: dict[str, DataFrame], now: Column | datetime) -> dict[str, DataFrame]:
         """New contents of the five tables."""
@@ -133,7 +141,7 @@ class Settlement:
         """``event_type, status`` of every message that reached routing (one row per message)."""
         failed = self.rejected().filter("counted").select("event_type", F.lit("error").alias("status"))
         done = None
-        for event_type, verdict in zip(S.EVENT_TYPES, (self.users, self.orders, self.payments, self.stock)):
+        for event_type, verdict in self._by_type():
             part = verdict.accepted.select(F.lit(event_type).alias("event_type"), F.lit("success").alias("status"))
             done = part if done is None else done.unionByName(part)
         return done.unionByName(failed)

@@ -48,8 +48,7 @@ def apply_batch(
         if buckets:
             tables.write_version(name, merged[name], batch_id)
 
-    rejected = outcome.rejected().withColumns({"partition": F.col("seq.partition"), "offset": F.col("seq.offset")})
-    tables.append("dead_letters", to_dead_letters(rejected, batch_id, now), batch_id)
+    tables.append("dead_letters", to_dead_letters(outcome.rejected(), batch_id, now), batch_id)
     tables.append("outcomes", processed_total(outcome.outcomes()).coalesce(1), batch_id)
     tables.commit(batch_id, touched)
     return True
