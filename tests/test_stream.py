@@ -102,6 +102,15 @@ def test_replay_twice_keeps_tables_but_moves_stock(spark, tmp_path):
     assert tables.read("inventory").first()["quantity"] == 10
 
 
+def test_duplicate_suppression_reaches_earlier_batches(spark, tmp_path):
+    tables = EntityTables(spark, str(tmp_path / "t"), buckets=2)
+    first = [stock("s", 5, eventId="a"), stock("s", 5, eventId="a"), stock("s", 1, eventId="b")]
+    apply_batch(tables, spark.createDataFrame(topic_rows(first), S.TOPIC), 0, NOW, dedupe_event_id=True)
+    second = [stock("s", 5, eventId="a"), stock("s", 2, eventId="c")]
+    apply_batch(tables, spark.createDataFrame(topic_rows(second, 3), S.TOPIC), 1, NOW, dedupe_event_id=True)
+    assert tables.read("inventory").first()["quantity"] == 8
+
+
 def test_uncommitted_batch_is_invisible(spark, tmp_path):
     tables = EntityTables(spark, str(tmp_path / "t"), buckets=2)
     apply_batch(tables, spark.createDataFrame(topic_rows([user("u")]), S.TOPIC), 0, NOW)

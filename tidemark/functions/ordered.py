@@ -103,9 +103,12 @@ def last_before(
 
 
 def running_total(
-    df: DataFrame, keys: list[str], order: list[str], amount: Column, out: str, slice_col: str
+    df: DataFrame, keys: list[str], order: list[str], amount: Column, out: str, slice_col: str, total: str | None = None
 ) -> DataFrame:
-    """Add ``out``: the sum of ``amount`` over the key up to and including each row."""
+    """Add ``out``: the sum of ``amount`` over the key up to and including each row.
+
+    With ``total`` the sum over the whole key is added too, from the same slice summary.
+    """
     df = df.withColumn("_amount", amount)
     upto = Window.partitionBy(*keys, slice_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     across = Window.partitionBy(*keys).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
@@ -113,8 +116,13 @@ def running_total(
         df.groupBy(*keys, slice_col)
         .agg(F.sum("_amount").alias("_sum"))
         .withColumn("_carried", F.coalesce(F.sum("_sum").over(across), F.lit(0)))
-        .drop("_sum")
     )
+    if total:
+        whole = Window.partitionBy(*keys).orderBy(slice_col).rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing
+        )
+        carried = carried.withColumn(total, F.sum("_sum").over(whole))
+    carried = carried.drop("_sum")
     return (
         df.withColumn("_near", F.sum("_amount").over(upto))
         .join(carried, [*keys, slice_col])

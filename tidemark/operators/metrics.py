@@ -93,11 +93,9 @@ def exact_quantiles(
         durations.filter(F.col(duration).isNotNull())
         .groupBy(*by, F.col(duration).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_slice", F.floor(F.col("_v") / F.lit(slice_width)))
+        .withColumn("_slice", F.coalesce(F.floor(F.col("_v") / F.lit(slice_width)), F.lit(0)))
     )
-    ranked = running_total(counted, by, ["_v"], F.col("_n"), "_upto", "_slice")
-    sizes = counted.groupBy(*by).agg(F.sum("_n").alias("_size"))
-    ranked = ranked.join(sizes, by)
+    ranked = running_total(counted, by, ["_v"], F.col("_n"), "_upto", "_slice", total="_size")
 
     def value_at(rank: Column) -> Column:
         return F.min(F.when(F.col("_upto") > rank, F.col("_v"))).cast("double")

@@ -86,10 +86,18 @@ def settle_payments(
     return _split(checked.drop("has_parent"), path)
 
 
-def settle_stock(stock: DataFrame, stored_inventory: DataFrame, dedupe_event_id: bool = False) -> Verdicts:
-    """Row limits, then the running balance must stay in range."""
+def settle_stock(
+    stock: DataFrame, stored_inventory: DataFrame, dedupe_event_id: bool = False, seen: DataFrame | None = None
+) -> Verdicts:
+    """Row limits, then the running balance must stay in range.
+
+    With ``dedupe_event_id`` only the first delivery of an event id counts; ``seen`` holds the ids of
+    earlier batches.
+    """
     if dedupe_event_id:
         stock = M.first_deliveries(stock)
+        if seen is not None:
+            stock = stock.join(seen.select("event_id"), "event_id", "left_anti")
     checked = C.stock_errors(M.with_delta(stock))
     sound = checked.filter("error IS NULL").drop("error", "error_class")
     refused = refused_moves(sound.select("seq", "sku", "delta"), stored_inventory.select("sku", "quantity"))
@@ -154,12 +162,16 @@ def settle(log: DataFrame, stored: dict[str, DataFrame], dedupe_event_id: bool =
 
 
 def settle_parsed(
-    parsed: DataFrame, stored: dict[str, DataFrame], dedupe_event_id: bool = False, work: str | None = None
+    parsed: DataFrame,
+    stored: dict[str, DataFrame],
+    dedupe_event_id: bool = False,
+    work: str | None = None,
+    seen: DataFrame | None = None,
 ) -> Settlement:
     """Decide parsed messages; ``work`` is a folder whose previous intermediate tables are replaced."""
     orders_path, payments_path = (f"{work}/orders", f"{work}/payments") if work else (None, None)
     users = settle_users(route(parsed, S.USER_CREATED), stored["users"])
     orders = settle_orders(route(parsed, S.ORDER_PLACED), users.accepted, stored["users"], orders_path)
     payments = settle_payments(route(parsed, S.PAYMENT_SETTLED), orders.accepted, stored["orders"], payments_path)
-    stock = settle_stock(route(parsed, S.INVENTORY_ADJUSTED), stored["inventory"], dedupe_event_id)
+    stock = settle_stock(route(parsed, S.INVENTORY_ADJUSTED), stored["inventory"], dedupe_event_id, seen)
     return Settlement(parsed, users, orders, payments, stock)

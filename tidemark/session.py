@@ -30,23 +30,26 @@ def local_session(cores: str | int = "*", app: str = "tidemark", **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate results: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Without that setting a checkpoint folder chosen by the application serves as well, and a local
+    session gets a folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from the written copy."""
     sc = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

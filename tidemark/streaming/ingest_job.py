@@ -11,12 +11,15 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schemas as S
 from tidemark.operators.dead_letters import to_dead_letters
 from tidemark.operators.metrics import processed_total
-from tidemark.operators.parse import parse_events, with_lane
+from tidemark.operators.parse import parse_events, route, with_lane
 from tidemark.plans.ingest import settle_parsed
 from tidemark.session import staged
 from tidemark.sources.topic import with_seq
 from tidemark.streaming.tables import EntityTables
 
+#: Side table of the stock event ids of each batch, kept only when duplicates are to be suppressed.
+_STOCK_IDS = "stock_event_ids"
+
 
 def apply_batch(
     tables: EntityTables, log: DataFrame, batch_id: int, now: datetime | None = None, dedupe_event_id: bool = False
@@ -30,7 +33,8 @@ def apply_batch(
     now = now or datetime.now(timezone.utc)
     work = f"{tables.root}/work"
     parsed = staged(with_lane(parse_events(with_seq(log))), f"{work}/parsed")
-    outcome = settle_parsed(parsed, tables.read_all(), dedupe_event_id, work)
+    seen = tables.read_appended(_STOCK_IDS, "event_id STRING, batch_id BIGINT") if dedupe_event_id else None
+    outcome = settle_parsed(parsed, tables.read_all(), dedupe_event_id, work, seen)
 
     accepted = {
         "users": outcome.users.accepted,
@@ -49,6 +53,9 @@ def apply_batch(
             tables.write_version(name, merged[name], batch_id)
 
     tables.append("dead_letters", to_dead_letters(outcome.rejected(), batch_id, now), batch_id)
+    if dedupe_event_id:
+        delivered = route(parsed, S.INVENTORY_ADJUSTED).select("event_id").distinct()
+        tables.append(_STOCK_IDS, delivered, batch_id)
     tables.append("outcomes", processed_total(outcome.outcomes()).coalesce(1), batch_id)
     tables.commit(batch_id, touched)
     return True
