@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.hash_map import hash_map, passing
 from tidemark.llm.text_blocks import SPACED, blocks, find_words, mixed, range_hashes, sequence_hashes
 from tidemark.session import staged
 
@@ -33,8 +34,6 @@ PARTS = 4
 SPARE = 1
 #: Cuts tried before empty fragments count as agreement.
 CUTS = 4
-#: Bits of the fixed-size map of shared buckets that the second pass receives (16 MB).
-MAP_BITS = 1 << 27
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -145,8 +144,7 @@ def _node_pass(words: int, num: int, den: int, shared_map):
                 nodes.append(_set_key(x))
                 sizes.append(len(x))
                 b = _buckets(x, bands)
-                slot = (b % np.uint64(MAP_BITS)).astype(np.int64)
-                found.append(np.unique(b[(bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1]))
+                found.append(np.unique(b[passing(bits, b)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _long_lists(found)],
                 ["id", "node", "n", "buckets"],
@@ -166,16 +164,6 @@ def _element_pass(words: int):
     return run
 
 
-def _map_of(shared: DataFrame) -> np.ndarray:
-    """A bit per slot that holds a shared bucket; its size does not depend on the data."""
-    slot = F.pmod(F.expr("bucket & 9223372036854775807"), F.lit(MAP_BITS))
-    words = shared.select(slot.alias("s")).select((F.col("s") / 64).cast("int").alias("w"), (F.col("s") % 64).cast("int").alias("b"))
-    words = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits")).toArrow()
-    bits = np.zeros(MAP_BITS // 64, dtype=np.uint64)
-    bits[words["w"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-    return bits
-
-
 def _can_link(a: str, b: str, num: int, den: int) -> str:
     """Whether sets of these sizes can still reach the threshold with the elements they do not have alone."""
     return f"{num + den} * least({a}.n - {a}.alone, {b}.n - {b}.alone) >= {num} * ({a}.n + {b}.n)"
@@ -203,7 +191,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     bucket_rows = docs.select("text").mapInArrow(_bucket_pass(words, num, den), "buckets array<long>")
     shared = bucket_rows.select(F.explode("buckets").alias("bucket")).groupBy("bucket").count().where("count > 1")
-    shared_map = spark.sparkContext.broadcast(_map_of(shared))
+    shared_map = spark.sparkContext.broadcast(hash_map(shared, "bucket"))
     nodes = staged(docs.mapInArrow(_node_pass(words, num, den, shared_map), "id long, node long, n long, buckets array<long>"))
 
     classes = nodes.where("size(buckets) > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.first("buckets").alias("buckets"))
