@@ -2,6 +2,33 @@
 
 from __future__ import annotations
 
+OP2 = r"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, source, size, (('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) || '|' || size::VARCHAR), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0::DOUBLE AS u
+  FROM (SELECT doc_id, text, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents)
+), sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
+weighed AS (
+  SELECT source, source_size, 2 * source_size AS cap, [3, 1, 2][((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3)::INT + 1] AS weight FROM sources
+), levelled AS (
+  SELECT *, row_number() OVER o AS place,
+    ((sum(source_size) OVER ())::DOUBLE * 150 / 100 - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+      / ((sum(weight) OVER ()) - coalesce(sum(weight) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE AS level
+  FROM weighed WINDOW o AS (ORDER BY cap::DOUBLE / weight::DOUBLE, source IS NULL, source)
+), final_level AS (SELECT arg_min(level, place) AS level FROM levelled WHERE cap > level * weight),
+targets AS (
+  SELECT source, source_size, target, copies, target - copies * source_size AS more,
+    CASE WHEN source_size > 0 THEN (target - copies * source_size) / source_size ELSE 0 END AS p
+  FROM (SELECT source, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS copies
+    FROM (SELECT w.source, w.source_size, least(w.cap::DOUBLE, coalesce(l.level * w.weight, w.cap::DOUBLE)) AS target FROM weighed w LEFT JOIN final_level l ON true))
+), ranked AS (
+  SELECT doc_id, size, t.*, sum(size) OVER (PARTITION BY t.source ORDER BY CASE WHEN p > 0 THEN (u / (1 - u)) * ((1 - p) / p) ELSE 'inf'::DOUBLE END, doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::DOUBLE AS upto
+  FROM docs JOIN targets t ON docs.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  (size * (copies + CASE WHEN more > 0 AND (upto <= more OR (upto - size < more AND abs(upto - more) < abs(upto - size - more))) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ranked
+"""
+
 OP5 = r"""
 WITH RECURSIVE words AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
@@ -49,6 +76,7 @@ FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 EXPECTED = {
+    "op2_source_mix": OP2,
     "op5_jaccard_join": OP5,
     "op7_decontaminate": OP7,
 }

@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.source_mix import mix_sources
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One and a half times all words, mixed from the sources by weight."""
+    return mix_sources(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("source")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of three-word shingles overlap by nine tenths."""
     found = jaccard_components(_table(spark, sf_dir, "documents"), words=3, num=90, den=100)
@@ -33,6 +39,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_source_mix": op2_source_mix,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_decontaminate": op7_decontaminate,
 }
