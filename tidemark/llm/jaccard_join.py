@@ -128,7 +128,8 @@ def _bucket_pass(words: int, num: int, den: int):
         bands = _bands(num, den)
         for batch in batches:
             found = [_buckets(x, bands) for x in _text_sets(batch.column(0), words)]
-            yield pa.RecordBatch.from_arrays([_long_lists(found)], ["buckets"])
+            flat = np.concatenate([*found, np.zeros(0, dtype=np.uint64)])
+            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], ["bucket"])
 
     return run
 
@@ -189,8 +190,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    bucket_rows = docs.select("text").mapInArrow(_bucket_pass(words, num, den), "buckets array<long>")
-    shared = bucket_rows.select(F.explode("buckets").alias("bucket")).groupBy("bucket").count().where("count > 1")
+    shared = docs.select("text").mapInArrow(_bucket_pass(words, num, den), "bucket long").groupBy("bucket").count().where("count > 1")
     shared_map = spark.sparkContext.broadcast(hash_map(shared, "bucket"))
     nodes = staged(docs.mapInArrow(_node_pass(words, num, den, shared_map), "id long, node long, n long, buckets array<long>"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.chunk_dedup import dedup_substrings
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.source_mix import mix_sources
@@ -25,6 +26,12 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id AS doc_id", "n AS n_shingles", "component AS component_id")
 
 
+def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that an earlier document has."""
+    found = dedup_substrings(_table(spark, sf_dir, "documents"))
+    return found.selectExpr("id AS doc_id", "n_words", "n_removed", "first_ids AS first_doc_ids", "text")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside ten-word windows of benchmark items."""
     found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -41,5 +48,6 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_chunk_dedup": op6_chunk_dedup,
     "op7_decontaminate": op7_decontaminate,
 }
