@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.chunk_dedup import dedup_substrings
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.quality_knn import quality_scores
 from tidemark.llm.source_mix import mix_sources
 
 
@@ -20,6 +21,28 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("source")
 
 
+def id_digest(modulus: int):
+    """The remainder of the documents' id digest that says who may be learned from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+#: From this score on a document counts as good.
+GOOD_QUALITY = 0.7
+
+
+def scored_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(doc, score)``, learned from the labels that are not held out."""
+    return quality_scores(docs, labels, id_digest(4) != 2)
+
+
+def op3_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document by its nearest labelled neighbours."""
+    found = scored_quality(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+    found = found.select("doc.doc_id", "score")
+    held_out = F.coalesce(id_digest(4) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD_QUALITY).cast("int").alias("predicted"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of three-word shingles overlap by nine tenths."""
     found = jaccard_components(_table(spark, sf_dir, "documents"), words=3, num=90, den=100)
@@ -47,6 +70,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_source_mix": op2_source_mix,
+    "op3_quality_knn": op3_quality_knn,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_chunk_dedup": op6_chunk_dedup,
     "op7_decontaminate": op7_decontaminate,

@@ -145,3 +145,20 @@ def sequence_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     for k in range(length):
         total = mixed(total + hashes[k : k + n] + _ODD)
     return total
+
+
+def repeated_words(words: Words, hashes: np.ndarray, length: int) -> np.ndarray:
+    """Which words lie in a window of ``length`` words that occurs twice or more in its row."""
+    covered = np.zeros(len(hashes) + 1, dtype=np.int64)
+    windows = sequence_hashes(hashes, length)
+    if len(windows):
+        rows = words.row_of_word()
+        own = np.flatnonzero(rows[: len(windows)] == rows[length - 1 :])
+        keys = mixed(windows[own] + rows[own].astype(np.uint64) * _ODD)
+        order = np.argsort(keys)
+        same = keys[order[1:]] == keys[order[:-1]]
+        twice = np.append(same, False) | np.append(False, same)
+        at = own[order[twice]]
+        np.add.at(covered, at, 1)
+        np.add.at(covered, at + length, -1)
+    return np.cumsum(covered)[:-1] > 0
