@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.hash_map import hash_map, passing
 from tidemark.llm.text_blocks import SPACED, Block, Words, blocks, find_words, mixed, range_hashes
@@ -63,12 +64,12 @@ _CHUNK = pa.struct([("digest", pa.int64()), ("idx", pa.int32()), ("n", pa.int32(
 
 
 def _run_pass(shared_map, min_words: int):
-    """``(row, id, text)`` with ``n_words`` and the chunks in runs that the map lets through."""
+    """``(row, id, doc, text)`` with ``n_words`` and the chunks in runs that the map lets through."""
 
     def run(batches):
         for batch in batches:
             sizes, found = [], []
-            for block in blocks(batch.column(2)):
+            for block in blocks(batch.column(3)):
                 words = find_words(block, SPACED)
                 first, after, digests = cut_chunks(block, words)
                 rows = words.row_of_word()[first] if len(first) else first
@@ -88,56 +89,57 @@ def _run_pass(shared_map, min_words: int):
                     lists[row].append((int(digests[i].view(np.int64)), i - int(heads[row]), int(after[i] - first[i]), start, int(stop - block.offsets[row])))
                 found.extend([dict(zip(("digest", "idx", "n", "start", "stop"), c, strict=True)) for c in x] for x in lists)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(np.concatenate([*sizes, np.zeros(0, np.int64)]), pa.int64()), pa.array(found, pa.list_(_CHUNK))],
-                ["row", "id", "text", "n_words", "chunks"],
+                [*batch.columns, pa.array(np.concatenate([*sizes, np.zeros(0, np.int64)]), pa.int64()), pa.array(found, pa.list_(_CHUNK))],
+                [*batch.schema.names, "n_words", "chunks"],
             )
 
     return run
 
 
 def _cut_pass(batches):
-    """``(row, id, text, n_words, n_removed, spans, first_ids)`` with the spans cut out of the texts."""
+    """Rows whose ``text`` loses their ``spans``."""
     for batch in batches:
-        texts = []
-        for text, spans in zip(batch.column(2).to_pylist(), batch.column(5).to_pylist(), strict=True):
+        names, texts = batch.schema.names, []
+        for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist(), strict=True):
             data, kept, at = (text or "").encode(), [], 0
-            for span in spans or []:
+            for span in spans:
                 kept.append(data[at : span["start"]])
                 at = span["stop"]
             texts.append(b"".join([*kept, data[at:]]).decode() if spans else text)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), *batch.columns[3:]], batch.schema.names)
+        yield batch.set_column(names.index("text"), "text", pa.array(texts, pa.string()))
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 30) -> DataFrame:
-    """``(row, id, text, n_words, n_removed, spans, first_ids)`` of every row of ``docs``.
+def dedup_substrings(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", min_words: int = 30) -> DataFrame:
+    """``(doc, text, n_words, n_removed, spans, first_ids)`` of every row of ``docs``; ``doc`` has its ``keep`` columns.
 
     ``text`` has lost the runs of repeated chunks of ``min_words`` words or more; a passage is found less the parts
     of chunks at its ends, some ten words. Of equal chunks in such runs the first stays, by id (null first), row and
     place, so everything removed stays somewhere. ``n_words`` and ``n_removed`` count words of the text as it was,
     ``spans`` are the byte ranges removed from its UTF-8 form, ``first_ids`` the ids of the documents that keep
-    them. ``row`` numbers the rows. Null texts stay null; texts without repeats stay as they are to the byte.
+    them. Null texts stay null; texts without repeats stay as they are to the byte.
     """
     spark = docs.sparkSession
     digests = docs.select(text_col).mapInArrow(_digest_pass, "digest long").groupBy("digest").count()
     shared = spark.sparkContext.broadcast(hash_map(digests.where("count > 1"), "digest"))
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    chunk = "struct<digest: long, idx: int, n: int, start: long, stop: long>"
-    rows = staged(numbered.mapInArrow(_run_pass(shared, min_words), f"row long, id long, text string, n_words long, chunks array<{chunk}>"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.struct(*keep).alias("doc"), F.col(text_col).alias("text"))
+    chunk = T.ArrayType(T.StructType.fromDDL("digest long, idx int, n int, start long, stop long"))
+    rows = staged(numbered.mapInArrow(_run_pass(shared, min_words), numbered.select("*").schema.add("n_words", "long").add("chunks", chunk)))
 
     chunks = rows.where("size(chunks) > 0").select("row", "id", F.inline("chunks"))
     winners = chunks.groupBy("digest").agg(F.min(F.struct("id", "row", "idx")).alias("w"), F.count("*").alias("c")).where("c > 1")
     winners = winners.selectExpr("digest", "w.id AS first_id", "w.row AS first_row", "w.idx AS first_idx")
     repeats = chunks.join(winners, "digest").where("row <> first_row OR idx <> first_idx")
     islands = repeats.withColumn("island", F.col("idx") - F.row_number().over(Window.partitionBy("row").orderBy("idx")))
-    spans = islands.groupBy("row", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n").alias("n"), F.collect_set("first_id").alias("ids")).where(F.col("n") >= min_words)
-    spans = spans.groupBy("row").agg(
+    spans = islands.groupBy("row", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n").alias("n"), F.collect_set("first_id").alias("ids"))
+    spans = spans.where(F.col("n") >= min_words).groupBy("row").agg(
         F.sum("n").alias("n_removed"),
         F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("first_ids"),
     )
+    columns = ["doc", "text", "n_words"]
     none = "0L AS n_removed", "cast(array() AS array<struct<start: long, stop: long>>) AS spans", "cast(array() AS array<long>) AS first_ids"
-    columns = ["row", "id", "text", "n_words"]
     untouched = rows.where("size(chunks) = 0").selectExpr(*columns, *none)
-    touched = rows.where("size(chunks) > 0").select(*columns).join(spans, "row", "left")
-    touched = touched.selectExpr(*columns, "coalesce(n_removed, 0L) AS n_removed", "coalesce(spans, array()) AS spans", "coalesce(first_ids, array()) AS first_ids")
+    touched = rows.where("size(chunks) > 0").select("row", *columns).join(spans, "row", "left")
+    filled = (f"coalesce({c}, {default}) AS {c}" for c, default in (("n_removed", "0L"), ("spans", "array()"), ("first_ids", "array()")))
+    touched = touched.selectExpr(*columns, *filled)
     return untouched.union(touched.mapInArrow(_cut_pass, touched.schema))

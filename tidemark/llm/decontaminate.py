@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.hash_map import hash_map, passing
 from tidemark.llm.text_blocks import ALNUM, blocks, find_words, range_hashes, sequence_hashes
@@ -83,7 +84,7 @@ def _count_pass(shared_map, lengths: list[int]):
 
 
 def _candidate_pass(shared_map, lengths: list[int], width: int):
-    """``(row, id, text)`` -> ``(row, id, n_words, found)``; ``found`` has the words around each candidate."""
+    """``(row, doc, text)`` -> ``(row, doc, n_words, found)``; ``found`` has the words around each candidate."""
     kind = pa.list_(pa.struct([("gram", pa.int64()), ("pos", pa.int32()), ("first", pa.int32()), ("near", pa.list_(pa.string()))]))
 
     def run(batches):
@@ -103,19 +104,18 @@ def _candidate_pass(shared_map, lengths: list[int], width: int):
                 found.extend(lists)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(np.concatenate([*sizes, np.zeros(0, np.int64)]), pa.int64()), pa.array(found, kind)],
-                ["row", "id", "n_words", "found"],
+                ["row", "doc", "n_words", "found"],
             )
 
     return run
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", width: int = 10) -> tuple[DataFrame, DataFrame]:
-    """Documents as ``(row, id, n_words)`` and the window occurrences in them as ``(row, start, size, window, items)``.
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text", item_col: str = "item_id", width: int = 10) -> tuple[DataFrame, DataFrame]:
+    """Documents as ``(row, doc, n_words)`` and the window occurrences in them as ``(row, start, size, window, items)``.
 
     Words are runs of digits, letters a-z (A-Z lower-cased) and characters beyond ASCII. A window is ``width``
     consecutive words of an item, or all words of a shorter item; items without a word have none. Each row of
-    ``docs`` is judged for itself, whatever its id; ``row`` numbers the rows. ``items`` of a window come from
-    ``window_items``. Null texts have no words.
+    ``docs`` is judged for itself; ``row`` numbers the rows, ``doc`` has their ``keep`` columns. Null texts have no words.
     """
     spark = docs.sparkSession
     windows = staged(benchmark.select(F.col(item_col).cast("long"), F.col(text_col)).mapInArrow(_window_pass(width), "item_id long, window string, size int, grams array<long>"))
@@ -130,28 +130,29 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     prefix = staged(prefix.where("p.c > 0").select("window", "size", "p.gram", "p.at"))
 
     rarest = spark.sparkContext.broadcast(hash_map(prefix, "gram"))
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    found = "array<struct<gram: long, pos: int, first: int, near: array<string>>>"
-    rows = staged(numbered.mapInArrow(_candidate_pass(rarest, lengths, width), f"row long, id long, n_words long, found {found}"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("doc"), F.col(text_col).alias("text"))
+    found = T.ArrayType(T.StructType.fromDDL("gram long, pos int, first int, near array<string>"))
+    schema = numbered.select("row", "doc").schema.add("n_words", "long").add("found", found)
+    rows = staged(numbered.mapInArrow(_candidate_pass(rarest, lengths, width), schema))
 
     candidates = rows.where("size(found) > 0").select("row", "n_words", F.inline("found"))
     met = candidates.join(prefix, "gram").where("pos >= at AND pos - at + size <= n_words")
     met = met.where("array_join(slice(near, pos - at - first + 1, size), ' ') = window")
     hits = staged(met.selectExpr("row", "pos - at AS start", "size", "window"))
-    return rows.select("row", "id", "n_words"), hits.join(windows.groupBy("window").agg(F.collect_set("item_id").alias("items")), "window")
+    return rows.select("row", "doc", "n_words"), hits.join(windows.groupBy("window").agg(F.collect_set("item_id").alias("items")), "window")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
-    """``(id, n_words, n_hit, items)`` of every row of ``docs``: words inside window occurrences, and item ids.
+def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str], **columns) -> DataFrame:
+    """``(doc, n_words, n_hit, items)`` of every row of ``docs``: words inside window occurrences, and item ids.
 
     See ``benchmark_hits``. ``items`` are sorted as strings; an item with a null id is hit like others but not
     listed. Without occurrences ``n_hit`` is 0 and ``items`` empty. Overlapping windows count a word once.
     """
-    rows, hits = benchmark_hits(docs, benchmark, **columns)
+    rows, hits = benchmark_hits(docs, benchmark, keep, **columns)
     before = Window.partitionBy("row").orderBy("start", "size").rowsBetween(Window.unboundedPreceding, -1)
     ends = hits.select("row", "start", "size").withColumn("done", F.coalesce(F.max(F.col("start") + F.col("size")).over(before), F.lit(0)))
     covered = ends.groupBy("row").agg(F.sum(F.greatest(F.lit(0), F.col("start") + F.col("size") - F.greatest("start", "done"))).alias("n_hit"))
     listed = hits.select("row", F.explode("items").alias("item")).distinct()
     listed = listed.groupBy("row").agg(F.sort_array(F.collect_list(F.col("item").cast("string"))).alias("items"))
-    joined = rows.join(covered, "row", "left").join(listed, "row", "left")
-    return joined.select("id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    joined = rows.join(covered.join(listed, "row", "left"), "row", "left")
+    return joined.select("doc", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))

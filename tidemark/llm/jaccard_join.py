@@ -36,6 +36,7 @@ SPARE = 1
 CUTS = 4
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_CUT_SEEDS = mixed(np.arange(1, CUTS + 1, dtype=np.uint64))
 
 
 class _Bands:
@@ -82,7 +83,7 @@ def _buckets(elements: np.ndarray, bands: _Bands) -> np.ndarray:
         differing = bands.most(band)
         k = differing + 1 + SPARE
         for cut in range(CUTS):
-            order = elements if cut == 0 else np.sort(mixed(elements + np.uint64(cut) * _ODD) >> np.uint64(1))
+            order = elements if cut == 0 else np.sort(mixed(elements ^ _CUT_SEEDS[cut]) >> np.uint64(1))
             at = np.searchsorted(order, _cut_points(k))
             sums = np.zeros(len(order) + 1, dtype=np.uint64)
             np.cumsum(mixed(order), out=sums[1:])
@@ -180,13 +181,14 @@ def _verified(pairs: DataFrame, parts: DataFrame, num: int, den: int) -> DataFra
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``(id, n, component)`` of every row: the size of its shingle set and the smallest id linked with it.
+    """``(id, n, component, node, root)`` of every row: its set's size, and the smallest id linked with it.
 
     A set holds the distinct ``words``-word shingles of the text with A-Z lower-cased, or the whole sequence of a
     shorter text; two texts link when ``den * intersection >= num * union``. A null or wordless text has an
     empty set and links with nothing; its component is its own id. Equal sets are linked; rows with null ids are
     linked as others are, and a component of null ids only has a null number. Repeated ids are rows of their own.
-    Columns other than the two named are not read.
+    Columns other than the two named are not read. ``node`` is a digest of the set, ``root`` the smallest node of its
+    component.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -233,7 +235,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     late = _verified(late.selectExpr(*(c.format("y") for c in pair)), parts, num, den)
     roots = staged(components(links.union(late)))
 
-    labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).select("id", "n", "root")
+    labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).select("id", "n", "node", "root")
     smallest = labelled.where("n > 0").groupBy("root").agg(F.min("id").alias("component"))
-    linked = labelled.where("n > 0").join(smallest, "root").select("id", "n", "component")
-    return linked.union(labelled.where("n = 0").select("id", "n", F.col("id").alias("component")))
+    linked = labelled.where("n > 0").join(smallest, "root")
+    return linked.unionByName(labelled.where("n = 0").withColumn("component", F.col("id"))).select("id", "n", "component", "node", "root")
+
+
+def _key_pass(words: int):
+    def run(batches):
+        for batch in batches:
+            sets = [(_set_key(x), len(x)) for x in _text_sets(batch.column(1), words)]
+            columns = pa.array([k for k, _ in sets], pa.int64()), pa.array([n for _, n in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc", "node", "n"])
+
+    return run
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, **threshold) -> DataFrame:
+    """The rows of ``docs`` less all but one of each group of linked texts.
+
+    Of a group the row of the smallest id stays, a null id only if there is no other; of several texts of that id in
+    the group one stays, of equal rows one. Texts without words are linked with nothing and all stay.
+    """
+    found = jaccard_components(docs, id_col, text_col, words, **threshold)
+    first = found.where("n > 0").groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("f"))
+    first = first.select(F.coalesce("f.id", "f.node").alias("k"), "f.node")
+    rows = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"))
+    keyed = rows.mapInArrow(_key_pass(words), rows.select("doc").schema.add("node", "long").add("n", "long"))
+    keyed = keyed.withColumn("k", F.coalesce(F.col("doc")[id_col].cast("long"), "node"))
+    kept = keyed.where("n > 0").join(first, ["k", "node"]).dropDuplicates(["k", "node"])
+    return kept.select("doc.*").union(keyed.where("n = 0").select("doc.*"))

@@ -51,15 +51,15 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the passages that an earlier document has."""
-    found = dedup_substrings(_table(spark, sf_dir, "documents"))
-    return found.selectExpr("id AS doc_id", "n_words", "n_removed", "first_ids AS first_doc_ids", "text")
+    found = dedup_substrings(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.selectExpr("doc.doc_id", "n_words", "n_removed", "first_ids AS first_doc_ids", "text")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside ten-word windows of benchmark items."""
-    found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select(
-        F.col("id").alias("doc_id"),
+        "doc.doc_id",
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
