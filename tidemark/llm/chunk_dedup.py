@@ -24,6 +24,8 @@ from tidemark.session import staged
 REACH = 16
 #: A chunk ends before one word in 2 to the power of this.
 CUT_BITS = 2
+#: A chunk ends after so many words at the latest, which only text that repeats a few words ever meets.
+MAX_WORDS = 64
 
 _GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
@@ -49,6 +51,9 @@ def cut_chunks(block: Block, words: Words) -> tuple[np.ndarray, np.ndarray, np.n
     cut &= words.starts - block.offsets[rows] >= REACH  # bytes of the row before do not count
     cut[words.bounds[:-1][np.diff(words.bounds) > 0]] = True
     first = np.flatnonzero(cut)
+    parts = (np.diff(np.append(first, len(cut))) - 1) // MAX_WORDS + 1
+    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    first = np.repeat(first, parts) + nth * MAX_WORDS
     after = np.append(first[1:], len(words.starts))
     return first, after, range_hashes(block.data, words.starts[first], words.ends[after - 1])
 
