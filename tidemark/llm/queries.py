@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.chunk_dedup import dedup_substrings
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.line_crf import quality_rules
 from tidemark.llm.quality_knn import quality_scores
 from tidemark.llm.source_mix import mix_sources
 
@@ -68,10 +69,17 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document, and whether the rules and its content lines keep it."""
+    found = quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return found.select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_content_words")
+
+
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_quality_knn": op3_quality_knn,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_chunk_dedup": op6_chunk_dedup,
     "op7_decontaminate": op7_decontaminate,
+    "op8_line_crf": op8_line_crf,
 }
