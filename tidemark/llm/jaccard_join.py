@@ -32,6 +32,8 @@ from tidemark.session import staged
 PARTS = 4
 #: Fragments beyond the necessary ones; a set with at most as many empty fragments needs no second cut.
 SPARE = 1
+#: Most fragments of the sketch that tells unlinked sets of one bucket apart.
+SKETCH = 512
 #: Cuts tried before empty fragments count as agreement.
 CUTS = 4
 
@@ -155,12 +157,27 @@ def _node_pass(words: int, num: int, den: int, shared_map):
     return run
 
 
-def _element_pass(words: int):
+def _sketch(elements: np.ndarray, bands: _Bands, band: int) -> np.ndarray:
+    """Digests of more, smaller fragments: linked sets agree in all but as many as they may differ in elements."""
+    k = min(4 * (bands.most(band) + 1), SKETCH)
+    at = np.searchsorted(elements, _cut_points(k))
+    sums = np.zeros(len(elements) + 1, dtype=np.uint64)
+    np.cumsum(mixed(elements), out=sums[1:])
+    return (sums[at[1:]] - sums[at[:-1]]).astype(np.uint32).view(np.int32)
+
+
+def _element_pass(words: int, num: int, den: int):
+    """``(text)`` -> ``(node, elements, band, own, low)``: the set, and its sketches for its bands."""
+
     def run(batches):
+        bands = _bands(num, den)
         for batch in batches:
             sets = list(_text_sets(batch.column(0), words))
+            of = [(b := bands.of(len(x)) or [0])[:1] + b[-1:] for x in sets]
+            sketches = [pa.array([_sketch(x, bands, b[i]) for x, b in zip(sets, of, strict=True)], pa.list_(pa.int32())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_set_key(x) for x in sets], pa.int64()), _long_lists(sets)], ["node", "elements"]
+                [pa.array([_set_key(x) for x in sets], pa.int64()), _long_lists(sets), pa.array([b[0] for b in of], pa.int32()), *sketches],
+                ["node", "elements", "band", "own", "low"],
             )
 
     return run
@@ -171,6 +188,14 @@ def _can_link(a: str, b: str, num: int, den: int) -> str:
     return f"{num + den} * least({a}.n - {a}.alone, {b}.n - {b}.alone) >= {num} * ({a}.n + {b}.n)"
 
 
+def _sketches_agree(a: str, b: str, num: int, den: int) -> str:
+    """Whether the sketches of two sets, for the band of the smaller one, agree as they must if the sets link."""
+    band = f"if({a}.n <= {b}.n, {a}.band, {b}.band)"
+    of = "if({0}.band = {1}, {0}.own, {0}.low)"
+    agree = f"size(filter(zip_with({of.format(a, band)}, {of.format(b, band)}, (p, q) -> p = q), same -> same))"
+    return f"{agree} >= size({of.format(a, band)}) - ({den - num} * ({a}.n + {b}.n)) div {den + num}"
+
+
 def _verified(pairs: DataFrame, parts: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs ``(a, b, na, nb)`` that reach the threshold: partial overlaps by fragment, summed by pair."""
     left = pairs.join(parts.select(F.col("node").alias("a"), "part", F.col("segment").alias("sa")), "a")
@@ -205,8 +230,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     chosen = members.groupBy("node", "rep", "n").agg(F.count("*").alias("met"))
     chosen = staged(chosen)
     texts = docs.join(chosen.select(F.col("rep").alias("id")).distinct().alias("c"), docs["id"].eqNullSafe(F.col("c.id")), "left_semi")
-    elements = texts.select("text").mapInArrow(_element_pass(words), "node long, elements array<long>")
-    elements = staged(elements.join(chosen.select("node", "n"), "node").groupBy("node", "n").agg(F.first("elements").alias("elements")))
+    elements = texts.select("text").mapInArrow(_element_pass(words, num, den), "node long, elements array<long>, band int, own array<int>, low array<int>")
+    elements = staged(elements.join(chosen.select("node", "n"), "node").dropDuplicates(["node"]))
     single = elements.select("node", F.explode("elements").alias("e")).groupBy("e").agg(F.min("node").alias("node"), F.count("*").alias("c"))
     alone = single.where("c = 1").groupBy("node").agg(F.count("*").alias("alone"))
     alone = elements.select("node", "n").join(alone, "node", "left").select("node", "n", F.coalesce("alone", F.lit(0)).alias("alone"))
@@ -224,15 +249,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = staged(_verified(pairs, parts, num, den))
     roots = staged(components(links))
 
-    # Members of different components that still share a bucket; each pair meets in its first one.
+    # Members of different components that still share a bucket.
     told = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed_buckets = told.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("n").alias("least_n")).where("r0 <> r1")
     open_members = told.join(mixed_buckets, "bucket").where(f"{num + den} * (n - alone) >= {num} * (n + least_n)")
-    own = open_members.groupBy("node").agg(F.collect_set("bucket").alias("mine"))
-    open_members = staged(open_members.select("bucket", "node", "n", "alone", "root").join(own, "node"))
+    open_members = open_members.select("bucket", "node", "n", "alone", "root").join(elements.select("node", "band", "own", "low"), "node")
     x, y = open_members.alias("x"), open_members.alias("y")
-    late = x.join(y, F.expr(f"x.bucket = y.bucket and x.node < y.node and x.root <> y.root and {_can_link('x', 'y', num, den)} and x.bucket = array_min(array_intersect(x.mine, y.mine))"))
-    late = _verified(late.selectExpr(*(c.format("y") for c in pair)), parts, num, den)
+    late = x.join(y, F.expr(f"x.bucket = y.bucket and x.node < y.node and x.root <> y.root and {_can_link('x', 'y', num, den)} and {_sketches_agree('x', 'y', num, den)}"))
+    late = _verified(late.selectExpr(*(c.format("y") for c in pair)).distinct(), parts, num, den)
     roots = staged(components(links.union(late)))
 
     labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).select("id", "n", "node", "root")
