@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.chunk_dedup import dedup_substrings
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.language_id import identify_languages
 from tidemark.llm.line_crf import quality_rules
 from tidemark.llm.quality_knn import quality_scores
 from tidemark.llm.source_mix import mix_sources
@@ -75,6 +76,13 @@ def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_content_words")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    found = identify_languages(docs, id_digest(3) != 1, keep=["doc_id"]).select("doc.doc_id", "lang_pred", "score")
+    return found.withColumn("held_out", F.coalesce(id_digest(3) == 1, F.lit(False)))
+
+
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_quality_knn": op3_quality_knn,
@@ -82,4 +90,5 @@ QUERIES = {
     "op6_chunk_dedup": op6_chunk_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_line_crf": op8_line_crf,
+    "op10_language_id": op10_language_id,
 }
