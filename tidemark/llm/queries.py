@@ -12,12 +12,24 @@ from tidemark.llm.language_id import identify_languages
 from tidemark.llm.line_crf import quality_rules
 from tidemark.llm.quality_knn import quality_scores
 from tidemark.llm.source_mix import mix_sources
+from tidemark.llm.tag_paths import extract_main_text
+from tidemark.llm.token_counts import load_pieces, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A vocabulary that marks word starts.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy word pieces of every document."""
+    found = token_counts(_table(spark, sf_dir, "documents"), load_pieces(VOCABULARY), keep=["doc_id"])
+    return found.select("doc.doc_id", "n_words", "n_tokens")
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One and a half times all words, mixed from the sources by weight."""
     return mix_sources(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("source")
@@ -83,12 +95,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", F.coalesce(id_digest(3) == 1, F.lit(False)))
 
 
+def op9_tag_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = extract_main_text(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("page.*", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_source_mix": op2_source_mix,
     "op3_quality_knn": op3_quality_knn,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_chunk_dedup": op6_chunk_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_line_crf": op8_line_crf,
+    "op9_tag_path": op9_tag_path,
     "op10_language_id": op10_language_id,
 }
