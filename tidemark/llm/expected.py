@@ -29,6 +29,36 @@ SELECT doc_id, size, source_size, target,
 FROM ranked
 """
 
+OP4 = r"""
+WITH RECURSIVE rules(verdict, rule, rule_host, rule_path) AS (
+  VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'), ('block', 'example.org/en/1', 'example.org', '/en/1'),
+    ('allow', 'com/fr/', 'com', '/fr/'), ('block', 'com/de/', 'com', '/de/')
+), urls AS MATERIALIZED (
+  SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), places AS MATERIALIZED (
+  SELECT page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls
+), fits AS (
+  SELECT page_id, arg_min(rule, (-length(rule), rule)) AS rule, arg_min(verdict, (-length(rule), rule)) AS verdict
+  FROM places JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id
+), links AS MATERIALIZED (
+  SELECT source, target, count(*) AS links FROM (
+    SELECT host AS source, translate(unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s>]+)', 1)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target FROM places)
+  WHERE source <> '' AND source <> target GROUP BY ALL
+), edges AS MATERIALIZED (
+  SELECT 'allow' AS kind, source AS f, target AS t, links / sum(links) OVER (PARTITION BY source) AS share FROM links
+  UNION ALL SELECT 'block', target, source, links / sum(links) OVER (PARTITION BY target) FROM links
+), flow AS (
+  SELECT verdict AS kind, host, count(*)::DOUBLE AS mass, 0 AS step FROM places JOIN fits USING (page_id) GROUP BY ALL
+  UNION ALL
+  SELECT flow.kind, edges.t, sum(mass * share * 0.85), step + 1 FROM flow JOIN edges ON flow.kind = edges.kind AND flow.host = edges.f WHERE step < 20 GROUP BY ALL
+), reached AS (
+  SELECT host, sum(CASE WHEN kind = 'allow' THEN mass ELSE 0 END) AS trust, sum(CASE WHEN kind = 'block' THEN mass ELSE 0 END) AS distrust FROM flow GROUP BY host)
+SELECT page_id, places.host, path, rule, coalesce(verdict, CASE WHEN coalesce(distrust, 0) > 2.0 * coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
+FROM places LEFT JOIN fits USING (page_id) LEFT JOIN reached ON places.host = reached.host
+"""
+
 OP5 = r"""
 WITH RECURSIVE words AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
@@ -76,6 +106,7 @@ FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 EXPECTED = {
+    "op4_url_trust": OP4,
     "op2_source_mix": OP2,
     "op5_jaccard_join": OP5,
     "op7_decontaminate": OP7,

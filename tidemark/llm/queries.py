@@ -14,6 +14,7 @@ from tidemark.llm.quality_knn import quality_scores
 from tidemark.llm.source_mix import mix_sources
 from tidemark.llm.tag_paths import extract_main_text
 from tidemark.llm.token_counts import load_pieces, token_counts
+from tidemark.llm.url_trust import judge_urls, rule_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +58,16 @@ def op3_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD_QUALITY).cast("int").alias("predicted"))
 
 
+#: Rules on urls.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op4_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which urls to keep, by rules and by trust that flows between hosts."""
+    judged = judge_urls(_table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES), keep=["page_id"])
+    return judged.select("page.page_id", "host", "path", "rule", "verdict")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of three-word shingles overlap by nine tenths."""
     found = jaccard_components(_table(spark, sf_dir, "documents"), words=3, num=90, den=100)
@@ -105,6 +116,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_source_mix": op2_source_mix,
     "op3_quality_knn": op3_quality_knn,
+    "op4_url_trust": op4_url_trust,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_chunk_dedup": op6_chunk_dedup,
     "op7_decontaminate": op7_decontaminate,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.session import staged
 
 #: Documents in a slice of a source's ranking; only the slice in which a source's sample ends is ordered.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 
 
 def word_count(text: Column) -> Column:
