@@ -72,11 +72,11 @@ def line_features(block: Block, words: Words, lines: Lines, repeated: np.ndarray
     sums = np.append(0, np.cumsum(repeated))
     repeats = (sums[lines.first_words + lines.words] - sums[lines.first_words]) / np.maximum(lines.words, 1)
     last = words.ends[lines.first_words + lines.words - 1] - 1 if len(size) else size
-    features = [
+    columns = [
         np.ones(len(size)), lines.words < 4, lines.words < 10, lines.words >= 25, symbols > 0.02, symbols > 0.1, capitals > 0.3,
         digits > 0.2, cries > 0.05, lines.again, repeats > 0.2, repeats > 0.6, _STOP[data[last]] if len(size) else size,
     ]
-    return np.column_stack(features).astype(np.float64).reshape(len(size), -1)
+    return np.column_stack(columns).astype(np.float64)
 
 
 @dataclass

@@ -151,9 +151,9 @@ def repeated_words(words: Words, hashes: np.ndarray, length: int) -> np.ndarray:
     """Which words lie in a window of ``length`` words that occurs twice or more in its row."""
     covered = np.zeros(len(hashes) + 1, dtype=np.int64)
     windows = sequence_hashes(hashes, length)
-    if len(windows):
-        rows = words.row_of_word()
-        own = np.flatnonzero(rows[: len(windows)] == rows[length - 1 :])
+    rows = words.row_of_word()
+    own = np.flatnonzero(rows[: len(windows)] == rows[length - 1 :]) if len(windows) else windows
+    if len(own):
         keys = mixed(windows[own] + rows[own].astype(np.uint64) * _ODD)
         order = np.argsort(keys)
         same = keys[order[1:]] == keys[order[:-1]]
