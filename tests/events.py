@@ -1,4 +1,7 @@
-"""Builders for event messages with fixed ids and times."""
+"""Builders for event messages with fixed ids and times.
+
+Fixed values: the field names and event types of the wire format.
+"""
 
 from __future__ import annotations
 

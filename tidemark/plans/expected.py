@@ -6,8 +6,22 @@ not build or parse any message.
 
 from __future__ import annotations
 
-from tidemark.operators.metrics import BUCKETS, OPERATIONS
-from tidemark.sources.views import LOG_MESSAGE, ORDER_FAULT, PAYMENT_FAULT, STOCK_FAULT, USER_FAULT
+# Bounds of the latency buckets and names of the operations.
+BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
+OPERATIONS = (
+    "upsert_user", "upsert_order", "upsert_payment", "upsert_inventory", "get_user_orders", "get_order_payment", "get_recent_users",
+)
+
+# The rules of the sample log, stated here on their own: the first fault that applies to a key, and the text of a log line.
+USER_FAULT = """CASE WHEN c_custkey % 53 = 11 THEN 'broken' WHEN c_custkey % 59 = 13 THEN 'long_name'
+    WHEN c_custkey % 61 = 17 THEN 'clash' WHEN c_custkey % 67 = 19 THEN 'unknown' WHEN c_custkey % 71 = 23 THEN 'bad_time' ELSE 'ok' END"""
+ORDER_FAULT = """CASE WHEN o_orderkey % 83 = 21 THEN 'orphan' WHEN o_orderkey % 89 = 34 THEN 'bad_item'
+    WHEN o_orderkey % 97 = 55 THEN 'too_large' WHEN o_orderkey % 101 = 8 THEN 'text_amount' WHEN o_orderkey % 113 = 60 THEN 'early' ELSE 'ok' END"""
+PAYMENT_FAULT = "CASE WHEN o_orderkey % 103 = 10 THEN 'no_order' WHEN o_orderkey % 107 = 50 THEN 'long_status' ELSE 'ok' END"
+STOCK_FAULT = "CASE WHEN l_orderkey % 109 = 12 THEN 'too_big' ELSE 'ok' END"
+LOG_MESSAGE = """CASE WHEN event_type = 'error' THEN 'Failed to process event' WHEN event_type = 'signup' THEN 'UserCreated received'
+    WHEN event_type = 'purchase' THEN 'Message pushed to DLQ' WHEN event_type = 'click' AND event_id % 10 = 0 THEN 'Heartbeat'
+    WHEN event_type = 'click' THEN 'Processed event' ELSE 'Message delivered successfully' END"""
 
 _UPDATED = "TIMESTAMP '2025-01-01 00:00:00'"
 _CREATED = "TIMESTAMP '2020-01-01 00:00:00' + to_minutes(c_custkey)"

@@ -128,7 +128,7 @@ def user_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{_EVENT_TIME} AS event_time",
         "string(c_custkey) AS user_id",
         "concat('c', IF(fault = 'clash', c_custkey - 1, c_custkey), '@example.com') AS email",
-        "IF(fault = 'long_name', repeat('LongFirstName', 20), c_mktsegment) AS first_name",
+        "IF(fault = 'long_name', repeat('Name ', 25), c_mktsegment) AS first_name",
         "concat(c_name, IF(version = 2, ' II', '')) AS last_name",
         f"timestamp({_BASE} + c_custkey * INTERVAL '1' MINUTE + IF(version = 2, 1, 0) * INTERVAL '1' DAY) AS created_at",
     )
