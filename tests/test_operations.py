@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.events import item, log, order, payment, stock, user
 from tidemark import schemas as S
 from tidemark.functions import scalars as X
-from tidemark.functions.ordered import positions, running_total
+from tidemark.functions.ordered import in_slices, positions, running_total
 from tidemark.operators import dead_letters as D
 from tidemark.operators import log_lines as L
 from tidemark.operators import metrics as M
@@ -127,7 +127,8 @@ def test_log_source_and_views(spark, tmp_path):
     assert [r["msg"] for r in L.tail(timed, 2, ["time"]).collect()] == ["m1", "m3"]
     numbered = L.numbered_lines(timed, ["time"], rows_per_slice=2)
     assert [r["msg"] for r in numbered.orderBy("line_no").collect()] == ["m2", "m0", "m1", "m3"]
-    assert L.retained(parsed, F.lit(dt.datetime(2025, 10, 21))).count() == 3
+    assert L.retained(timed, F.lit(dt.datetime(2025, 10, 21))).count() == 3
+    assert L.retained(parsed, F.lit(dt.datetime(2025, 10, 21))).count() == 4
     tomorrow = dt.datetime.now() + dt.timedelta(days=1)
     assert read_log_lines(spark, str(path), written_since=tomorrow).count() == 0
     query = stream_log_lines(spark, str(tmp_path)).writeStream.format("memory").queryName("lines").trigger(
@@ -158,8 +159,9 @@ def test_latency(spark):
     median = M.histogram_quantile(histogram, ["operation"], 0.5).first()["quantile_seconds"]
     assert median == pytest.approx(0.05)
     assert M.histogram_quantile(histogram, ["operation"], 0.99).first()["quantile_seconds"] == 10.0
-    exact = M.exact_quantiles(df, ["operation"], {"p50": 0.5, "p0": 0.0, "p100": 1.0}).first()
-    assert (exact["p50"], exact["p0"], exact["p100"]) == (pytest.approx(0.115), 0.004, 20.0)
+    for size in (2, 1_000_000):
+        exact = M.exact_quantiles(df, ["operation"], {"p50": 0.5, "p0": 0.0, "p100": 1.0}, rows_per_slice=size).first()
+        assert (exact["p50"], exact["p0"], exact["p100"]) == (pytest.approx(0.115), 0.004, 20.0)
     assert M.approximate_quantiles(df, ["operation"], {"p50": 0.5}).first()["p50"] == 0.03
     assert M.mean_latency(df, ["operation"]).first()["mean_seconds"] == pytest.approx(sum(values) / 6)
 
@@ -170,3 +172,10 @@ def test_scans_over_a_hot_key(spark):
     assert total.filter("id = 999").first()["n"] == 334
     placed = positions(rows, ["id"], "pos", ["s"], total="all")
     assert placed.filter("pos <> id OR all <> 1000").count() == 0
+
+
+def test_slices_tell_equal_times_apart(spark):
+    rows = spark.range(200).select(F.lit(1).alias("at"), "id")
+    sizes = in_slices(rows, ["at", "id"], rows_per_slice=10).groupBy("slice").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).orderBy("slice").collect()
+    assert len(sizes) >= 15 and max(r["n"] for r in sizes) <= 30
+    assert all(x["b"] < y["a"] for x, y in zip(sizes, sizes[1:]))

@@ -1,6 +1,4 @@
-from pathlib import Path
-
-from tidemark.session import cut_lineage, shared_folder, staged
+from tidemark.session import scratch_folder, shared_folder, staged
 
 
 def test_intermediate_results_go_to_the_shared_folder(spark):
@@ -9,11 +7,14 @@ def test_intermediate_results_go_to_the_shared_folder(spark):
     assert rows.count() == 5
     assert folder.removeprefix("file:") in rows.inputFiles()[0]
     assert shared_folder(spark) == folder
-    cut = cut_lineage(spark.range(7))
-    assert cut.count() == 7
-    written = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
-    assert str(written).startswith(folder.removeprefix("file:"))
-    assert any(written.glob("rdd-*"))
+
+
+def test_scratch_is_replaced(spark, tmp_path):
+    for n in (3, 4):
+        with scratch_folder(str(tmp_path / "scratch")):
+            first, second = staged(spark.range(n)), staged(spark.range(1))
+            assert (first.count(), second.count()) == (n, 1)
+    assert sorted(p.name for p in (tmp_path / "scratch").iterdir()) == ["0", "1"]
 
 
 def test_given_path_is_replaced(spark, tmp_path):

@@ -8,8 +8,8 @@ from tests.events import item, order, payment, stock, user
 from tidemark import schemas as S
 from tidemark.operators import dead_letters as D
 from tidemark.operators.metrics import current_rate
-from tidemark.sources.topic import replay_topic_files, stream_topic_files
-from tidemark.streaming.ingest_job import apply_batch, rate_by_type, replay, stage_latencies, start_ingest
+from tidemark.sources.topic import replay_topic_files, stream_topic_files, with_seq
+from tidemark.streaming.ingest_job import apply_batch, replay, start_ingest
 from tidemark.streaming.tables import EntityTables
 
 START = dt.datetime(2025, 10, 20, 10)
@@ -62,7 +62,7 @@ def test_stream_equals_one_batch_replay(spark, topic, streamed, tmp_path):
     tables, _, query = streamed
     once = EntityTables(spark, str(tmp_path / "once"), buckets=3)
     replay(once, replay_topic_files(spark, topic), now=NOW)
-    assert tables.last_batch == 3
+    assert tables.version == 3 and list(tables.batches.values()) == [3]
     assert contents(tables) == contents(once)
     assert contents(tables)["dlq"] == [(1, "unique"), (4, "parse"), (11, "foreign_key"), (13, "foreign_key"),
                                        (14, "numeric"), (15, "unique"), (16, "unknown_type")]
@@ -75,18 +75,24 @@ def test_stream_equals_one_batch_replay(spark, topic, streamed, tmp_path):
     assert counts == {("UserCreated", "success"): 4, ("UserCreated", "error"): 2, ("OrderPlaced", "success"): 3,
                       ("OrderPlaced", "error"): 1, ("PaymentSettled", "success"): 1, ("PaymentSettled", "error"): 1,
                       ("InventoryAdjusted", "success"): 2, ("InventoryAdjusted", "error"): 1, ("Strange", "error"): 1}
-    assert {stage for _, stage, _ in stage_latencies(query)} >= {"addBatch"}
+    latencies = tables.stage_latencies().groupBy("version").agg(F.collect_set("stage").alias("s")).collect()
+    assert {r["version"]: set(r["s"]) for r in latencies} == dict.fromkeys(range(4), {"parse", "settle", "merge", "report"})
+    rates = tables.success_rate()
+    assert {r["event_type"]: r["n"] for r in rates.groupBy("event_type").agg(F.sum("events").alias("n")).collect()} == {
+        "UserCreated": 4, "OrderPlaced": 3, "PaymentSettled": 1, "InventoryAdjusted": 2}
+    assert sorted(r["tick"] for r in rates.filter("event_type = 'PaymentSettled'").collect()) == [START + dt.timedelta(seconds=5)]
+    assert {r["event_type"] for r in current_rate(rates).collect()} == set(S.EVENT_TYPES)
 
 
 def test_restart_and_redelivery(spark, topic, streamed):
     """A restart reads nothing twice, and a batch delivered again changes nothing."""
     tables, base, _ = streamed
     before = contents(tables)
-    again = EntityTables(spark, str(base / "tables"), buckets=4)
-    assert again.last_batch == 3
+    again = EntityTables(spark, str(base / "tables"))
+    assert (again.version, again.buckets) == (3, 4)
     query = start_ingest(stream_topic_files(spark, topic, max_files=1), again, str(base / "ck"), available_now=True)
     query.awaitTermination(600)
-    assert not apply_batch(again, replay_topic_files(spark, topic), 2)
+    assert not apply_batch(again, replay_topic_files(spark, topic), 2, source=next(iter(again.batches)))
     assert contents(again) == before
 
 
@@ -118,14 +124,64 @@ def test_uncommitted_batch_is_invisible(spark, tmp_path):
     tables.write_version("users", rows, 1)
     tables.append("dead_letters", D.empty_entries(spark), 1)
     reopened = EntityTables(spark, str(tmp_path / "t"), buckets=2)
-    assert reopened.last_batch == 0
+    assert reopened.version == 0
     assert reopened.read("users").first()["last_name"] == "Last"
 
 
-def test_streaming_rate(spark, topic, tmp_path):
-    rates = rate_by_type(stream_topic_files(spark, topic), width="1 hour")
-    query = rates.writeStream.outputMode("complete").format("memory").queryName("rates").trigger(availableNow=True).start()
-    query.awaitTermination(300)
-    got = {r["event_type"]: r["events"] for r in spark.table("rates").collect()}
-    assert got == {"UserCreated": 6, "OrderPlaced": 4, "PaymentSettled": 2, "InventoryAdjusted": 3}
-    assert {r["event_type"]: r["events"] for r in current_rate(spark.table("rates")).collect()} == got
+def test_a_new_stream_meets_live_tables(spark, topic, tmp_path):
+    """A new checkpoint starts its batch numbers over; its messages are applied all the same."""
+    tables = EntityTables(spark, str(tmp_path / "t"), buckets=2)
+    replay(tables, replay_topic_files(spark, topic), now=NOW)
+    before = contents(tables)
+    spark.createDataFrame(topic_rows([user("b"), "garbage"], 100), S.TOPIC).coalesce(1).write.parquet(str(tmp_path / "second"))
+    start_ingest(stream_topic_files(spark, str(tmp_path / "second")), tables, str(tmp_path / "ck"), available_now=True).awaitTermination(600)
+    after = contents(tables)
+    assert len(after["users"]) == len(before["users"]) + 1 and len(after["dlq"]) == len(before["dlq"]) + 1
+    replay(tables, replay_topic_files(spark, topic), now=NOW)
+    again = contents(tables)
+    assert {k: again[k] for k in ("orders", "order_items", "payments")} == {k: after[k] for k in ("orders", "order_items", "payments")}
+    assert tables.read("users").count() == tables.read("users").select("user_id").distinct().count() == len(after["users"])
+
+
+def test_buckets_are_fixed(spark, tmp_path):
+    apply_batch(EntityTables(spark, str(tmp_path / "t"), buckets=3), spark.createDataFrame(topic_rows([user("u")]), S.TOPIC), 0, NOW)
+    with pytest.raises(ValueError, match="3 buckets"):
+        EntityTables(spark, str(tmp_path / "t"), buckets=8)
+    tables = EntityTables(spark, str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="missing"):
+        apply_batch(tables, spark.createDataFrame([], S.TOPIC), 5, NOW, source="elsewhere")
+    apply_batch(tables, spark.createDataFrame(topic_rows([user("u"), user("v")], 1), S.TOPIC), 0, NOW)
+    assert sorted(r[0] for r in tables.read("users").select("user_id").collect()) == ["u", "v"]
+
+
+def test_suppression_spares_nameless_and_refused_movements(spark, tmp_path):
+    tables = EntityTables(spark, str(tmp_path / "t"), buckets=2)
+    top = 2**31 - 1
+    first = [stock("s", 5, eventId=""), stock("s", 7, eventId=""), stock("z", 1, eventId=""), stock("q", top, eventId="a"),
+             stock("q", 100, eventId="b"), stock("q", 100, "subtract", eventId="c"), stock("q", 100, eventId="b"), stock("q", 100, eventId="b")]
+    apply_batch(tables, spark.createDataFrame(topic_rows(first), S.TOPIC), 0, NOW, dedupe_event_id=True)
+    assert {r["sku"]: r["quantity"] for r in tables.read("inventory").collect()} == {"s": 12, "z": 1, "q": top}
+    second = [stock("q", 50, "subtract", eventId="d"), stock("q", 100, eventId="b"), stock("q", 60, eventId="e")]
+    apply_batch(tables, spark.createDataFrame(topic_rows(second, 10), S.TOPIC), 0, NOW, dedupe_event_id=True)
+    third = [stock("q", 10, "subtract", eventId="f"), stock("q", 60, eventId="e")]
+    apply_batch(tables, spark.createDataFrame(topic_rows(third, 20), S.TOPIC), 0, NOW, dedupe_event_id=True)
+    assert tables.read("inventory").filter("sku = 'q'").first()["quantity"] == top
+    counts = {(r["batch_id"], r["status"]): r["n"] for r in tables.outcomes().groupBy("batch_id", "status").agg(F.sum("events").alias("n")).collect()}
+    assert counts == {(0, "success"): 6, (0, "error"): 1, (0, "suppressed"): 1, (1, "success"): 1, (1, "error"): 1, (1, "suppressed"): 1, (2, "success"): 2}
+
+
+@pytest.mark.parametrize("rows_per_slice", [2, 1_000_000])
+def test_offsets_decide_inside_a_partition(spark, rows_per_slice):
+    seconds = [10, 5, 5, 30, 7]
+    rows = [("k", "{}", "events", p, i, START + dt.timedelta(seconds=s + p)) for p in (0, 1) for i, s in enumerate(seconds)]
+    found = with_seq(spark.createDataFrame(rows, S.TOPIC), rows_per_slice).select("seq.*").collect()
+    times = {(r["partition"], r["offset"]): (r["timestamp"] - START).seconds for r in found}
+    assert times == {(p, i): s + p for p in (0, 1) for i, s in enumerate([10, 10, 10, 30, 30])}
+
+
+def test_the_later_offset_wins(spark, tmp_path):
+    rows = topic_rows([user("u", "old@x"), user("u", "new@x")])
+    rows = [(*r[:5], START - dt.timedelta(seconds=r[4])) for r in rows]
+    tables = EntityTables(spark, str(tmp_path / "t"), buckets=2)
+    apply_batch(tables, spark.createDataFrame(rows, S.TOPIC), 0, NOW)
+    assert tables.read("users").first()["email"] == "new@x"

@@ -11,46 +11,21 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidemark.session import staged
 
 #: Rows a single slice should hold.
 ROWS_PER_SLICE = 1_000_000
-_MAX_SLICES = 4096
-
-
-def lead_number(df: DataFrame, column: str) -> Column:
-    """A number that never decreases along ``column``: itself, or the leading field of a struct."""
-    dtype = df.schema[column].dataType
-    col = F.col(column)
-    if isinstance(dtype, T.StructType):
-        field = dtype.fields[0]
-        col, dtype = col[field.name], field.dataType
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(col)
-    return col
 
 
-def slice_bounds(df: DataFrame, lead: Column, rows_per_slice: int = ROWS_PER_SLICE) -> list:
-    """Cut points that split ``df`` along ``lead`` into slices of about ``rows_per_slice`` rows.
+def in_slices(df: DataFrame, order: list[str], rows_per_slice: int = ROWS_PER_SLICE, out: str = "slice") -> DataFrame:
+    """``df``, written once, with ``out``: the number of the run of about ``rows_per_slice`` rows it falls into.
 
-    Reads two numbers and at most a few thousand cut points to the driver, whatever the input size.
+    Runs follow each other along the whole ``order``, so rows that agree in its first columns are still told apart.
+    There are as many as the table needs. ``df`` is read three times (to count, to find the cuts, to write).
     """
-    n = df.count()
-    parts = min(ceil(n / rows_per_slice), _MAX_SLICES)
-    if parts <= 1:
-        return []
-    shares = [i / parts for i in range(1, parts)]
-    accuracy = max(10_000, 20 * parts)
-    cuts = df.agg(F.percentile_approx(lead, shares, accuracy).alias("cuts")).first()["cuts"] or []
-    return sorted(set(cuts))
-
-
-def slice_index(lead: Column, bounds: list) -> Column:
-    """Position of the slice a row falls into; a null lead comes before every slice."""
-    if not bounds:
-        return F.when(lead.isNull(), F.lit(-1)).otherwise(F.lit(0))
-    cuts = F.array(*[F.lit(b) for b in bounds])
-    return F.when(lead.isNull(), F.lit(-1)).otherwise(F.size(F.filter(cuts, lambda cut: lead > cut)))
+    runs = max(1, ceil(df.count() / rows_per_slice))
+    return staged(df.repartitionByRange(runs, *order).withColumn(out, F.spark_partition_id()))
 
 
 def _ordering(order: list[str], descending: bool) -> list[Column]:
@@ -63,18 +38,13 @@ def last_before(
     order: list[str],
     value: Column,
     out: str,
-    slice_col: str | None,
+    slice_col: str,
     descending: bool = False,
 ) -> DataFrame:
     """Add ``out``: the nearest non-null ``value`` strictly before each row of its key.
 
-    With ``descending`` the scan runs the other way and finds the nearest value after the row. Without
-    ``slice_col`` the whole table must fit one slice, and a plain window does.
+    With ``descending`` the scan runs the other way and finds the nearest value after the row.
     """
-    if slice_col is None:
-        before = Window.partitionBy(*keys).orderBy(*_ordering(order, descending))
-        before = before.rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(before))
     df = df.withColumn("_value", value)
     before = (
         Window.partitionBy(*keys, slice_col)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 
+# The beginnings of the errors, here and in the functions below.
 TOO_LONG = "String or binary data would be truncated in column "
 OUT_OF_RANGE = "Arithmetic overflow error in column "
 

@@ -16,8 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.ordered import ROWS_PER_SLICE, last_before, lead_number, slice_bounds, slice_index
-from tidemark.session import cut_lineage
+from tidemark.functions.ordered import ROWS_PER_SLICE, in_slices, last_before
+from tidemark.session import staged
 
 
 def contested_addresses(claims: DataFrame, holders: DataFrame) -> DataFrame:
@@ -55,14 +55,14 @@ def _contest(claims: DataFrame, holders: DataFrame, contested: DataFrame) -> Dat
     return held.unionByName(messages)
 
 
-def _judge(events: DataFrame, cut: str | None) -> DataFrame:
+def _judge(events: DataFrame) -> DataFrame:
     """One round: the outcome of every message given the current outcomes of the earlier ones."""
     order = ["gen", "seq"]
-    moved = last_before(events, ["user_id"], order, F.when(F.col("ok"), F.col("email")), "_prior_email", cut)
+    moved = last_before(events, ["user_id"], order, F.when(F.col("ok"), F.col("email")), "_prior_email", "slice")
     is_move = F.col("ok") & F.col("_prior_email").isNotNull() & (F.col("_prior_email") != F.col("email"))
-    left = last_before(moved, ["user_id"], order, F.when(is_move, F.col("seq")), "_left_at", cut, descending=True)
+    left = last_before(moved, ["user_id"], order, F.when(is_move, F.col("seq")), "_left_at", "slice", descending=True)
     claim = F.when(F.col("ok"), F.struct(F.col("user_id").alias("holder"), F.col("_left_at").alias("left_at")))
-    seen = last_before(left, ["email"], order, claim, "_last", cut)
+    seen = last_before(left, ["email"], order, claim, "_last", "slice")
     free = (
         F.col("_last").isNull()
         | (F.col("_last.holder") == F.col("user_id"))
@@ -77,13 +77,10 @@ def refused_claims(claims: DataFrame, holders: DataFrame, rows_per_slice: int =
     ``claims(seq, user_id, email)`` are messages that passed the row constraints; ``holders(user_id,
     email)`` is the stored table.
     """
-    contested = cut_lineage(contested_addresses(claims, holders))
+    contested = staged(contested_addresses(claims, holders))
     if contested.isEmpty():
         return claims.select("seq").limit(0)
-    events = cut_lineage(_contest(claims, holders, contested))
-    lead = lead_number(events, "seq")
-    cuts = slice_bounds(events, lead, rows_per_slice)
-    events = events.withColumn("slice", slice_index(lead, cuts))
+    events = in_slices(staged(_contest(claims, holders, contested)), ["gen", "seq", "user_id"], rows_per_slice)
 
     # First guess: the first claimant keeps the address for good.
     first = events.filter(~F.col("sure") | (F.col("gen") == 0)).groupBy("email").agg(
@@ -94,7 +91,7 @@ def refused_claims(claims: DataFrame, holders: DataFrame, rows_per_slice: int =
     )
     state = state.drop("_first_user")
     while True:
-        judged = cut_lineage(_judge(state, "slice" if cuts else None))
+        judged = staged(_judge(state))
         if judged.filter("ok <> next_ok").isEmpty():
             return judged.filter("gen = 1 AND NOT ok").select("seq")
         state = judged.drop("ok").withColumnRenamed("next_ok", "ok")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.functions.ordered import lead_number, slice_bounds, slice_index, positions
+from tidemark.functions.ordered import in_slices, positions
 
 # Severity labels and their patterns, first match wins, case is ignored.
 SEVERITIES = (
@@ -76,9 +76,7 @@ def correlated_lines(parsed: DataFrame, event_ids: DataFrame | None = None) -> D
 
 def numbered_lines(parsed: DataFrame, order: list[str], rows_per_slice: int = 1_000_000) -> DataFrame:
     """Add ``line_no`` (0-based) in the order of ``order``."""
-    lead = lead_number(parsed, order[0])
-    cuts = slice_bounds(parsed, lead, rows_per_slice)
-    return positions(parsed.withColumn("_slice", slice_index(lead, cuts)), order, "line_no", ["_slice"]).drop("_slice")
+    return positions(in_slices(parsed, order, rows_per_slice, "_slice"), order, "line_no", ["_slice"]).drop("_slice")
 
 
 def tail(lines: DataFrame, n: int, order: list[str]) -> DataFrame:
@@ -88,5 +86,5 @@ def tail(lines: DataFrame, n: int, order: list[str]) -> DataFrame:
 
 
 def retained(parsed: DataFrame, now: Column, hours: int = 24, time: str = "time") -> DataFrame:
-    """Lines not older than ``hours``."""
-    return parsed.filter(F.col(time) >= now - F.expr(f"INTERVAL {int(hours)} HOURS"))
+    """Lines not older than ``hours``; a line without a time has no age and stays."""
+    return parsed.filter(F.col(time).isNull() | (F.col(time) >= now - F.expr(f"INTERVAL {int(hours)} HOURS")))

@@ -101,9 +101,13 @@ def merge_inventory(stored: DataFrame, accepted: DataFrame, now: Column | dateti
 
 
 def first_deliveries(events: DataFrame) -> DataFrame:
-    """Opt-in duplicate suppression: keep the earliest message of each ``event_id``."""
-    first = events.groupBy("event_id").agg(F.min("seq").alias("seq"))
-    return events.join(first, ["event_id", "seq"], "left_semi")
+    """Opt-in duplicate suppression: the earliest message of each ``event_id`` and sku.
+
+    Messages without an id are no deliveries of each other and all stay.
+    """
+    named = events.filter("event_id <> ''")
+    first = named.groupBy("event_id", "sku").agg(F.min("seq").alias("seq"))
+    return named.join(first, ["event_id", "sku", "seq"], "left_semi").unionByName(events.filter("event_id = ''"))
 
 
 def empty_tables(spark) -> dict[str, DataFrame]:

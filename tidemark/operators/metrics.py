@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.ordered import running_total
+from tidemark.functions.ordered import ROWS_PER_SLICE, in_slices, running_total
+from tidemark.session import staged
 
 # Upper bounds of the latency buckets, in seconds; a last bucket is unbounded.
 BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
@@ -82,19 +83,15 @@ def histogram_quantile(histogram: DataFrame, by: list[str], q: float) -> DataFra
 
 def exact_quantiles(
     durations: DataFrame, by: list[str], quantiles: dict[str, float], duration: str = "duration_seconds",
-    slice_width: float = 1.0,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Interpolated quantiles of the actual durations, one column per entry of ``quantiles``.
 
-    Durations are first counted per distinct value; ranks come from running counts over value slices of
-    ``slice_width``, so no group is sorted in one task.
+    Durations are first counted per distinct value, once; ranks come from running counts over slices of
+    ``rows_per_slice`` values, so no group is sorted in one task.
     """
-    counted = (
-        durations.filter(F.col(duration).isNotNull())
-        .groupBy(*by, F.col(duration).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_slice", F.coalesce(F.floor(F.col("_v") / F.lit(slice_width)), F.lit(0)))
-    )
+    counted = durations.filter(F.col(duration).isNotNull()).groupBy(*by, F.col(duration).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = in_slices(staged(counted), ["_v", *by], rows_per_slice, "_slice")
     ranked = running_total(counted, by, ["_v"], F.col("_n"), "_upto", "_slice", total="_size")
 
     def value_at(rank: Column) -> Column:

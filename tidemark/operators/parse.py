@@ -160,6 +160,7 @@ def parse_events(log: DataFrame) -> DataFrame:
     cases = " ".join(f"WHEN '{t}' THEN {wrong}" for t, wrong in wrong_bodies.items())
     steps.append({"_wrong_body": f"if(_readable, CASE event_type {cases} ELSE '' END, '')"})
 
+    # The beginnings of the errors.
     outputs = {
         "event_id": "event_id",
         "event_type": "event_type",

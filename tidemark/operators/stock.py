@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas as S
-from tidemark.functions.ordered import ROWS_PER_SLICE, lead_number, slice_bounds, slice_index
-from tidemark.session import cut_lineage
+from tidemark.functions.ordered import ROWS_PER_SLICE, in_slices
+from tidemark.session import staged
 
 
 def risky_skus(moves: DataFrame, balances: DataFrame) -> DataFrame:
@@ -94,16 +94,12 @@ def refused_moves(moves: DataFrame, balances: DataFrame, rows_per_slice: int = R
 
     ``moves(seq, sku, delta)`` passed the row constraints; ``balances(sku, quantity)`` is the stored table.
     """
-    risky = cut_lineage(risky_skus(moves, balances))
+    risky = staged(risky_skus(moves, balances))
     if risky.isEmpty():
         return moves.select("seq").limit(0)
     parts, names, back = _seq_parts(moves)
-    lead = lead_number(moves, "seq")
-    risky_moves = moves.join(risky.select("sku"), "sku", "left_semi")
-    cuts = slice_bounds(risky_moves, lead, rows_per_slice)
-    tape = cut_lineage(
-        risky_moves.select("sku", "delta", slice_index(lead, cuts).cast("int").alias("slice"), *parts)
-    )
+    tape = staged(moves.join(risky.select("sku"), "sku", "left_semi").select("sku", "delta", *parts))
+    tape = in_slices(tape, [*names, "sku"], rows_per_slice)
     summary = tape.groupBy("sku", "slice").agg(F.sum("delta").alias("moved")).join(risky, "sku")
 
     def closing(keys, group: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
@@ -114,16 +110,17 @@ def refused_moves(moves: DataFrame, balances: DataFrame, rows_per_slice: int = R
         return pd.DataFrame({"sku": pd.Series([keys[0]], dtype=object), "slice": [keys[1]], "closing": [balance]})
 
     by_slice = ["sku", "slice"]
-    state = cut_lineage(_guess_openings(summary).withColumns({"closing": F.lit(None).cast("bigint"), "todo": F.lit(True)}))
+    state = staged(_guess_openings(summary).withColumns({"closing": F.lit(None).cast("bigint"), "todo": F.lit(True)}))
     previous = Window.partitionBy("sku").orderBy("slice")
     while True:
         todo = state.filter("todo").select("sku", "slice", "opening")
         played = (
-            tape.groupBy(*by_slice)
+            tape.join(todo.select(*by_slice), by_slice, "left_semi")
+            .groupBy(*by_slice)
             .cogroup(todo.groupBy(*by_slice))
             .applyInPandas(closing, "sku string, slice int, closing bigint")
         )
-        state = cut_lineage(
+        state = staged(
             state.withColumnRenamed("closing", "_old")
             .join(played, by_slice, "left")
             .withColumn("closing", F.coalesce("closing", "_old"))

@@ -16,6 +16,7 @@ from tidemark.operators.parse import MESSAGE_COLUMNS, parse_events, route, unrou
 from tidemark.operators.stock import refused_moves
 from tidemark.session import staged
 
+# The beginnings of the errors.
 _NO_USER = "failed to upsert order: FOREIGN KEY conflict in column user_id"
 _NO_ORDER = "failed to upsert payment: FOREIGN KEY conflict in column order_id"
 _EMAIL_TAKEN = "failed to upsert user: UNIQUE KEY violation in column email"
@@ -24,10 +25,14 @@ _BALANCE = f"failed to upsert inventory: {C.OUT_OF_RANGE}quantity"
 
 @dataclass(frozen=True)
 class Verdicts:
-    """Accepted and rejected events of one entity; rejected ones keep their message and the reason."""
+    """Accepted and rejected events of one entity; rejected ones keep their message and the reason.
+
+    ``suppressed`` are repeated deliveries that change nothing, if those are looked for.
+    """
 
     accepted: DataFrame
     rejected: DataFrame
+    suppressed: DataFrame | None = None
 
 
 def _rejects(df: DataFrame, error: Column | None = None, cause: Column | None = None) -> DataFrame:
@@ -44,15 +49,27 @@ def _split(checked: DataFrame, path: str | None) -> Verdicts:
     )
 
 
-def settle_users(users: DataFrame, stored_users: DataFrame) -> Verdicts:
+def _with_refusals(checked: DataFrame, refused: DataFrame, error: str, cause: str) -> DataFrame:
+    """Judged rows of which those in ``refused(seq)`` fail as well."""
+    lost = checked.join(refused.withColumn("_lost", F.lit(True)), "seq", "left")
+    return lost.withColumns(
+        {
+            "error": F.coalesce("error", F.when(F.col("_lost"), F.lit(error))),
+            "error_class": F.coalesce("error_class", F.when(F.col("_lost"), F.lit(cause))),
+        }
+    ).drop("_lost")
+
+
+def _sound(checked: DataFrame) -> DataFrame:
+    return checked.filter("error IS NULL").drop("error", "error_class")
+
+
+def settle_users(users: DataFrame, stored_users: DataFrame, path: str | None = None) -> Verdicts:
     """Length limits, then email uniqueness in log order."""
     checked = C.user_errors(users)
-    sound = checked.filter("error IS NULL").drop("error", "error_class")
-    refused = refused_claims(sound.select("seq", "user_id", "email"), stored_users.select("user_id", "email"))
-    rejected = _rejects(checked.filter("error IS NOT NULL")).unionByName(
-        _rejects(sound.join(refused, "seq", "left_semi"), F.lit(_EMAIL_TAKEN), F.lit("unique"))
-    )
-    return Verdicts(sound.join(refused, "seq", "left_anti"), rejected)
+    claims = _sound(checked).select("seq", "user_id", "email")
+    refused = refused_claims(claims, stored_users.select("user_id", "email"))
+    return _split(_with_refusals(checked, refused, _EMAIL_TAKEN, "unique"), path)
 
 
 def settle_orders(
@@ -87,24 +104,41 @@ def settle_payments(
 
 
 def settle_stock(
-    stock: DataFrame, stored_inventory: DataFrame, dedupe_event_id: bool = False, seen: DataFrame | None = None
+    stock: DataFrame,
+    stored_inventory: DataFrame,
+    dedupe_event_id: bool = False,
+    seen: DataFrame | None = None,
+    path: str | None = None,
 ) -> Verdicts:
     """Row limits, then the running balance must stay in range.
 
-    With ``dedupe_event_id`` only the first delivery of an event id counts; ``seen`` holds the ids of
-    earlier batches.
+    With ``dedupe_event_id`` an event id moves its sku once: deliveries after the accepted one are suppressed, those
+    after a refused one are tried again. ``seen`` holds the ids accepted in earlier batches.
     """
-    if dedupe_event_id:
-        stock = M.first_deliveries(stock)
-        if seen is not None:
-            stock = stock.join(seen.select("event_id"), "event_id", "left_anti")
     checked = C.stock_errors(M.with_delta(stock))
-    sound = checked.filter("error IS NULL").drop("error", "error_class")
-    refused = refused_moves(sound.select("seq", "sku", "delta"), stored_inventory.select("sku", "quantity"))
-    rejected = _rejects(checked.filter("error IS NOT NULL")).unionByName(
-        _rejects(sound.join(refused, "seq", "left_semi"), F.lit(_BALANCE), F.lit("numeric"))
-    )
-    return Verdicts(sound.join(refused, "seq", "left_anti"), rejected)
+    balances = stored_inventory.select("sku", "quantity")
+    if not dedupe_event_id:
+        refused = refused_moves(_sound(checked).select("seq", "sku", "delta"), balances)
+        return _split(_with_refusals(checked, refused, _BALANCE, "numeric"), path)
+    sound = staged(_sound(checked))
+    known = sound if seen is None else sound.join(seen.select("event_id").filter("event_id <> ''").distinct(), "event_id", "left_anti")
+    known = staged(known)
+    lost = staged(known.select("seq").limit(0))
+    while True:
+        tried = M.first_deliveries(known.join(lost, "seq", "left_anti"))
+        refused = staged(refused_moves(tried.select("seq", "sku", "delta"), balances))
+        # A refused delivery makes room for the next one of its id. The earliest such delivery of a sku is settled;
+        # what comes after it may change by the one that takes its turn.
+        failed = tried.join(refused, "seq", "left_semi").filter("event_id <> ''").select("event_id", "sku", F.col("seq").alias("_failed"))
+        again = known.join(failed, ["event_id", "sku"]).filter("seq > _failed")
+        turns = staged(again.groupBy("sku").agg(F.min("_failed").alias("seq")).select("seq"))
+        if turns.isEmpty():
+            break
+        lost = staged(lost.union(turns))
+    verdicts = _split(_with_refusals(checked, refused.union(lost), _BALANCE, "numeric"), path)
+    accepted = staged(tried.join(refused, "seq", "left_anti"))
+    suppressed = verdicts.accepted.join(accepted.select("seq"), "seq", "left_anti")
+    return Verdicts(accepted, verdicts.rejected, suppressed)
 
 
 @dataclass(frozen=True)
@@ -146,13 +180,13 @@ class Settlement:
         }
 
     def outcomes(self) -> DataFrame:
-        """``event_type, status`` of every message that reached routing (one row per message)."""
-        failed = self.rejected().filter("counted").select("event_type", F.lit("error").alias("status"))
-        done = None
+        """``event_type, status, seq`` of every message that reached routing (one row per message)."""
+        rows = self.rejected().filter("counted").select("event_type", F.lit("error").alias("status"), "seq")
         for event_type, verdict in self._by_type():
-            part = verdict.accepted.select(F.lit(event_type).alias("event_type"), F.lit("success").alias("status"))
-            done = part if done is None else done.unionByName(part)
-        return done.unionByName(failed)
+            for status, events in (("success", verdict.accepted), ("suppressed", verdict.suppressed)):
+                if events is not None:
+                    rows = rows.unionByName(events.select(F.lit(event_type).alias("event_type"), F.lit(status).alias("status"), "seq"))
+        return rows
 
 
 def settle(log: DataFrame, stored: dict[str, DataFrame], dedupe_event_id: bool = False) -> Settlement:
@@ -169,9 +203,9 @@ def settle_parsed(
     seen: DataFrame | None = None,
 ) -> Settlement:
     """Decide parsed messages; ``work`` is a folder whose previous intermediate tables are replaced."""
-    orders_path, payments_path = (f"{work}/orders", f"{work}/payments") if work else (None, None)
-    users = settle_users(route(parsed, S.USER_CREATED), stored["users"])
-    orders = settle_orders(route(parsed, S.ORDER_PLACED), users.accepted, stored["users"], orders_path)
-    payments = settle_payments(route(parsed, S.PAYMENT_SETTLED), orders.accepted, stored["orders"], payments_path)
-    stock = settle_stock(route(parsed, S.INVENTORY_ADJUSTED), stored["inventory"], dedupe_event_id, seen)
+    paths = {name: f"{work}/{name}" if work else None for name in ("users", "orders", "payments", "stock")}
+    users = settle_users(route(parsed, S.USER_CREATED), stored["users"], paths["users"])
+    orders = settle_orders(route(parsed, S.ORDER_PLACED), users.accepted, stored["users"], paths["orders"])
+    payments = settle_payments(route(parsed, S.PAYMENT_SETTLED), orders.accepted, stored["orders"], paths["payments"])
+    stock = settle_stock(route(parsed, S.INVENTORY_ADJUSTED), stored["inventory"], dedupe_event_id, seen, paths["stock"])
     return Settlement(parsed, users, orders, payments, stock)

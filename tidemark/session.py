@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextvars
+import itertools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,21 +48,28 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from the written copy."""
-    sc = df.sparkSession.sparkContext
-    folder = shared_folder(df.sparkSession)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+_scratch: contextvars.ContextVar[tuple[str, itertools.count] | None] = contextvars.ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_folder(path: str) -> Iterator[None]:
+    """Intermediate tables staged inside go to numbered places under ``path`` and replace those of the last time."""
+    token = _scratch.set((path, itertools.count()))
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
 
 
 def staged(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Write ``df`` once as Parquet and read it back, so that several consumers share the work.
+    """Write ``df`` once as Parquet to the shared folder and read it back, so that several consumers share the work.
 
-    Unlike a checkpoint the copy is columnar: each consumer reads its own columns.
+    The copy also cuts the lineage of iterative operators. Unlike a checkpoint it is columnar and has statistics: each
+    consumer reads its own columns, and joins are planned by its real size.
     """
     spark = df.sparkSession
+    if path is None and (scratch := _scratch.get()):
+        path = f"{scratch[0]}/{next(scratch[1])}"
     path = path or f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

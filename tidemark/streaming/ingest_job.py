@@ -2,65 +2,98 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas as S
 from tidemark.operators.dead_letters import to_dead_letters
-from tidemark.operators.metrics import processed_total
-from tidemark.operators.parse import parse_events, route, with_lane
+from tidemark.operators.parse import parse_events, with_lane
 from tidemark.plans.ingest import settle_parsed
-from tidemark.session import staged
+from tidemark.session import scratch_folder, staged
 from tidemark.sources.topic import with_seq
 from tidemark.streaming.tables import EntityTables
 
-#: Side table of the stock event ids of each batch, kept only when duplicates are to be suppressed.
+#: Side table of the event ids of each batch's accepted stock movements, kept only when duplicates are to be suppressed.
 _STOCK_IDS = "stock_event_ids"
 
 
 def apply_batch(
-    tables: EntityTables, log: DataFrame, batch_id: int, now: datetime | None = None, dedupe_event_id: bool = False
+    tables: EntityTables,
+    log: DataFrame,
+    batch_id: int = 0,
+    now: datetime | None = None,
+    dedupe_event_id: bool = False,
+    source: str | None = None,
 ) -> bool:
-    """Apply one batch of topic rows; returns false when the batch was committed before.
+    """Apply one batch of topic rows; returns false when this batch of the source was committed before.
 
+    ``source`` names a run of numbered batches. Without a name the batch stands for itself and is always applied.
     Tables, dead letters and counters of a batch become visible together with its commit.
     """
-    if batch_id <= tables.last_batch:
+    if source is None:
+        source, batch_id = f"single-{uuid.uuid4().hex}", 0
+    if tables.applied(source, batch_id):
         return False
+    version = tables.version + 1
     now = now or datetime.now(timezone.utc)
     work = f"{tables.root}/work"
-    parsed = staged(with_lane(parse_events(with_seq(log))), f"{work}/parsed")
-    seen = tables.read_appended(_STOCK_IDS, "event_id STRING, batch_id BIGINT") if dedupe_event_id else None
-    outcome = settle_parsed(parsed, tables.read_all(), dedupe_event_id, work, seen)
-
-    accepted = {
-        "users": outcome.users.accepted,
-        "orders": outcome.orders.accepted,
-        "order_items": outcome.orders.accepted,
-        "payments": outcome.payments.accepted,
-        "inventory": outcome.stock.accepted,
-    }
-    touched: dict[str, list[int]] = {}
-    for name, rows in accepted.items():
-        touched[name] = touched["orders"] if name == "order_items" else tables.touched(rows, name)
-    stored = {name: tables.read(name, buckets) for name, buckets in touched.items()}
-    merged = outcome.merged(stored, now)
-    for name, buckets in touched.items():
-        if buckets:
-            tables.write_version(name, merged[name], batch_id)
-
-    tables.append("dead_letters", to_dead_letters(outcome.rejected(), batch_id, now), batch_id)
-    if dedupe_event_id:
-        delivered = route(parsed, S.INVENTORY_ADJUSTED).select("event_id").distinct()
-        tables.append(_STOCK_IDS, delivered, batch_id)
-    tables.append("outcomes", processed_total(outcome.outcomes()).coalesce(1), batch_id)
-    tables.commit(batch_id, touched)
+    stages, since = {}, time.perf_counter()
+
+    def done(stage: str) -> None:
+        nonlocal since
+        stages[stage], since = time.perf_counter() - since, time.perf_counter()
+
+    with scratch_folder(f"{work}/scratch"):
+        parsed = staged(with_lane(parse_events(with_seq(log))), f"{work}/parsed")
+        done("parse")
+        seen = tables.read_appended(_STOCK_IDS, "event_id STRING, batch_id BIGINT") if dedupe_event_id else None
+        outcome = settle_parsed(parsed, tables.read_all(), dedupe_event_id, work, seen)
+        done("settle")
+
+        accepted = {
+            "users": outcome.users.accepted,
+            "orders": outcome.orders.accepted,
+            "order_items": outcome.orders.accepted,
+            "payments": outcome.payments.accepted,
+            "inventory": outcome.stock.accepted,
+        }
+        touched: dict[str, list[int]] = {}
+        for name, rows in accepted.items():
+            touched[name] = touched["orders"] if name == "order_items" else tables.touched(rows, name)
+        stored = {name: tables.read(name, buckets) for name, buckets in touched.items()}
+        merged = outcome.merged(stored, now)
+        for name, buckets in touched.items():
+            if buckets:
+                tables.write_version(name, merged[name], version)
+        done("merge")
+
+        tables.append("dead_letters", to_dead_letters(outcome.rejected(), version, now), version)
+        if dedupe_event_id:
+            tables.append(_STOCK_IDS, outcome.stock.accepted.filter("event_id <> ''").select("event_id").distinct(), version)
+        tick = F.date_trunc("second", F.col("seq.timestamp")).alias("tick")
+        counted = outcome.outcomes().groupBy(tick, "event_type", "status").agg(F.count(F.lit(1)).alias("events"))
+        tables.append("outcomes", counted, version)
+        done("report")
+        tables.commit(version, source, batch_id, touched, stages)
     return True
 
 
+def _source_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that a checkpoint belongs to; it lives and dies with the checkpoint's folder."""
+    path = f"{checkpoint.rstrip('/')}/ingest_source"
+    try:
+        return spark.read.schema("source STRING").parquet(path).first()["source"]
+    except AnalysisException:
+        spark.createDataFrame([(f"stream-{uuid.uuid4().hex}",)], "source STRING").coalesce(1).write.parquet(path)
+        return spark.read.schema("source STRING").parquet(path).first()["source"]
+
+
 def start_ingest(
     topic: DataFrame,
     tables: EntityTables,
@@ -71,12 +104,14 @@ def start_ingest(
 ) -> StreamingQuery:
     """Run the ingest over a streaming topic source.
 
-    A failed batch is retried by Structured Streaming with the same id and the same messages; nothing
-    is dropped and nothing is applied twice.
+    A failed batch is retried by Structured Streaming with the same number and the same messages; nothing
+    is dropped and nothing is applied twice. A new checkpoint is a new source: its batches are applied to what the
+    tables hold, whatever numbers they have, so a topic can be read again from its start.
     """
+    source = _source_id(tables.spark, checkpoint)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(tables, batch.select(*S.TOPIC.names), batch_id, dedupe_event_id=dedupe_event_id)
+        apply_batch(tables, batch.select(*S.TOPIC.names), batch_id, dedupe_event_id=dedupe_event_id, source=source)
 
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (
@@ -88,29 +123,10 @@ def start_ingest(
     )
 
 
-def replay(tables: EntityTables, log: DataFrame, batch_id: int = 0, now: datetime | None = None) -> None:
-    """Rebuild empty tables from a bounded log in one batch."""
-    apply_batch(tables, log, batch_id, now)
-
+def replay(tables: EntityTables, log: DataFrame, now: datetime | None = None, dedupe_event_id: bool = False) -> None:
+    """Apply a bounded log in one batch, onto whatever the tables hold.
 
-def rate_by_type(topic: DataFrame, late: str = "1 minute", width: str = "1 second") -> DataFrame:
-    """Streaming messages per second and event type, by broker time, for decodable messages.
-
-    The watermark only bounds the state; order-sensitive rules never look at it.
+    Users, orders, items and payments that were there come out the same; stock moves again unless event ids are
+    deduplicated.
     """
-    parsed = parse_events(topic.withWatermark("timestamp", late))
-    return (
-        parsed.filter(F.col("error").isNull())
-        .groupBy(F.window("timestamp", width).alias("_tick"), "event_type")
-        .agg(F.count(F.lit(1)).alias("events"))
-        .select(F.col("_tick.start").alias("tick"), "event_type", "events")
-    )
-
-
-def stage_latencies(query: StreamingQuery) -> list[tuple[int, str, float]]:
-    """``(batch_id, stage, seconds)`` of the recent batches, from the query's own progress reports."""
-    rows = []
-    for progress in query.recentProgress:
-        for stage, millis in progress["durationMs"].items():
-            rows.append((progress["batchId"], stage, millis / 1000.0))
-    return rows
+    apply_batch(tables, log, now=now, dedupe_event_id=dedupe_event_id)

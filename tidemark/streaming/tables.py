@@ -1,9 +1,10 @@
 """The five entity tables as bucketed Parquet snapshots, replaced bucket by bucket and committed per batch.
 
 Plain Parquet has no MERGE, so a batch writes new copies of the buckets it touches under its own
-version folder and then commits one small file that says which version of each bucket is current. A
-batch that fails before the commit leaves the tables as they were; a batch that is delivered again
-after its commit is recognised by its id.
+version folder and then commits one small file that says which version of each bucket is current, how many
+buckets there are, and which batch of each source was applied last. A batch that fails before the commit leaves the
+tables as they were. Versions are numbered by the tables themselves: batch numbers of different sources, or of a
+source that starts over, have nothing to do with each other.
 """
 
 from __future__ import annotations
@@ -16,27 +17,49 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 
-_COMMIT_SCHEMA = "table STRING, bucket INT, version BIGINT"
+#: ``bucket``: current version of a bucket of table ``name``; ``buckets``: their count; ``source``: last batch of source
+#: ``name``; ``stage``: microseconds that stage ``name`` of the committed batch took.
+_COMMIT_SCHEMA = "kind STRING, name STRING, bucket INT, number BIGINT"
+_DEFAULT_BUCKETS = 64
 
 
 class EntityTables:
-    """Reader and single writer of the tables under ``root``."""
+    """Reader and single writer of the tables under ``root``.
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        self.last_batch, self._current = self._load()
+    The number of buckets is fixed with the first commit; opening the tables with another number is an error, as rows
+    would be looked for in the wrong buckets.
+    """
 
-    def _load(self) -> tuple[int, dict[tuple[str, int], int]]:
-        """The newest commit: one row per bucket ever written, so its size is fixed by the bucket count."""
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.version, self.batches, self._current, stored = self._load()
+        if stored and buckets not in (None, stored):
+            raise ValueError(f"the tables under {root} have {stored} buckets, not {buckets}")
+        self.buckets = stored or buckets or _DEFAULT_BUCKETS
+
+    def _commits(self) -> DataFrame | None:
         try:
-            commits = self.spark.read.schema(f"{_COMMIT_SCHEMA}, batch_id BIGINT").parquet(f"{self.root}/commits")
+            return self.spark.read.schema(f"{_COMMIT_SCHEMA}, version BIGINT").parquet(f"{self.root}/commits")
         except AnalysisException:
-            return -1, {}
-        newest = commits.agg(F.max("batch_id")).first()[0]
+            return None
+
+    def _load(self) -> tuple[int, dict[str, int], dict[tuple[str, int], int], int]:
+        """The newest commit: a row per bucket and source, so its size does not depend on the rows."""
+        commits = self._commits()
+        newest = commits.agg(F.max("version")).first()[0] if commits is not None else None
         if newest is None:
-            return -1, {}
-        rows = commits.filter(F.col("batch_id") == newest).collect()
-        return newest, {(r["table"], r["bucket"]): r["version"] for r in rows if r["table"]}
+            return -1, {}, {}, 0
+        rows = commits.filter(F.col("version") == newest).collect()
+        batches = {r["name"]: r["number"] for r in rows if r["kind"] == "source"}
+        current = {(r["name"], r["bucket"]): r["number"] for r in rows if r["kind"] == "bucket"}
+        return newest, batches, current, next(r["number"] for r in rows if r["kind"] == "buckets")
+
+    def applied(self, source: str, batch_id: int) -> bool:
+        """Whether this batch of the source is in the tables; a batch beyond the next one is an error."""
+        last = self.batches.get(source, -1)
+        if batch_id > last + 1:
+            raise ValueError(f"batch {batch_id} of source {source} follows batch {last} here: batches in between are missing")
+        return batch_id <= last
 
     def bucket_of(self, key: str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
@@ -61,7 +84,7 @@ class EntityTables:
     def read_all(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in S.TABLES}
 
-    def write_version(self, table: str, rows: DataFrame, batch_id: int) -> None:
+    def write_version(self, table: str, rows: DataFrame, version: int) -> None:
         """Write new contents of the touched buckets; readers do not see them before the commit."""
         (
             rows.select(*S.TABLES[table].names)
@@ -69,51 +92,64 @@ class EntityTables:
             .hint("rebalance", "bucket")
             .write.mode("overwrite")
             .partitionBy("bucket")
-            .parquet(f"{self.root}/{table}/version={batch_id}")
+            .parquet(f"{self.root}/{table}/version={version}")
         )
 
-    def commit(self, batch_id: int, touched: dict[str, list[int]]) -> None:
-        """Make the versions written for ``batch_id`` current, all tables at once."""
+    def commit(self, version: int, source: str, batch_id: int, touched: dict[str, list[int]], stages: dict[str, float] | None = None) -> None:
+        """Make ``version`` current, all tables at once, and note the batch it came from."""
         current = dict(self._current)
         for table, buckets in touched.items():
-            written = self._written(table, batch_id) if buckets else set()
+            written = self._written(table, version) if buckets else set()
             for bucket in buckets:
                 if bucket in written:
-                    current[(table, bucket)] = batch_id
+                    current[(table, bucket)] = version
                 else:
                     current.pop((table, bucket), None)
-        rows = [(t, b, v) for (t, b), v in sorted(current.items())] or [(None, None, None)]
-        (
-            self.spark.createDataFrame(rows, _COMMIT_SCHEMA)
-            .coalesce(1)
-            .write.mode("overwrite")
-            .parquet(f"{self.root}/commits/batch_id={batch_id}")
-        )
-        self.last_batch, self._current = batch_id, current
-
-    def _written(self, table: str, batch_id: int) -> set[int]:
+        batches = {**self.batches, source: batch_id}
+        rows = [("buckets", None, None, self.buckets)]
+        rows += [("bucket", t, b, v) for (t, b), v in sorted(current.items())]
+        rows += [("source", s, None, b) for s, b in sorted(batches.items())]
+        rows += [("stage", name, None, round(1e6 * seconds)) for name, seconds in (stages or {}).items()]
+        commit = self.spark.createDataFrame(rows, _COMMIT_SCHEMA).coalesce(1)
+        commit.write.mode("overwrite").parquet(f"{self.root}/commits/version={version}")
+        self.version, self.batches, self._current = version, batches, current
+
+    def stage_latencies(self) -> DataFrame:
+        """``(version, stage, seconds)`` of every committed batch."""
+        commits = self._commits()
+        if commits is None:
+            return self.spark.createDataFrame([], "version BIGINT, stage STRING, seconds DOUBLE")
+        seconds = (F.col("number") / 1e6).alias("seconds")
+        return commits.filter("kind = 'stage'").select("version", F.col("name").alias("stage"), seconds)
+
+    def _written(self, table: str, version: int) -> set[int]:
         """Buckets that have rows in a version; a bucket whose last item rows went away has none."""
         try:
-            version = self.spark.read.schema("bucket INT").parquet(f"{self.root}/{table}/version={batch_id}")
+            written = self.spark.read.schema("bucket INT").parquet(f"{self.root}/{table}/version={version}")
         except AnalysisException:
             return set()
-        return {r["bucket"] for r in version.select("bucket").distinct().collect()}
+        return {r["bucket"] for r in written.select("bucket").distinct().collect()}
 
-    def append(self, name: str, rows: DataFrame, batch_id: int) -> None:
+    def append(self, name: str, rows: DataFrame, version: int) -> None:
         """Rows of an append-only side table; a repeated batch replaces its own rows."""
-        rows.drop("batch_id").write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
+        rows.drop("batch_id").write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={version}")
 
     def read_appended(self, name: str, schema: str) -> DataFrame:
-        """Rows of committed batches of a side table; ``schema`` includes ``batch_id``."""
+        """Rows of committed versions of a side table; ``schema`` includes ``batch_id``, the version."""
         try:
             rows = self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
         except AnalysisException:
             return self.spark.createDataFrame([], schema)
-        return rows.filter(F.col("batch_id") <= self.last_batch)
+        return rows.filter(F.col("batch_id") <= self.version)
 
     def dead_letters(self) -> DataFrame:
         return self.read_appended("dead_letters", S.DEAD_LETTERS).select(*S.DEAD_LETTERS.names)
 
     def outcomes(self) -> DataFrame:
-        """Messages per batch, event type and status."""
-        return self.read_appended("outcomes", "event_type STRING, status STRING, events BIGINT, batch_id BIGINT")
+        """Messages per committed version, second, event type and status."""
+        return self.read_appended("outcomes", "tick TIMESTAMP, event_type STRING, status STRING, events BIGINT, batch_id BIGINT")
+
+    def success_rate(self) -> DataFrame:
+        """Accepted messages per second and event type."""
+        done = self.outcomes().filter("status = 'success'")
+        return done.groupBy("tick", "event_type").agg(F.sum("events").alias("events"))
