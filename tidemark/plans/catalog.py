@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,12 +14,17 @@ from tidemark.operators import dead_letters as D
 from tidemark.operators import log_lines as L
 from tidemark.operators import merge as M
 from tidemark.operators import metrics as X
+from tidemark.operators.email_claims import refused_claims
 from tidemark.operators.parse import parse_events, route, with_lane
+from tidemark.operators.stock import refused_moves
 from tidemark.plans import ingest as I
 from tidemark.plans import reports as R
 from tidemark.plans import serving as Q
-from tidemark.session import staged
+from tidemark.session import shared_folder, staged
 from tidemark.sources import views as V
+from tidemark.sources.logs import read_log_lines
+from tidemark.streaming.ingest_job import replay
+from tidemark.streaming.tables import EntityTables
 
 _PROCESSED_AT = datetime(2025, 1, 1)
 _PLAIN_TIMES = ("created_at", "updated_at", "placed_at", "settled_at", "first_time", "last_time", "time", "tick")
@@ -51,6 +57,42 @@ def order_with_payment(spark: SparkSession, sf: str) -> DataFrame:
     return Q.order_payment_rows(V.orders(spark, sf), V.payments(spark, sf)).drop("updated_at")
 
 
+def user_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The nested user documents, read back: their fields, and the newest of their orders."""
+    users, orders = (df.withColumns({c: F.col(c).cast("timestamp") for c in df.columns if c.endswith("_at")}) for df in (V.users(spark, sf), V.orders(spark, sf)))
+    document = F.col("document")
+    part = lambda path: F.get_json_object(document, path)
+    return Q.user_documents(Q.user_with_orders(users, orders)).select(
+        "user_id",
+        F.array_join(F.json_object_keys(document), ",").alias("fields"),
+        part("$.email").alias("email"),
+        F.json_array_length(part("$.orders")).alias("n_orders"),
+        F.array_join(F.json_object_keys(part("$.orders[0]")), ",").alias("order_fields"),
+        part("$.orders[0].orderId").alias("newest_order_id"),
+        part("$.orders[0].totalAmount").cast("double").alias("newest_amount"),
+    )
+
+
+def order_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The nested order documents, read back; without a payment the field is left out."""
+    orders, payments = (df.withColumns({c: F.col(c).cast("timestamp") for c in df.columns if c.endswith("_at")}) for df in (V.orders(spark, sf), V.payments(spark, sf)))
+    document = F.col("document")
+    part = lambda path: F.get_json_object(document, path)
+    return Q.order_documents(Q.order_with_payment(orders, payments)).select(
+        "order_id",
+        F.array_join(F.json_object_keys(document), ",").alias("fields"),
+        part("$.payment.paymentId").alias("payment_id"),
+        part("$.payment.status").alias("status"),
+        part("$.payment.amount").cast("double").alias("amount"),
+    )
+
+
+def payment_struct(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with the payment as a struct that is null where there is none."""
+    found = Q.order_with_payment(V.orders(spark, sf), V.payments(spark, sf))
+    return found.select("order_id", F.col("payment").isNull().alias("unpaid"), F.col("payment.payment_id").alias("payment_id"), F.col("payment.status").alias("status"))
+
+
 def recent_users(spark: SparkSession, sf: str) -> DataFrame:
     return Q.recent_users(V.users(spark, sf), 100)
 
@@ -235,6 +277,69 @@ def order_atomic_reject(spark: SparkSession, sf: str) -> DataFrame:
     return _rejected_as(_settled_documents(spark, sf), F.col("error").startswith("failed to insert order item"))
 
 
+_LATER = datetime(2025, 2, 1)
+
+
+def _settled_again(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """A table after a first batch and a second one that meets its rows."""
+    tables = _settled_documents(spark, sf).merged(M.empty_tables(spark), _PROCESSED_AT)
+    stored = {**M.empty_tables(spark), **{name: staged(tables[name]) for name in {"users", "orders", table}}}
+    return _plain(I.settle(V.later_log(spark, sf), stored).merged(stored, _LATER)[table])
+
+
+def merge_orders_again(spark: SparkSession, sf: str) -> DataFrame:
+    return _settled_again(spark, sf, "orders")
+
+
+def merge_items_again(spark: SparkSession, sf: str) -> DataFrame:
+    return _settled_again(spark, sf, "order_items")
+
+
+def merge_payments_again(spark: SparkSession, sf: str) -> DataFrame:
+    return _settled_again(spark, sf, "payments")
+
+
+def merge_inventory_again(spark: SparkSession, sf: str) -> DataFrame:
+    """The stock log applied twice: every delivered message counts."""
+    parsed = staged(parse_events(V.stock_log(spark, sf)))
+    moves = route(parsed, S.INVENTORY_ADJUSTED)
+    empty = spark.createDataFrame([], S.INVENTORY)
+    stored = staged(M.merge_inventory(empty, I.settle_stock(moves, empty).accepted, _PROCESSED_AT))
+    return _plain(M.merge_inventory(stored, I.settle_stock(moves, stored).accepted, _LATER))
+
+
+def replay_onto_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders after the log was applied to stored tables twice, each time from its start."""
+    tables = EntityTables(spark, f"{shared_folder(spark)}/replayed-{uuid.uuid4().hex}", buckets=8)
+    log = staged(V.document_log(spark, sf).select(*S.TOPIC.names))
+    for now in (_PROCESSED_AT, _LATER):
+        replay(tables, log, now)
+    return _plain(tables.read("orders"))
+
+
+def balance_refusals(spark: SparkSession, sf: str) -> DataFrame:
+    """Per sku the refused movements and the balance that the others leave."""
+    moves = staged(V.wide_moves(spark, sf))
+    refused = refused_moves(moves, spark.createDataFrame([], S.INVENTORY).select("sku", "quantity"), rows_per_slice=1000)
+    told = moves.join(refused.withColumn("refused", F.lit(1)), "seq", "left")
+    counted = F.when(F.col("refused").isNull(), F.col("delta")).otherwise(0)
+    return told.groupBy("sku").agg(F.count("refused").alias("refused"), F.sum(counted).alias("quantity"))
+
+
+def email_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages refused where users hand their address on in chains."""
+    claims, holders = V.handed_on_addresses(spark, sf)
+    refused = refused_claims(claims, holders, rows_per_slice=1000)
+    return claims.join(refused, "seq", "left_semi").select("user_id", "email")
+
+
+def parse_odd_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing and null fields become zero values; what else is wrong is told apart."""
+    parsed = parse_events(V.odd_messages(spark, sf))
+    users = route(parsed, S.USER_CREATED).select("seq", "user_id", "email", F.col("created_at").cast("string").alias("created"))
+    return parsed.select("seq", "event_id", "event_type", "error_class", "counted").join(users, "seq", "left")
+
+
 def keyed_publish(spark: SparkSession, sf: str) -> DataFrame:
     """Every published message with its key, type and event id as found in the JSON text."""
     envelope = F.from_json("value", "eventId STRING, eventType STRING")
@@ -279,6 +384,13 @@ def dlq_new_since(spark: SparkSession, sf: str) -> DataFrame:
     return D.summary_lines(D.new_since(entries, 50)).select("offset", "event_id", "error", "at", "original_preview")
 
 
+def dlq_read_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries read from their JSON form, of which every fifth is cut short and so skipped."""
+    raw = D.to_json_entries(staged(_dead_letters(_settled_documents(spark, sf))))
+    cut = F.when(F.col("offset") % 5 == 0, F.expr("left(entry, length(entry) - 3)")).otherwise(F.col("entry"))
+    return D.from_json_entries(raw.withColumn("entry", cut)).select("offset", "event_id", "error", "retry_count")
+
+
 # Metrics
 
 
@@ -353,8 +465,21 @@ def log_correlated_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def log_tail(spark: SparkSession, sf: str) -> DataFrame:
-    lines = _lines(spark, sf).filter(F.col("time").isNotNull())
-    return _plain(L.tail(lines, 100, ["time", "offset"]).select("time", "offset", "level", "msg"))
+    """The last lines of the file, whatever they hold."""
+    return L.tail(V.log_lines(spark, sf), 100, ["line_no"]).select("line_no", "value")
+
+
+def log_numbered(spark: SparkSession, sf: str) -> DataFrame:
+    """Structured lines numbered along time."""
+    timed = _lines(spark, sf).filter(F.col("time").isNotNull()).select("time", "offset")
+    return L.numbered_lines(staged(timed), ["time", "offset"], rows_per_slice=1000).select("offset", F.col("line_no").alias("n"))
+
+
+def log_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines read from text files."""
+    path = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
+    V.log_lines(spark, sf).select("value").write.text(path)
+    return read_log_lines(spark, path).select("value", "level", "msg", "offset")
 
 
 def log_retention(spark: SparkSession, sf: str) -> DataFrame:
@@ -373,6 +498,8 @@ QUERIES = {
         dlq_entries, dlq_by_cause, dlq_count, dlq_range, dlq_latest, dlq_new_since, events_processed_total,
         outcome_summary, events_per_second, events_per_hour, current_rate, latency_histogram, latency_by_stage,
         latency_quantiles, latency_bucket_p95, latency_mean, log_severity, log_severity_short, log_correlation,
-        log_correlated_lines, log_tail, log_retention,
+        log_correlated_lines, log_tail, log_retention, log_numbered, log_files, user_documents, order_documents,
+        payment_struct, merge_orders_again, merge_items_again, merge_payments_again, merge_inventory_again,
+        replay_onto_tables, balance_refusals, email_chain, parse_odd_messages, dlq_read_entries,
     )
 }

@@ -24,6 +24,7 @@ LOG_MESSAGE = """CASE WHEN event_type = 'error' THEN 'Failed to process event' W
     WHEN event_type = 'click' THEN 'Processed event' ELSE 'Message delivered successfully' END"""
 
 _UPDATED = "TIMESTAMP '2025-01-01 00:00:00'"
+_LATER = "TIMESTAMP '2025-02-01 00:00:00'"
 _CREATED = "TIMESTAMP '2020-01-01 00:00:00' + to_minutes(c_custkey)"
 
 _USERS = f"""users AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id, 'c' || c_custkey || '@example.com' AS email,
@@ -302,8 +303,83 @@ EXPECTED = {
         FROM lines WHERE NOT is_plain GROUP BY 1""",
     "log_correlated_lines": f"""WITH {_LINES} SELECT 'E-' || user_id AS event_id, level, msg, event_id AS "offset",
         ts AS time FROM lines WHERE NOT is_plain""",
-    "log_tail": f"""WITH {_LINES} SELECT ts AS time, event_id AS "offset", level, msg FROM lines WHERE NOT is_plain
-        ORDER BY ts DESC, event_id DESC LIMIT 100""",
-    "log_retention": f"""WITH {_LINES} SELECT ts AS time, event_id AS "offset", level, msg FROM lines
-        WHERE NOT is_plain AND ts >= TIMESTAMP '2024-01-29 12:00:00'""",
+    "log_tail": f"""WITH {_LINES}, kept AS (SELECT event_id AS line_no, CASE WHEN is_plain THEN 'plain text line ' || event_id ELSE
+        '{{"level":"' || level || '","msg":"' || msg || '","eventId":"E-' || user_id || '","partition":0,"offset":'
+        || event_id || ',"time":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z"}}' END AS value FROM lines)
+        SELECT line_no, value FROM kept ORDER BY line_no DESC LIMIT 100""",
+    "log_numbered": f"""WITH {_LINES} SELECT event_id AS "offset", row_number() OVER (ORDER BY ts, event_id) - 1 AS n
+        FROM lines WHERE NOT is_plain""",
+    "log_files": f"""WITH {_LINES} SELECT CASE WHEN is_plain THEN 'plain text line ' || event_id ELSE
+        '{{"level":"' || level || '","msg":"' || msg || '","eventId":"E-' || user_id || '","partition":0,"offset":'
+        || event_id || ',"time":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z"}}' END AS value,
+        CASE WHEN NOT is_plain THEN level END AS level, CASE WHEN NOT is_plain THEN msg END AS msg,
+        CASE WHEN NOT is_plain THEN event_id END AS "offset" FROM lines""",
+    "log_retention": f"""WITH {_LINES} SELECT CASE WHEN NOT is_plain THEN ts END AS time,
+        CASE WHEN NOT is_plain THEN event_id END AS "offset", CASE WHEN NOT is_plain THEN level END AS level,
+        CASE WHEN NOT is_plain THEN msg END AS msg FROM lines WHERE is_plain OR ts >= TIMESTAMP '2024-01-29 12:00:00'""",
+    "user_documents": f"""WITH {_USERS}, {_ORDERS}, ranked AS (SELECT *, row_number() OVER
+        (PARTITION BY user_id ORDER BY placed_at DESC, order_id) AS r FROM ords)
+        SELECT u.user_id, 'userId,email,firstName,lastName,createdAt,updatedAt,orders' AS fields, u.email,
+            CAST(count(o.order_id) AS INTEGER) AS n_orders,
+            CASE WHEN count(o.order_id) > 0 THEN 'orderId,userId,totalAmount,currency,placedAt,updatedAt' END AS order_fields,
+            max(CASE WHEN r = 1 THEN o.order_id END) AS newest_order_id,
+            max(CASE WHEN r = 1 THEN CAST(o.total_amount AS DOUBLE) END) AS newest_amount
+        FROM users u LEFT JOIN ranked o ON o.user_id = u.user_id AND o.r <= 5 GROUP BY u.user_id, u.email""",
+    "order_documents": f"""WITH {_ORDERS}, {_PAYMENTS}, ranked AS (SELECT *, row_number() OVER
+        (PARTITION BY order_id ORDER BY settled_at DESC, payment_id) AS r FROM pays)
+        SELECT o.order_id, 'orderId,userId,totalAmount,currency,placedAt,updatedAt' || CASE WHEN p.order_id IS NULL THEN '' ELSE ',payment' END
+            AS fields, p.payment_id, p.status, CAST(p.amount AS DOUBLE) AS amount
+        FROM ords o LEFT JOIN ranked p ON p.order_id = o.order_id AND p.r = 1""",
+    "payment_struct": f"""WITH {_ORDERS}, {_PAYMENTS}, ranked AS (SELECT *, row_number() OVER
+        (PARTITION BY order_id ORDER BY settled_at DESC, payment_id) AS r FROM pays)
+        SELECT o.order_id, p.order_id IS NULL AS unpaid, p.payment_id, p.status
+        FROM ords o LEFT JOIN ranked p ON p.order_id = o.order_id AND p.r = 1""",
+    "merge_orders_again": f"""WITH {_DOCUMENTS} SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS user_id,
+        CAST(o_totalprice + CASE WHEN o_orderkey % 3 = 0 THEN 5 WHEN o_orderkey % 47 = 3 THEN 1 ELSE 0 END AS DECIMAL(10,2)) AS total_amount,
+        CASE WHEN o_orderkey % 3 = 0 THEN 'EUR' ELSE 'USD' END AS currency,
+        CASE WHEN fault = 'ok' THEN o_orderdate ELSE o_orderdate + INTERVAL 9 DAY END AS placed_at,
+        CASE WHEN o_orderkey % 3 = 0 THEN {_LATER} ELSE {_UPDATED} END AS updated_at
+        FROM oa WHERE known_user AND (fault = 'ok' OR o_orderkey % 3 = 0)""",
+    "merge_items_again": f"""WITH {_DOCUMENTS} SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(i - 1 AS INTEGER) AS pos,
+        'SKU-' || ((o_custkey * 7 + i) % 500) AS sku, CAST(i AS INTEGER) AS quantity, CAST(o_totalprice AS DECIMAL(10,2)) AS price
+        FROM oa JOIN (VALUES (1), (2), (3)) t(i) ON i <= o_orderkey % 4
+        WHERE fault = 'ok' AND known_user AND o_orderkey % 47 <> 3 AND o_orderkey % 3 <> 0
+        UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 0, 'SKU-later', 9, CAST(1.5 AS DECIMAL(10,2)) FROM oa
+        WHERE known_user AND o_orderkey % 3 = 0""",
+    "merge_payments_again": f"""WITH {_DOCUMENTS}, stored AS (SELECT CASE WHEN version = 2 THEN 'Q' ELSE 'P' END || o_orderkey AS payment_id,
+            o_orderkey, CAST(o_totalprice AS DECIMAL(10,2)) AS amount, 'USD' AS currency, 'credit_card' AS payment_method,
+            CASE WHEN version = 2 THEN 'refunded' ELSE 'completed' END AS status,
+            o_orderdate + CASE WHEN version = 2 THEN INTERVAL 2 DAY ELSE INTERVAL 1 DAY END AS settled_at, {_UPDATED} AS updated_at
+            FROM pm WHERE fault = 'ok' AND known_order),
+        later AS (SELECT 'P' || o_orderkey AS payment_id, o_orderkey, CAST(o_totalprice + 5 AS DECIMAL(10,2)) AS amount, 'EUR' AS currency,
+            'voucher' AS payment_method, 'refunded' AS status, o_orderdate + INTERVAL 9 DAY AS settled_at, {_LATER} AS updated_at
+            FROM oa WHERE o_orderstatus = 'F' AND known_user AND o_orderkey % 3 = 0)
+        SELECT payment_id, CAST(o_orderkey AS VARCHAR) AS order_id, amount, currency, payment_method, status, settled_at, updated_at
+        FROM (SELECT * FROM later UNION ALL SELECT * FROM stored WHERE payment_id NOT IN (SELECT payment_id FROM later))""",
+    "merge_inventory_again": f"""SELECT CAST(l_partkey AS VARCHAR) AS sku, CAST(2 * sum(CASE WHEN l_returnflag = 'R'
+        THEN l_quantity ELSE -l_quantity END) AS INTEGER) AS quantity, {_LATER} AS updated_at
+        FROM lineitem WHERE {STOCK_FAULT} = 'ok' GROUP BY 1""",
+    "replay_onto_tables": f"""WITH {_DOCUMENTS} SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS user_id,
+        CAST(o_totalprice + CASE WHEN o_orderkey % 47 = 3 THEN 1 ELSE 0 END AS DECIMAL(10,2)) AS total_amount,
+        'USD' AS currency, o_orderdate AS placed_at, {_LATER} AS updated_at FROM oa WHERE fault IN ('ok', 'early') AND known_user""",
+    "balance_refusals": """WITH moves AS (SELECT user_id, event_id, CAST(round(value * 100) AS BIGINT) * 100000
+            * CASE WHEN event_type IN ('view', 'click', 'signup') THEN 1 ELSE -1 END AS d FROM events),
+        played AS (SELECT user_id, list_reduce(list({'b': 0::BIGINT, 'r': 0::BIGINT, 'd': d} ORDER BY event_id),
+            lambda a, x: CASE WHEN a.b + x.d BETWEEN -2147483648 AND 2147483647 THEN {'b': a.b + x.d, 'r': a.r, 'd': 0::BIGINT}
+                ELSE {'b': a.b, 'r': a.r + 1, 'd': 0::BIGINT} END, {'b': 0::BIGINT, 'r': 0::BIGINT, 'd': 0::BIGINT}) AS p
+            FROM moves GROUP BY user_id)
+        SELECT CAST(user_id AS VARCHAR) AS sku, p.r AS refused, p.b AS quantity FROM played""",
+    "email_chain": """WITH c AS (SELECT c_custkey AS c, c_custkey // 6 AS chain, c_custkey % 6 AS place FROM customer)
+        SELECT CAST(c AS VARCHAR) AS user_id, CASE WHEN place < 5 THEN 'own' || (c + 1) ELSE 'held' || chain END AS email
+        FROM c WHERE chain % 3 = 0 AND chain * 6 + 5 <= (SELECT max(c) FROM c)""",
+    "parse_odd_messages": """WITH m AS (SELECT c_custkey AS seq, c_custkey % 9 AS kind FROM customer)
+        SELECT seq, CASE WHEN kind IN (1, 2, 3, 6) THEN '' ELSE 'Z-' || seq END AS event_id,
+            CASE WHEN kind IN (1, 2, 3) THEN '' WHEN kind = 4 THEN 'InventoryAdjusted' ELSE 'UserCreated' END AS event_type,
+            CASE WHEN kind IN (1, 2) THEN 'unknown_type' WHEN kind = 3 THEN 'parse' WHEN kind IN (4, 7) THEN 'decode' END AS error_class,
+            kind <> 3 AS counted,
+            CASE WHEN kind = 0 THEN '' WHEN kind IN (5, 6) THEN CAST(seq AS VARCHAR) WHEN kind = 8 THEN 'u' || seq END AS user_id,
+            CASE WHEN kind IN (0, 5, 6, 8) THEN '' END AS email, CASE WHEN kind IN (0, 5, 6, 8) THEN '0001-01-01 00:00:00' END AS created
+        FROM m""",
+    "dlq_read_entries": f"""WITH {_DOCUMENTS} SELECT off AS "offset", event_id, error, 0 AS retry_count FROM doc
+        WHERE error IS NOT NULL AND off % 5 <> 0""",
 }

@@ -225,6 +225,76 @@ def topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def later_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second batch: every third order is placed anew, and its payment delivered again under the old id."""
+    third = _spread(table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0"))
+    placed = third.selectExpr(
+        f"{5 * _PHASE} + o_orderkey AS seq",
+        "concat('O-', o_orderkey, '-3') AS event_id",
+        f"{_EVENT_TIME} AS event_time",
+        "string(o_orderkey) AS order_id",
+        "string(o_custkey) AS user_id",
+        "o_totalprice + 5 AS total_amount",
+        "'EUR' AS currency",
+        "array(named_struct('sku', 'SKU-later', 'quantity', 9L, 'price', 1.5D)) AS items",
+        "timestamp(o_orderdate + INTERVAL '9' DAY) AS placed_at",
+    )
+    settled = third.filter("o_orderstatus = 'F'").selectExpr(
+        f"{6 * _PHASE} + o_orderkey AS seq",
+        "concat('P-', o_orderkey, '-3') AS event_id",
+        f"{_EVENT_TIME} AS event_time",
+        "concat('P', o_orderkey) AS payment_id",
+        "string(o_orderkey) AS order_id",
+        "o_totalprice + 5 AS amount",
+        "'EUR' AS currency",
+        "'voucher' AS payment_method",
+        "'refunded' AS status",
+        "timestamp(o_orderdate + INTERVAL '9' DAY) AS settled_at",
+    )
+    logs = _messages(placed, S.ORDER_PLACED, 1), _messages(settled, S.PAYMENT_SETTLED, 2)
+    return _joined(*(_with_topic_columns(log) for log in logs))
+
+
+def wide_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(seq, sku, delta)``: movements so large that balances meet their limits again and again."""
+    sign = "IF(event_type IN ('view', 'click', 'signup'), 1, -1)"
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS seq", "string(user_id) AS sku", f"bigint(round(value * 100)) * 100000 * {sign} AS delta"
+    )
+
+
+CHAIN = 6
+
+
+def handed_on_addresses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``claims(seq, user_id, email)`` and ``holders(user_id, email)``: chains of users who hand their address on.
+
+    All users first take an address of their own. Then the last user of a chain moves to a new one, and each other
+    user, backwards, to the one that has just become free; in every third chain the last user wants an address that is held.
+    """
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey AS c", f"c_custkey DIV {CHAIN} AS chain", f"c_custkey % {CHAIN} AS place")
+    first = customers.selectExpr("c AS seq", "string(c) AS user_id", "concat('own', c) AS email")
+    wanted = f"CASE WHEN place < {CHAIN - 1} THEN concat('own', c + 1) WHEN chain % 3 = 0 THEN concat('held', chain) ELSE concat('new', c) END"
+    then = customers.selectExpr(f"{_PHASE} + chain * {CHAIN} + {CHAIN - 1} - place AS seq", "string(c) AS user_id", f"{wanted} AS email")
+    holders = customers.filter("place = 0").selectExpr("concat('other', chain) AS user_id", "concat('held', chain) AS email")
+    return first.unionByName(then), holders
+
+
+def odd_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(seq, value)``: user messages with fields missing, null or of the wrong kind, by key."""
+    text = """CASE c_custkey % 9
+        WHEN 0 THEN concat('{"eventId":"Z-', c_custkey, '","eventType":"UserCreated"}')
+        WHEN 1 THEN '{}'
+        WHEN 2 THEN 'null'
+        WHEN 3 THEN concat('{"eventId":"Z-', c_custkey, '","eventType":"UserCreated"} trailing')
+        WHEN 4 THEN concat('{"eventId":"Z-', c_custkey, '","eventType":"InventoryAdjusted","quantity":"', c_custkey, '"}')
+        WHEN 5 THEN concat('{"EVENTID":"Z-', c_custkey, '","eventtype":"UserCreated","USERID":"', c_custkey, '"}')
+        WHEN 6 THEN concat('{"eventId":null,"eventType":"UserCreated","userId":"', c_custkey, '","email":null}')
+        WHEN 7 THEN concat('{"eventId":"Z-', c_custkey, '","eventType":"UserCreated","email":', c_custkey, '}')
+        ELSE concat('{"eventId":"Z-', c_custkey, '","eventType":"UserCreated","userId":"u', c_custkey, '","more":[1,{"a":2}]}') END"""
+    return table(spark, sf_dir, "customer").selectExpr("c_custkey AS seq", f"{text} AS value")
+
+
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "ts", "event_type", "IF(event_type = 'error', 'error', 'success') AS status"
@@ -254,4 +324,6 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         '","eventId":"E-', user_id, '","partition":0,"offset":', event_id, ',"time":"',
         date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), 'Z"}}')"""
     plain = "event_type = 'view' AND event_id % 10 = 5"
-    return table(spark, sf_dir, "events").selectExpr(f"IF({plain}, concat('plain text line ', event_id), {fields}) AS value")
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS line_no", f"IF({plain}, concat('plain text line ', event_id), {fields}) AS value"
+    )
