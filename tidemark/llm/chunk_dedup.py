@@ -65,38 +65,38 @@ def _digest_pass(batches):
             yield pa.RecordBatch.from_arrays([pa.array(digests.view(np.int64))], ["digest"])
 
 
-_CHUNK = pa.struct([("digest", pa.int64()), ("idx", pa.int32()), ("n", pa.int32()), ("start", pa.int64()), ("stop", pa.int64())])
-
-
 def _run_pass(shared_map, min_words: int):
     """``(row, id, doc, text)`` with ``n_words`` and the chunks in runs that the map lets through."""
 
     def run(batches):
         for batch in batches:
-            sizes, found = [], []
-            for block in blocks(batch.column(3)):
+            for block in blocks(batch["text"]):
                 words = find_words(block, SPACED)
                 first, after, digests = cut_chunks(block, words)
                 rows = words.row_of_word()[first] if len(first) else first
-                sizes.append(np.diff(words.bounds))
-                lists: list[list] = [[] for _ in range(block.rows)]
                 repeated = passing(shared_map.value, digests)
                 begins = repeated & np.append(True, ~repeated[:-1] | (rows[1:] != rows[:-1]))[: len(repeated)]
                 group = np.cumsum(begins)[repeated]
                 counts = np.bincount(group, weights=(after - first)[repeated])
                 chosen = np.flatnonzero(repeated)[counts[group] >= min_words]
+                row = rows[chosen]
                 heads = np.searchsorted(rows, np.arange(block.rows))
-                for i in chosen.tolist():
-                    row = int(rows[i])
-                    start = int(words.starts[first[i]] - block.offsets[row])
-                    last = i + 1 == len(first) or rows[i + 1] != row
-                    stop = block.offsets[row + 1] if last else words.starts[first[i + 1]]
-                    lists[row].append((int(digests[i].view(np.int64)), i - int(heads[row]), int(after[i] - first[i]), start, int(stop - block.offsets[row])))
-                found.extend([dict(zip(("digest", "idx", "n", "start", "stop"), c, strict=True)) for c in x] for x in lists)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.concatenate([*sizes, np.zeros(0, np.int64)]), pa.int64()), pa.array(found, pa.list_(_CHUNK))],
-                [*batch.schema.names, "n_words", "chunks"],
-            )
+                begin = block.offsets[rows]
+                starts = words.starts[first] - begin
+                last = np.append(rows[1:] != rows[:-1], True)[: len(rows)]
+                stops = np.where(last, block.offsets[rows + 1] - begin, np.append(words.starts[first[1:]], 0)[: len(rows)] - begin)
+                fields = {
+                    "digest": digests[chosen].view(np.int64),
+                    "idx": (chosen - heads[row]).astype(np.int32),
+                    "n": (after - first)[chosen].astype(np.int32),
+                    "start": starts[chosen],
+                    "stop": stops[chosen],
+                }
+                chunks = pa.StructArray.from_arrays([pa.array(x) for x in fields.values()], list(fields))
+                offsets = np.append(0, np.cumsum(np.bincount(row, minlength=block.rows))).astype(np.int32)
+                part = batch.slice(block.first, block.rows)
+                added = [pa.array(np.diff(words.bounds), pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), chunks)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], [*batch.schema.names, "n_words", "chunks"])
 
     return run
 
