@@ -15,6 +15,7 @@ member that has the fewest such elements, and afterwards only members of differe
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +31,7 @@ from tidemark.session import staged
 
 #: Fragments in which a pair's overlap is counted.
 PARTS = 4
-#: Fragments beyond the necessary ones; a set with at most as many empty fragments needs no second cut.
+#: Fragments beyond the necessary ones and those that are likely to be empty.
 SPARE = 1
 #: Most fragments of the sketch that tells unlinked sets of one bucket apart.
 SKETCH = 512
@@ -64,9 +65,23 @@ class _Bands:
         return [b for b in dict.fromkeys((own, low)) if b >= 0]
 
     def most(self, band: int) -> int:
+        """The most elements in which linked sets differ whose smaller one is in the band."""
         x = int(self.edges[band + 1]) - 1
         return self.differing(x, x * self.den // self.num)
 
+    def fragments(self, band: int) -> int:
+        """So many that most sets of the band fill more of them than linked sets can differ in."""
+        least, needed = int(self.edges[band]), self.most(band) + 1
+        k = needed + SPARE
+        while k - (empty := k * math.exp(-least / k)) - 2 * math.sqrt(empty) < needed and k < 2 * needed + SPARE:
+            k += max(1, k // 50)
+        return k
+
+    @lru_cache(maxsize=256)
+    def plan(self, band: int) -> tuple[int, int]:
+        """``most`` and ``fragments``."""
+        return self.most(band), self.fragments(band)
+
 
 @lru_cache(maxsize=64)
 def _bands(num: int, den: int) -> _Bands:
@@ -82,8 +97,7 @@ def _buckets(elements: np.ndarray, bands: _Bands) -> np.ndarray:
     """Bucket numbers of a sorted set of 63-bit elements."""
     found = []
     for band in bands.of(len(elements)):
-        differing = bands.most(band)
-        k = differing + 1 + SPARE
+        differing, k = bands.plan(band)
         for cut in range(CUTS):
             order = elements if cut == 0 else np.sort(mixed(elements ^ _CUT_SEEDS[cut]) >> np.uint64(1))
             at = np.searchsorted(order, _cut_points(k))
@@ -99,20 +113,22 @@ def _buckets(elements: np.ndarray, bands: _Bands) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
 
 
-def _text_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
-    """The sorted shingle set of each text, as 63-bit hashes."""
+def _text_sets(column: pa.Array, words: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The sorted shingle sets of the texts, as 63-bit hashes, block by block with the first row of the block."""
     for block in blocks(column):
         block = block.lowered()
         found = find_words(block, SPACED)
         hashes = range_hashes(block.data, found.starts, found.ends)
         shingles = sequence_hashes(hashes, words)
+        sets = []
         for a, b in zip(found.bounds[:-1], found.bounds[1:], strict=True):
             if b - a >= words:
-                yield np.unique(shingles[a : b - words + 1] >> np.uint64(1))
+                sets.append(np.unique(shingles[a : b - words + 1] >> np.uint64(1)))
             elif b > a:
-                yield sequence_hashes(hashes[a:b], b - a) >> np.uint64(1)
+                sets.append(sequence_hashes(hashes[a:b], b - a) >> np.uint64(1))
             else:
-                yield np.zeros(0, dtype=np.uint64)
+                sets.append(np.zeros(0, dtype=np.uint64))
+        yield block.first, sets
 
 
 def _set_key(elements: np.ndarray) -> int:
@@ -130,9 +146,9 @@ def _bucket_pass(words: int, num: int, den: int):
     def run(batches):
         bands = _bands(num, den)
         for batch in batches:
-            found = [_buckets(x, bands) for x in _text_sets(batch.column(0), words)]
-            flat = np.concatenate([*found, np.zeros(0, dtype=np.uint64)])
-            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], ["bucket"])
+            for _, sets in _text_sets(batch.column(0), words):
+                flat = np.concatenate([_buckets(x, bands) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], ["bucket"])
 
     return run
 
@@ -143,16 +159,11 @@ def _node_pass(words: int, num: int, den: int, shared_map):
     def run(batches):
         bands, bits = _bands(num, den), shared_map.value
         for batch in batches:
-            nodes, sizes, found = [], [], []
-            for x in _text_sets(batch.column(1), words):
-                nodes.append(_set_key(x))
-                sizes.append(len(x))
-                b = _buckets(x, bands)
-                found.append(np.unique(b[passing(bits, b)]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _long_lists(found)],
-                ["id", "node", "n", "buckets"],
-            )
+            for first, sets in _text_sets(batch.column(1), words):
+                found = [np.unique(b[passing(bits, b)]) for b in (_buckets(x, bands) for x in sets)]
+                nodes, sizes = pa.array([_set_key(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64())
+                ids = batch.column(0).slice(first, len(sets))
+                yield pa.RecordBatch.from_arrays([ids, nodes, sizes, _long_lists(found)], ["id", "node", "n", "buckets"])
 
     return run
 
@@ -172,13 +183,12 @@ def _element_pass(words: int, num: int, den: int):
     def run(batches):
         bands = _bands(num, den)
         for batch in batches:
-            sets = list(_text_sets(batch.column(0), words))
-            of = [(b := bands.of(len(x)) or [0])[:1] + b[-1:] for x in sets]
-            sketches = [pa.array([_sketch(x, bands, b[i]) for x, b in zip(sets, of, strict=True)], pa.list_(pa.int32())) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_set_key(x) for x in sets], pa.int64()), _long_lists(sets), pa.array([b[0] for b in of], pa.int32()), *sketches],
-                ["node", "elements", "band", "own", "low"],
-            )
+            for _, sets in _text_sets(batch.column(0), words):
+                of = [(b := bands.of(len(x)) or [0])[:1] + b[-1:] for x in sets]
+                sketches = [pa.array([_sketch(x, bands, b[i]) for x, b in zip(sets, of, strict=True)], pa.list_(pa.int32())) for i in (0, 1)]
+                nodes = pa.array([_set_key(x) for x in sets], pa.int64())
+                columns = [nodes, _long_lists(sets), pa.array([b[0] for b in of], pa.int32()), *sketches]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "elements", "band", "own", "low"])
 
     return run
 
@@ -268,9 +278,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def _key_pass(words: int):
     def run(batches):
         for batch in batches:
-            sets = [(_set_key(x), len(x)) for x in _text_sets(batch.column(1), words)]
-            columns = pa.array([k for k, _ in sets], pa.int64()), pa.array([n for _, n in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc", "node", "n"])
+            for first, sets in _text_sets(batch.column(1), words):
+                keys, sizes = [_set_key(x) for x in sets], [len(x) for x in sets]
+                docs = batch.column(0).slice(first, len(sets))
+                yield pa.RecordBatch.from_arrays([docs, pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())], ["doc", "node", "n"])
 
     return run
 
