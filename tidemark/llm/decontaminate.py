@@ -89,23 +89,19 @@ def _candidate_pass(shared_map, lengths: list[int], width: int):
 
     def run(batches):
         for batch in batches:
-            sizes, found = [], []
             for block in blocks(batch.column(2)):
+                part = batch.slice(block.first, block.rows)
                 block = block.lowered()
                 words = find_words(block, ALNUM)
                 hashes = range_hashes(block.data, words.starts, words.ends)
-                sizes.append(np.diff(words.bounds))
-                lists: list[list] = [[] for _ in range(block.rows)]
+                found: list[list] = [[] for _ in range(block.rows)]
                 for rows, at, grams in _shingles(words, hashes, shared_map.value, lengths):
                     for row, i, gram in zip(rows.tolist(), at.tolist(), grams.view(np.int64).tolist(), strict=True):
                         a, b = int(words.bounds[row]), int(words.bounds[row + 1])
                         lo, hi = max(a, i - width), min(b, i + width)
-                        lists[row].append({"gram": gram, "pos": i - a, "first": lo - a, "near": _spelled(block, words, lo, hi)})
-                found.extend(lists)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.concatenate([*sizes, np.zeros(0, np.int64)]), pa.int64()), pa.array(found, kind)],
-                ["row", "doc", "n_words", "found"],
-            )
+                        found[row].append({"gram": gram, "pos": i - a, "first": lo - a, "near": _spelled(block, words, lo, hi)})
+                sizes = pa.array(np.diff(words.bounds), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), sizes, pa.array(found, kind)], ["row", "doc", "n_words", "found"])
 
     return run
 

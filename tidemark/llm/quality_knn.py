@@ -129,17 +129,21 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, di
     chosen = F.broadcast(chosen.orderBy(F.xxhash64("id"), "id").limit(max_labelled))
     texts = docs.join(chosen, "id").where("length(text) > 0").groupBy("id", "label").agg(F.min("text").alias("text"))
     sample = texts.orderBy("id").select("text", "label").mapInArrow(_share_pass, "shares binary, label int").toArrow()
-    model = QualityModel(idf, np.eye(TERMS, dtype=np.float32), np.zeros((1, TERMS), np.float32), np.zeros(1), neighbours, power)
+    model = QualityModel(idf, np.zeros((TERMS, 1), np.float32), np.zeros((1, 1), np.float32), np.zeros(1), neighbours, power)
     if sample.num_rows:
-        shares = np.frombuffer(b"".join(sample["shares"].to_pylist()), dtype=np.float32).reshape(-1, TERMS)
-        weighted = model.latent(shares)
+        column = sample["shares"].combine_chunks()
+        rows = np.frombuffer(column.buffers()[2], dtype=np.float32, count=len(column) * TERMS).reshape(-1, TERMS)
+        weighted = np.sqrt(rows)
+        weighted *= idf
+        weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
         # Range finder with power iterations: the leading right singular vectors of the labelled rows.
-        base = np.random.default_rng(7).normal(size=(TERMS, min(directions + 8, len(shares)))).astype(np.float32)
+        base = np.random.default_rng(7).normal(size=(TERMS, min(directions + 8, len(rows)))).astype(np.float32)
         for _ in range(6):
             base, _ = np.linalg.qr(weighted.T @ (weighted @ base))
         _, _, turned = np.linalg.svd(weighted @ base, full_matrices=False)
         model.directions = np.ascontiguousarray((base @ turned.T)[:, :directions]).astype(np.float32)
-        model.vectors = model.latent(shares)
+        vectors = weighted @ model.directions
+        model.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
         model.labels = sample["label"].to_numpy().astype(np.float64)
     return model
 
