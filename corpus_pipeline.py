@@ -33,11 +33,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of earlier ones; those of which no word is left go."""
-    found = dedup_substrings(docs, keep=docs.columns)
+    found = dedup_substrings(docs, keep=[c for c in docs.columns if c != "text"])
     kept = found.where("n_removed = 0 OR n_removed < n_words")
     n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("doc.n_chars"))
     now = {"text": F.col("text"), "n_chars": n_chars}
-    return kept.select(*(now.get(c, F.col("doc")[c]).alias(c) for c in docs.columns))
+    return kept.select(*(now[c] if c in now else F.col("doc")[c] for c in docs.columns)).toDF(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
