@@ -15,6 +15,9 @@ COVERED = [
     "user_last5_orders", "user_lookup", "order_with_payment", "orders_payments_sorted", "table_counts_row",
     "inventory_sorted", "parse_route_counts", "email_conflicts", "upsert_orders", "dlq_range", "outcome_summary",
     "keyed_publish", "latency_quantiles", "latency_bucket_p95", "log_severity", "log_correlation", "log_tail",
+    "log_retention", "log_numbered", "log_files", "user_documents", "order_documents", "payment_struct",
+    "merge_orders_again", "merge_items_again", "merge_payments_again", "merge_inventory_again", "replay_onto_tables",
+    "balance_refusals", "email_chain", "parse_odd_messages", "dlq_read_entries", "dlq_latest",
 ]
 
 

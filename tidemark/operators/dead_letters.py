@@ -46,7 +46,18 @@ def with_position(entries: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> D
 
 
 def entry_range(entries: DataFrame, start: int, stop: int, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Entries from ``start`` to ``stop`` inclusive; negative positions count from the tail."""
+    """Entries from ``start`` to ``stop`` inclusive; negative positions count from the tail.
+
+    A range at the head or the tail orders only as many entries as reach from that end to its far side.
+    """
+    if start >= 0 and stop >= 0:
+        head = entries.orderBy(*ORDER).limit(stop + 1)
+        return with_position(head, rows_per_slice).filter(F.col("position") >= start).drop("entries")
+    if start < 0 and stop < 0:
+        everything = entries.count()
+        tail = entries.orderBy(*[F.col(c).desc() for c in ORDER]).limit(-start)
+        placed = with_position(tail, rows_per_slice).withColumn("position", F.lit(everything) - F.col("entries") + F.col("position"))
+        return placed.filter(F.col("position").between(everything + start, everything + stop)).drop("entries")
 
     def resolve(position: int) -> Column:
         return F.col("entries") + position if position < 0 else F.lit(position)
