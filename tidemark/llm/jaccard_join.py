@@ -34,7 +34,7 @@ PARTS = 4
 #: Fragments beyond the necessary ones and those that are likely to be empty.
 SPARE = 1
 #: Most fragments of the sketch that tells unlinked sets of one bucket apart.
-SKETCH = 512
+SKETCH = 256
 #: Cuts tried before empty fragments count as agreement.
 CUTS = 4
 
@@ -93,10 +93,11 @@ def _cut_points(k: int) -> np.ndarray:
     return np.array([(i << 63) // k for i in range(k + 1)], dtype=np.uint64)
 
 
-def _buckets(elements: np.ndarray, bands: _Bands) -> np.ndarray:
-    """Bucket numbers of a sorted set of 63-bit elements."""
+def _buckets(elements: np.ndarray, bands: _Bands) -> list[tuple[np.ndarray, int]]:
+    """For each band of a sorted set of 63-bit elements its bucket numbers, those of the first cut first, and their count."""
     found = []
     for band in bands.of(len(elements)):
+        digests = []
         differing, k = bands.plan(band)
         for cut in range(CUTS):
             order = elements if cut == 0 else np.sort(mixed(elements ^ _CUT_SEEDS[cut]) >> np.uint64(1))
@@ -107,10 +108,25 @@ def _buckets(elements: np.ndarray, bands: _Bands) -> np.ndarray:
             place = np.arange(k, dtype=np.uint64) + np.uint64((((band << 4) + cut) << 40) + 1)
             digest = mixed(mixed(place) + sums[at[1:]] - sums[at[:-1]])
             sure = k - differing - int((~full).sum()) >= 1
-            found.append(digest[full] if sure or cut < CUTS - 1 else digest)
+            digests.append(digest[full] if sure or cut < CUTS - 1 else digest)
             if sure:
                 break
-    return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+        found.append((np.concatenate(digests), int(np.count_nonzero(full)) if cut == 0 else len(digests[0])))
+    return found
+
+
+def _promising(elements: np.ndarray, bands: _Bands, bits: np.ndarray) -> np.ndarray:
+    """The buckets of a set that the map does not rule out, if they are enough for a link.
+
+    A linked set shares all of this set's full fragments but as many as the two may differ in elements: with a partner
+    that meets it in its own band as for the largest partner, in the band below as for one of its own size.
+    """
+    n, kept = len(elements), []
+    for (digests, first), partner in zip(_buckets(elements, bands), (n * bands.den // bands.num, n), strict=False):
+        shared = passing(bits, digests)
+        if np.count_nonzero(shared[:first]) >= first - bands.differing(n, partner):
+            kept.append(digests[shared])
+    return np.unique(np.concatenate(kept)) if kept else np.zeros(0, dtype=np.uint64)
 
 
 def _text_sets(column: pa.Array, words: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -147,20 +163,20 @@ def _bucket_pass(words: int, num: int, den: int):
         bands = _bands(num, den)
         for batch in batches:
             for _, sets in _text_sets(batch.column(0), words):
-                flat = np.concatenate([_buckets(x, bands) for x in sets])
+                flat = np.concatenate([np.zeros(0, np.uint64), *(digests for x in sets for digests, _ in _buckets(x, bands))])
                 yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], ["bucket"])
 
     return run
 
 
 def _node_pass(words: int, num: int, den: int, shared_map):
-    """``(id, text)`` -> ``(id, node, n, buckets)`` with the buckets that the map does not rule out."""
+    """``(id, text)`` -> ``(id, node, n, buckets)`` with the buckets in which a link may be found."""
 
     def run(batches):
         bands, bits = _bands(num, den), shared_map.value
         for batch in batches:
             for first, sets in _text_sets(batch.column(1), words):
-                found = [np.unique(b[passing(bits, b)]) for b in (_buckets(x, bands) for x in sets)]
+                found = [_promising(x, bands, bits) for x in sets]
                 nodes, sizes = pa.array([_set_key(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64())
                 ids = batch.column(0).slice(first, len(sets))
                 yield pa.RecordBatch.from_arrays([ids, nodes, sizes, _long_lists(found)], ["id", "node", "n", "buckets"])
@@ -174,21 +190,53 @@ def _sketch(elements: np.ndarray, bands: _Bands, band: int) -> np.ndarray:
     at = np.searchsorted(elements, _cut_points(k))
     sums = np.zeros(len(elements) + 1, dtype=np.uint64)
     np.cumsum(mixed(elements), out=sums[1:])
-    return (sums[at[1:]] - sums[at[:-1]]).astype(np.uint32).view(np.int32)
+    return (sums[at[1:]] - sums[at[:-1]]).astype(np.uint16).view(np.int16)
+
+
+def _element_pass(words: int, chosen_map):
+    """``(id, text)`` -> ``(node, elements)`` of the rows that the map of id and node lets through."""
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0).fill_null(0).to_numpy()
+            for first, sets in _text_sets(batch.column(1), words):
+                keys = np.array([_set_key(x) for x in sets], dtype=np.int64)
+                taken = np.flatnonzero(passing(chosen_map.value, (keys ^ ids[first : first + len(sets)]).view(np.uint64)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[taken]), _long_lists([sets[i] for i in taken])], ["node", "elements"])
+
+    return run
 
 
-def _element_pass(words: int, num: int, den: int):
-    """``(text)`` -> ``(node, elements, band, own, low)``: the set, and its sketches for its bands."""
+def _elements_of(column: pa.ListArray) -> Iterator[np.ndarray]:
+    values, at = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
+    return (values[a:b] for a, b in zip(at[:-1], at[1:], strict=True))
+
+
+def _alone_pass(common_map, num: int, den: int):
+    """``(node, elements)`` -> the rows that can link, with the number of elements that no other candidate has."""
+
+    def run(batches):
+        for batch in batches:
+            alone = np.array([len(x) - int(passing(common_map.value, x).sum()) for x in _elements_of(batch.column(1))], dtype=np.int64)
+            n = np.diff(batch.column(1).offsets.to_numpy()).astype(np.int64)
+            kept = pa.array(den * (n - alone) >= num * n)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n), pa.array(alone)], ["node", "elements", "n", "alone"]).filter(kept)
+
+    return run
+
+
+def _sketch_pass(num: int, den: int):
+    """``(node, elements)`` -> ``(node, band, own, low)``: sketches for the set's bands; ``low`` is null without a lower band."""
 
     def run(batches):
         bands = _bands(num, den)
         for batch in batches:
-            for _, sets in _text_sets(batch.column(0), words):
-                of = [(b := bands.of(len(x)) or [0])[:1] + b[-1:] for x in sets]
-                sketches = [pa.array([_sketch(x, bands, b[i]) for x, b in zip(sets, of, strict=True)], pa.list_(pa.int32())) for i in (0, 1)]
-                nodes = pa.array([_set_key(x) for x in sets], pa.int64())
-                columns = [nodes, _long_lists(sets), pa.array([b[0] for b in of], pa.int32()), *sketches]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "elements", "band", "own", "low"])
+            sets = list(_elements_of(batch.column(1)))
+            of = [bands.of(len(x)) or [0] for x in sets]
+            own = [_sketch(x, bands, b[0]) for x, b in zip(sets, of, strict=True)]
+            low = [_sketch(x, bands, b[1]) if len(b) > 1 else None for x, b in zip(sets, of, strict=True)]
+            columns = [pa.array([b[0] for b in of], pa.int32()), pa.array(own, pa.list_(pa.int16())), pa.array(low, pa.list_(pa.int16()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["node", "band", "own", "low"])
 
     return run
 
@@ -236,19 +284,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     met = members.groupBy("bucket").count().where("count > 1").select("bucket")
     members = staged(members.join(met, "bucket"))
 
-    # The elements of the sets that meet another one, and how many of them no other such set has.
-    chosen = members.groupBy("node", "rep", "n").agg(F.count("*").alias("met"))
-    chosen = staged(chosen)
-    texts = docs.join(chosen.select(F.col("rep").alias("id")).distinct().alias("c"), docs["id"].eqNullSafe(F.col("c.id")), "left_semi")
-    elements = texts.select("text").mapInArrow(_element_pass(words, num, den), "node long, elements array<long>, band int, own array<int>, low array<int>")
-    elements = staged(elements.join(chosen.select("node", "n"), "node").dropDuplicates(["node"]))
-    single = elements.select("node", F.explode("elements").alias("e")).groupBy("e").agg(F.min("node").alias("node"), F.count("*").alias("c"))
-    alone = single.where("c = 1").groupBy("node").agg(F.count("*").alias("alone"))
-    alone = elements.select("node", "n").join(alone, "node", "left").select("node", "n", F.coalesce("alone", F.lit(0)).alias("alone"))
-    alone = staged(alone.where(f"{den} * (n - alone) >= {num} * n"))
+    # The elements of the sets that meet another one, and how many of them no other such set has. A row may stand for
+    # its set twice if its id does; that only makes elements look less alone.
+    chosen = members.select(F.expr("node ^ coalesce(rep, 0)").alias("h")).distinct()
+    chosen_map = spark.sparkContext.broadcast(hash_map(chosen, "h"))
+    elements = staged(docs.mapInArrow(_element_pass(words, chosen_map), "node long, elements array<long>"))
+    common = elements.select(F.explode("elements").alias("e")).groupBy("e").count().where("count > 1")
+    common_map = spark.sparkContext.broadcast(hash_map(common, "e"))
+    elements = staged(elements.mapInArrow(_alone_pass(common_map, num, den), "node long, elements array<long>, n long, alone long"))
+    alone = elements.select("node", "n", "alone").distinct()
     part = F.expr(f"transform(sequence(0, {PARTS - 1}), p -> struct(p as part, filter(elements, e -> shiftrightunsigned(e, 61) = p) as segment))")
-    parts = elements.join(alone.select("node"), "node", "left_semi").select("node", F.inline(part))
-    parts = staged(parts)
+    parts = staged(elements.select("node", F.inline(part)).dropDuplicates(["node", "part"]))
     members = staged(members.select("bucket", "node").join(alone, "node"))
 
     # Every bucket against its member with the fewest elements of its own.
@@ -263,7 +309,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     told = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed_buckets = told.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("n").alias("least_n")).where("r0 <> r1")
     open_members = told.join(mixed_buckets, "bucket").where(f"{num + den} * (n - alone) >= {num} * (n + least_n)")
-    open_members = open_members.select("bucket", "node", "n", "alone", "root").join(elements.select("node", "band", "own", "low"), "node")
+    open_members = staged(open_members.select("bucket", "node", "n", "alone", "root"))
+    sketched = elements.select("node", "elements").join(open_members.select("node").distinct(), "node", "left_semi")
+    sketched = sketched.mapInArrow(_sketch_pass(num, den), "node long, band int, own array<short>, low array<short>").dropDuplicates(["node"])
+    open_members = open_members.join(sketched, "node")
     x, y = open_members.alias("x"), open_members.alias("y")
     late = x.join(y, F.expr(f"x.bucket = y.bucket and x.node < y.node and x.root <> y.root and {_can_link('x', 'y', num, den)} and {_sketches_agree('x', 'y', num, den)}"))
     late = _verified(late.selectExpr(*(c.format("y") for c in pair)).distinct(), parts, num, den)
@@ -275,13 +324,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return linked.unionByName(labelled.where("n = 0").withColumn("component", F.col("id"))).select("id", "n", "component", "node", "root")
 
 
-def _key_pass(words: int):
+def _split_pass(words: int, special_map, inside: bool):
+    """``(doc, id, text)`` -> ``(doc, k, node)`` of the rows that the map of special rows lets through, or of the others."""
+
     def run(batches):
         for batch in batches:
-            for first, sets in _text_sets(batch.column(1), words):
-                keys, sizes = [_set_key(x) for x in sets], [len(x) for x in sets]
-                docs = batch.column(0).slice(first, len(sets))
-                yield pa.RecordBatch.from_arrays([docs, pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())], ["doc", "node", "n"])
+            ids, known = batch.column(1).fill_null(0).to_numpy(), batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+            for first, sets in _text_sets(batch.column(2), words):
+                keys = np.array([_set_key(x) for x in sets], dtype=np.int64)
+                at = slice(first, first + len(sets))
+                k = np.where(known[at], ids[at], keys)
+                special = passing(special_map.value, (keys ^ k).view(np.uint64)) & np.array([len(x) > 0 for x in sets], dtype=bool)
+                rows = pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array(k), pa.array(keys)], ["doc", "k", "node"])
+                yield rows.filter(pa.array(special == inside))
 
     return run
 
@@ -290,13 +345,20 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs`` less all but one of each group of linked texts.
 
     Of a group the row of the smallest id stays, a null id only if there is no other; of several texts of that id in
-    the group one stays, of equal rows one. Texts without words are linked with nothing and all stay.
+    the group one stays, of equal rows one. Texts without words are linked with nothing and all stay. Only rows that
+    go or occur twice, and few others that a map of fixed size can not tell from them, are shuffled.
     """
-    found = jaccard_components(docs, id_col, text_col, words, **threshold)
-    first = found.where("n > 0").groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("f"))
-    first = first.select(F.coalesce("f.id", "f.node").alias("k"), "f.node")
-    rows = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"))
-    keyed = rows.mapInArrow(_key_pass(words), rows.select("doc").schema.add("node", "long").add("n", "long"))
-    keyed = keyed.withColumn("k", F.coalesce(F.col("doc")[id_col].cast("long"), "node"))
-    kept = keyed.where("n > 0").join(first, ["k", "node"]).dropDuplicates(["k", "node"])
-    return kept.select("doc.*").union(keyed.where("n = 0").select("doc.*"))
+    found = jaccard_components(docs, id_col, text_col, words, **threshold).where("n > 0")
+    found = staged(found.select(F.coalesce("id", "node").alias("k"), F.col("id").isNull().alias("none"), "node", "root"))
+    first = found.groupBy("root").agg(F.min(F.struct("none", "k", "node")).alias("f"))
+    each = found.groupBy("k", "node", "root").agg(F.count("*").alias("c")).join(first, "root")
+    each = each.select("k", "node", "c", (~F.col("f.k").eqNullSafe(F.col("k")) | (F.col("f.node") != F.col("node"))).alias("goes"))
+    special = staged(each.where("goes OR c > 1").select("k", "node", "goes"))
+    special_map = docs.sparkSession.sparkContext.broadcast(hash_map(special, F.expr("node ^ k")))
+
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    schema = rows.select("doc").schema.add("k", "long").add("node", "long")
+    others = rows.mapInArrow(_split_pass(words, special_map, False), schema).select("doc.*")
+    told = rows.mapInArrow(_split_pass(words, special_map, True), schema).join(special, ["k", "node"], "left")
+    once = told.where("NOT goes").dropDuplicates(["k", "node"])
+    return others.union(told.where("goes IS NULL").select("doc.*")).union(once.select("doc.*"))
