@@ -299,6 +299,24 @@ def test_main_text_of_layouts(around):
     assert main_text(AROUND[0] + around.format(PARAGRAPHS) + AROUND[1]) == "\n".join(["Title", *PROSE])
 
 
+@pytest.mark.parametrize("around", ["<article><h1>Title</h1><div>{}</div></article>", "<main><h1>Title</h1><article>{}</article></main>", "<div><h1>Title</h1><div class=body>{}</div></div>", "<h1>Title</h1><div>{}</div>", "<div><h1>Title</h1><div class=body><h2>Title</h2>{}</div></div>"])
+def test_main_text_keeps_a_title_beside_the_body(around):
+    titles = ["Title"] * around.count("Title")
+    assert main_text(AROUND[0] + around.format(PARAGRAPHS) + AROUND[1]) == "\n".join([*titles, *PROSE])
+
+
+@pytest.mark.parametrize("around", ["<article><section>{}</section><section class=end><h2>{}</h2><p>{}</p></section></article>", "<div><div>{}</div><div class=end><h2>{}</h2><p>{}</p></div></div>", "<div>{}</div><div class=end><h2>{}</h2><p>{}</p></div>"])
+def test_main_text_keeps_a_short_section(around):
+    end = ("An end", "It all ends here, after all that was said.")
+    assert main_text(AROUND[0] + around.format(PARAGRAPHS, *end) + AROUND[1]) == "\n".join([*PROSE, *end])
+
+
+@pytest.mark.parametrize("around", ["<article><p>{}</p><div>{}</div></article>", "<div><p class=lead>{}</p><div>{}</div></div>", "<p class=lead>{}</p><div>{}</div>"])
+def test_main_text_keeps_a_lead(around):
+    lead = "This is what it is about, in short."
+    assert main_text(AROUND[0] + around.format(lead, PARAGRAPHS) + AROUND[1]) == "\n".join([lead, *PROSE])
+
+
 def test_main_text_of_odd_pages():
     assert [main_text(x) for x in (None, "", "<p>", "<nav><a href=/>x</a></nav>", "<script>if (a < b) {}")] == [""] * 5
     assert main_text("<article><p>One &amp; two,&nbsp;three.\n\t four<br>five<p>six <b>seven</article>") == "One & two, three. four five\nsix seven"

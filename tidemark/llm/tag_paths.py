@@ -2,8 +2,9 @@
 
 A page is cut into blocks of text, each with the path of the elements around it. Text length, punctuation and link
 text are summed per path; a path's ratio fuses text and punctuation per block and the share of text outside links. The
-ratios of the blocks in page order are smoothed, and blocks above the threshold are content. The element that
-holds nearly all content is the article; its blocks are the main text, less what its elements name as something else.
+ratios of the blocks in page order are smoothed, and blocks above the threshold are content. The innermost element that
+holds all content is the article; its blocks, and a title before it, are the main text, less what elements name as something
+else.
 """
 
 from __future__ import annotations
@@ -180,7 +181,54 @@ def smoothed(values: np.ndarray, radius: int = 2) -> np.ndarray:
     return np.convolve(values, kernel, "same")[: len(values)] / weights[: len(values)] if len(values) > 2 * radius else values
 
 
-def main_text(html: str | None, share: float = 0.8) -> str:
+def _with_neighbours(found: list[TextBlock], content: np.ndarray) -> np.ndarray:
+    """Content and the paragraphs next to it, however short; only headings may stand between, no bound of an article or the main element."""
+    grown = content.copy()
+    for order in (range(len(found)), range(len(found) - 1, -1, -1)):
+        last = None
+        for i in order:
+            b = found[i]
+            around = [n for n, tag in zip(b.chain, b.tags, strict=True) if tag in ("article", "main")]
+            paragraph = b.tags[-1:] == ("p",) and b.linked <= 0.5 * len(b.text.replace(" ", ""))
+            if content[i]:
+                last = around
+            elif b.other or around != last or not (paragraph or b.tags and b.tags[-1] in HEADINGS):
+                last = None
+            elif paragraph:
+                grown[i] = True
+    return grown
+
+
+def _article(found: list[TextBlock], content: np.ndarray) -> tuple[int, ...]:
+    """Numbers of the elements down to the innermost that holds all content; an article or the main element is not gone into."""
+    blocks = [found[i] for i in np.flatnonzero(content)]
+    depth = 0
+    while all(len(b.chain) > depth and b.chain[depth] == blocks[0].chain[depth] for b in blocks) and blocks[0].tags[depth] in HOLDERS:
+        depth += 1
+    tags = blocks[0].tags[:depth]
+    for whole in ("article", "main"):
+        if whole in tags:
+            return blocks[0].chain[: tags.index(whole) + 1]
+    return blocks[0].chain[:depth]
+
+
+def _title(found: list[TextBlock], content: np.ndarray, inside: list[bool]) -> int:
+    """The first block of the headings before the article that head it, or the article's first block if it has its own."""
+
+    def rank(b: TextBlock) -> str:
+        return b.tags[-1] if b.tags and b.tags[-1] in HEADINGS and not b.other else ""
+
+    first = inside.index(True)
+    own = next(filter(None, map(rank, found[first : int(np.argmax(content))])), "h9")
+    title = next((i for i in range(first - 1, -1, -1) if rank(found[i])), None)
+    if title is None or rank(found[title]) >= own:
+        return first
+    while title and rank(found[title - 1]) and found[title - 1].chain[:-1] == found[title].chain[:-1]:
+        title -= 1
+    return title
+
+
+def main_text(html: str | None) -> str:
     """The blocks of the article, joined by newlines."""
     found = text_blocks(html or "")
     ratios = path_ratios(found)
@@ -188,26 +236,24 @@ def main_text(html: str | None, share: float = 0.8) -> str:
         return ""
     own = (ratios > 0) & (smoothed(ratios) > 0)
     content = own & ((smoothed(ratios) >= ratios.std()) | (ratios >= ratios.std()))
-    sizes = np.array([len(b.text) for b in found]) * content
-    holder, depth = None, 0
-    while True:  # down to the innermost element that still holds nearly all content
-        held: dict[int, int] = {}
-        for b, size in zip(found, sizes, strict=True):
-            if size and len(b.chain) > depth and b.tags[depth] in HOLDERS and (depth == 0 or b.chain[depth - 1] == holder):
-                held[b.chain[depth]] = held.get(b.chain[depth], 0) + int(size)
-        best = max(held, key=held.get, default=None)
-        if best is None or held[best] < share * sizes.sum():
-            break
-        holder, depth = best, depth + 1
+    if not content.any():
+        return ""
+    content = _with_neighbours(found, content)
+    article = _article(found, content)
+    inside = [b.chain[: len(article)] == article for b in found]
+    first, title = inside.index(True), _title(found, content, inside)
     passing = {b.path for b, ok in zip(found, content, strict=True) if ok}
+    named = found[int(np.argmax(content))].tags[: len(article)][-1:] not in ((), ("html",), ("body",))
+    # where no element holds all content, an article or the main element that has some is still kept as a whole
+    wholes = {n for b, ok in zip(found, content, strict=True) if ok for n, tag in zip(b.chain, b.tags, strict=True) if tag in ("article", "main")}
     texts = []
-    for b in found:
-        if b.other or (depth and (len(b.chain) < depth or b.chain[depth - 1] != holder)):
+    for i, b in enumerate(found):
+        if b.other or not (inside[i] or title <= i < first):
             continue
-        named = depth and b.tags[depth - 1] not in ("html", "body")
+        whole = named or not wholes.isdisjoint(b.chain)
         in_header = "header" in b.tags and b.tags[-1] not in HEADINGS
         linked = b.linked > 0.5 * len(b.text.replace(" ", "")) and b.path not in passing
-        if not in_header and not linked and (named or b.path in passing or b.tags[-1:] and b.tags[-1] in HEADINGS):
+        if not in_header and not linked and (whole or b.path in passing or b.tags[-1:] and b.tags[-1] in HEADINGS):
             texts.append(b.text)
     return "\n".join(texts)
 
