@@ -194,6 +194,52 @@ def test_passages_stay_in_one_document(spark):
             assert all(data[s.start : s.stop].decode() in texts[i - 3] + " " for s in r["spans"])
 
 
+def without_passages(spark, texts):
+    rows = dedup_substrings(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), keep=["doc_id"]).collect()
+    return {r["doc"].doc_id: r for r in rows}
+
+
+def brute_passages(texts, n=50):
+    """Per text which words lie in ``n`` words that occur before, and not only overlapping themselves."""
+    first, gone = {}, []
+    for i, text in enumerate(texts):
+        words = text.split()
+        gone.append([False] * len(words))
+        for k in range(len(words) - n + 1):
+            j, at = first.setdefault(tuple(words[k : k + n]), (i, k))
+            if j < i or k >= at + n:
+                gone[i][k : k + n] = [True] * n
+    return gone
+
+
+def check_passages(spark, texts):
+    rows, gone = without_passages(spark, texts), brute_passages(texts)
+    for i, text in enumerate(texts):
+        assert rows[i]["text"].split() == [w for w, out in zip(text.split(), gone[i], strict=True) if not out]
+        assert rows[i]["n_removed"] == sum(gone[i]) and (rows[i]["text"] == text or any(gone[i]))
+    return gone
+
+
+def test_common_phrases_in_fresh_order_stay(spark):
+    rng = random.Random(5)
+    phrases = [" ".join(rng.choice(("in", "und", "of the", "we saw", "it", "a long day", "house", "as well as")) + f" x{rng.randint(0, 30)}" for _ in range(rng.randint(1, 4))) for _ in range(60)]
+    texts = [" ".join(rng.choice(phrases) for _ in range(80)) for _ in range(400)]
+    assert not any(map(any, check_passages(spark, texts)))
+
+
+def test_passages_match_brute_force(spark):
+    rng = random.Random(6)
+    pool = [f"{rng.choice('abcdefgh') * rng.randint(1, 9)}{rng.randint(0, 50)}" for _ in range(3000)]
+    source = [rng.choice(pool) for _ in range(2000)]
+    texts = []
+    for _ in range(150):  # pieces of one source, of all lengths, that overlap from text to text, and some fresh words
+        pieces = [(k := rng.randrange(1900), source[k : k + rng.randint(20, 99)])[1] for _ in range(rng.randint(1, 6))]
+        texts.append(" ".join(w for piece in pieces for w in [*piece, rng.choice(pool)]))
+    texts += ["a b " * 90, "a " * 49, "a " * 300, " ".join(source[:70] * 3), "b a " * 30, " ".join("x" * 51), "y " + " ".join("x" * 51)]
+    gone = check_passages(spark, [t.strip() for t in texts])
+    assert sum(map(sum, gone)) > 5000
+
+
 def test_dedup_bears_rough_rows(rough, nothing):
     rows = dedup_substrings(rough, keep=rough.columns).collect()
     assert Counter(r["doc"].text for r in rows) == Counter(r[1] for r in awkward_rows())

@@ -1,10 +1,11 @@
 """Substring dedup by content-defined chunking.
 
-A gear rolling hash over the bytes before each word decides whether a chunk ends there, so equal passages are cut
-alike wherever they stand, and an insertion changes the chunks next to it only. Chunks are deduplicated by
-digest. Runs of repeated chunks with enough words are removed everywhere but in their first document.
+A chunk begins where a gear rolling hash over the bytes before a word is least among some neighbouring words, so equal
+passages are cut alike wherever they stand, but for their ends, and chunks are short. Overlapping runs of neighbouring
+chunks are the seeds: every passage of ``min_words`` words holds one whole. Only where seeds repeat are the passages
+themselves compared, word by word, and removed everywhere but in their first document.
 
-Documents are read twice: to count the digests, and to find the runs of digests that occur more than once. In
+Documents are read twice: to count the seeds, and to find the passages around seeds that occur more than once. In
 between only a map of fixed size goes to the tasks.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,10 +23,8 @@ from tidemark.session import staged
 
 #: Bytes that the rolling hash covers.
 REACH = 16
-#: A chunk ends before one word in 2 to the power of this.
-CUT_BITS = 2
-#: A chunk ends after so many words at the latest, which only text that repeats a few words ever meets.
-MAX_WORDS = 64
+#: So many words hold more bytes than the rolling hash covers, as no word is shorter than its byte and a separator.
+REACH_WORDS = REACH // 2
 
 _GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
@@ -41,110 +40,165 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
     return value
 
 
-def cut_chunks(block: Block, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Chunks of a block: their first words, the word after their last, and digests; none spans two rows."""
-    if len(words.starts) == 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    rows = words.row_of_word()
-    value = gear_hash(block.data)[np.maximum(words.starts - 1, 0)]
-    cut = (value >> np.uint32(REACH - CUT_BITS)) & np.uint32((1 << CUT_BITS) - 1) == 0
-    cut &= words.starts - block.offsets[rows] >= REACH  # bytes of the row before do not count
-    cut[words.bounds[:-1][np.diff(words.bounds) > 0]] = True
-    first = np.flatnonzero(cut)
-    parts = (np.diff(np.append(first, len(cut))) - 1) // MAX_WORDS + 1
-    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    first = np.repeat(first, parts) + nth * MAX_WORDS
-    after = np.append(first[1:], len(words.starts))
+def _bounds(min_words: int) -> tuple[int, int]:
+    """Words in which a chunk begins, and least words of a seed: all of a passage's seed lies in it.
+
+    A passage agrees on the cuts from ``REACH_WORDS + near - 1`` words after its start, or earlier, to ``near`` words before
+    its end, and a seed ends less than ``near`` words after its least length.
+    """
+    if min_words < 2 * REACH_WORDS:
+        raise ValueError(f"min_words must be at least {2 * REACH_WORDS}")
+    near = (min_words - REACH_WORDS + 2) // 4
+    return near, min_words - REACH_WORDS + 2 - 3 * near
+
+
+def first_words(block: Block, words: Words, near: int) -> np.ndarray:
+    """First words of the chunks of a block: of each ``near`` neighbouring words the last one of least gear hash."""
+    n = len(words.starts)
+    if n < near:
+        return np.zeros(0, np.int64)
+    value = gear_hash(block.data)[np.maximum(words.starts - 1, 0)] & np.uint32((1 << REACH) - 1)
+    least = (value.astype(np.uint64) << np.uint64(32)) | np.arange(n, 0, -1, dtype=np.uint64)
+    m = 1
+    while m < near:
+        step = min(m, near - m)
+        least = np.minimum(least[:-step], least[step:])
+        m += step
+    return np.unique(n - (least & np.uint64(0xFFFFFFFF)).astype(np.int64))
+
+
+def seeds(block: Block, words: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of neighbouring chunks: their first words, the word after their last, and digests; none spans two rows."""
+    near, least = _bounds(min_words)
+    first = first_words(block, words, near)
+    end = np.searchsorted(first, first + least)
+    first, after = first[end < len(first)], first[end[end < len(first)]]
+    # where neighbours in a row are too far apart, as at the ends of rows, the next cut may be in a later row
+    row = np.searchsorted(words.bounds, first, side="right")
+    inside = after <= words.bounds[row]
+    first, after = first[inside], after[inside]
     return first, after, range_hashes(block.data, words.starts[first], words.ends[after - 1])
 
 
-def _digest_pass(batches):
-    for batch in batches:
-        for block in blocks(batch.column(0)):
-            _, _, digests = cut_chunks(block, find_words(block, SPACED))
-            yield pa.RecordBatch.from_arrays([pa.array(digests.view(np.int64))], ["digest"])
+def _count_inside(marked: np.ndarray, first: np.ndarray, after: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """How many marked seeds lie in each range of words."""
+    sums = np.append(0, np.cumsum(marked))
+    low, high = np.searchsorted(first, begin), np.searchsorted(after, end, side="right")
+    return sums[np.maximum(high, low)] - sums[low]
+
+
+def _seed_pass(min_words: int):
+    def run(batches):
+        for batch in batches:
+            for block in blocks(batch.column(0)):
+                _, _, digests = seeds(block, find_words(block, SPACED), min_words)
+                yield pa.RecordBatch.from_arrays([pa.array(digests.view(np.int64))], ["digest"])
+
+    return run
 
 
 def _run_pass(shared_map, min_words: int):
-    """``(row, id, doc, text)`` with ``n_words`` and the chunks in runs that the map lets through."""
+    """``(row, id, doc, text)`` with ``n_words`` and where ``n`` passages from ``at`` on have only seeds that the map lets through."""
+    near, _ = _bounds(min_words)
 
     def run(batches):
         for batch in batches:
             for block in blocks(batch["text"]):
                 words = find_words(block, SPACED)
-                first, after, digests = cut_chunks(block, words)
-                rows = words.row_of_word()[first] if len(first) else first
+                first, after, digests = seeds(block, words, min_words)
                 repeated = passing(shared_map.value, digests)
-                begins = repeated & np.append(True, ~repeated[:-1] | (rows[1:] != rows[:-1]))[: len(repeated)]
-                group = np.cumsum(begins)[repeated]
-                counts = np.bincount(group, weights=(after - first)[repeated])
-                chosen = np.flatnonzero(repeated)[counts[group] >= min_words]
-                row = rows[chosen]
-                heads = np.searchsorted(rows, np.arange(block.rows))
-                begin = block.offsets[rows]
-                starts = words.starts[first] - begin
-                last = np.append(rows[1:] != rows[:-1], True)[: len(rows)]
-                stops = np.where(last, block.offsets[rows + 1] - begin, np.append(words.starts[first[1:]], 0)[: len(rows)] - begin)
-                fields = {
-                    "digest": digests[chosen].view(np.int64),
-                    "idx": (chosen - heads[row]).astype(np.int32),
-                    "n": (after - first)[chosen].astype(np.int32),
-                    "start": starts[chosen],
-                    "stop": stops[chosen],
-                }
-                chunks = pa.StructArray.from_arrays([pa.array(x) for x in fields.values()], list(fields))
+                at = np.arange(max(len(words.starts) - min_words + 1, 0))
+                row = words.row_of_word()[: len(at)]
+                at = at[at + min_words <= words.bounds[row + 1]]
+                at = at[_count_inside(repeated, first, after, at, at + min_words) > 0]
+                at = at[_count_inside(~repeated, first, after, at + REACH_WORDS + near - 1, at + min_words - near) == 0]
+                heads = np.flatnonzero(np.append(True, at[1:] != at[:-1] + 1)[: len(at)])  # the words of a row's end begin no passage
+                n = np.diff(np.append(heads, len(at)))
+                row = np.searchsorted(words.bounds, at[heads], side="right") - 1
+                fields = {"at": (at[heads] - words.bounds[row]).astype(np.int32), "n": n.astype(np.int32)}
+                runs = pa.StructArray.from_arrays([pa.array(x) for x in fields.values()], list(fields))
                 offsets = np.append(0, np.cumsum(np.bincount(row, minlength=block.rows))).astype(np.int32)
                 part = batch.slice(block.first, block.rows)
-                added = [pa.array(np.diff(words.bounds), pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), chunks)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *added], [*batch.schema.names, "n_words", "chunks"])
+                added = [pa.array(np.diff(words.bounds), pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), runs)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], [*batch.schema.names, "n_words", "runs"])
+
+    return run
+
+
+def _passage_pass(min_words: int):
+    """``(digest, id, row, at)`` of each passage of the ``runs``."""
+
+    def run(batches):
+        for batch in batches:
+            for block in blocks(batch["text"]):
+                words = find_words(block, SPACED)
+                part = batch.slice(block.first, block.rows)
+                runs = part["runs"].flatten()
+                at, n = (runs.field(i).to_numpy() for i in (0, 1))
+                row = np.repeat(np.repeat(np.arange(block.rows), part["runs"].value_lengths().to_numpy()), n)
+                place = np.repeat(at, n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                begin = place + words.bounds[row]
+                digests = range_hashes(block.data, words.starts[begin], words.ends[begin + min_words - 1])
+                columns = [pa.array(digests.view(np.int64)), *(part[c].take(pa.array(row)) for c in ("id", "row")), pa.array(place, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["digest", "id", "row", "at"])
 
     return run
 
 
-def _cut_pass(batches):
-    """Rows whose ``text`` loses their ``spans``."""
-    for batch in batches:
-        names, texts = batch.schema.names, []
-        for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist(), strict=True):
-            data, kept, at = (text or "").encode(), [], 0
-            for span in spans:
-                kept.append(data[at : span["start"]])
-                at = span["stop"]
-            texts.append(b"".join([*kept, data[at:]]).decode() if spans else text)
-        yield batch.set_column(names.index("text"), "text", pa.array(texts, pa.string()))
+def _cut_pass(min_words: int):
+    """``(doc, text, n_words, n_removed, spans, first_ids)``, the texts without the passages that begin ``at`` some words."""
+
+    def run(batches):
+        spans_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+        for batch in batches:
+            texts, removed, spans = [], [], []
+            for text, begins in zip(batch["text"].to_pylist(), batch["at"].to_pylist(), strict=True):
+                data, kept, end = (text or "").encode(), [], 0
+                removed.append(0)
+                spans.append([])
+                if begins:
+                    at = np.array(begins)
+                    starts = np.append(find_words(Block(0, np.frombuffer(data, np.uint8), np.array([0, len(data)])), SPACED).starts, len(data))
+                    gaps = np.flatnonzero(at[1:] > at[:-1] + min_words)
+                    heads, ends = at[np.append(0, gaps + 1)], at[np.append(gaps, len(at) - 1)] + min_words
+                    removed[-1] = int((ends - heads).sum())
+                    spans[-1] = [{"start": int(starts[i]), "stop": int(starts[j])} for i, j in zip(heads, ends, strict=True)]
+                    for span in spans[-1]:
+                        kept.append(data[end : span["start"]])
+                        end = span["stop"]
+                    text = b"".join([*kept, data[end:]]).decode()
+                texts.append(text)
+            added = [pa.array(texts, pa.string()), batch["n_words"], pa.array(removed, pa.int64()), pa.array(spans, spans_type), batch["first_ids"]]
+            yield pa.RecordBatch.from_arrays([batch["doc"], *added], ["doc", "text", "n_words", "n_removed", "spans", "first_ids"])
+
+    return run
 
 
-def dedup_substrings(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", min_words: int = 30) -> DataFrame:
+def dedup_substrings(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
     """``(doc, text, n_words, n_removed, spans, first_ids)`` of every row of ``docs``; ``doc`` has its ``keep`` columns.
 
-    ``text`` has lost the runs of repeated chunks of ``min_words`` words or more; a passage is found less the parts
-    of chunks at its ends, some ten words. Of equal chunks in such runs the first stays, by id (null first), row and
-    place, so everything removed stays somewhere. ``n_words`` and ``n_removed`` count words of the text as it was,
-    ``spans`` are the byte ranges removed from its UTF-8 form, ``first_ids`` the ids of the documents that keep
-    them. Null texts stay null; texts without repeats stay as they are to the byte.
+    ``text`` has lost every passage of ``min_words`` words or more that occurs, to the byte, before it, by id (null first),
+    row and place without overlap, so everything removed stays somewhere. ``n_words`` and ``n_removed`` count words of
+    the text as it was, ``spans`` are the byte ranges removed from its UTF-8 form, ``first_ids`` the ids of the documents
+    where the passages occur first. Null texts stay null; texts without repeats stay as they are to the byte.
     """
     spark = docs.sparkSession
-    digests = docs.select(text_col).mapInArrow(_digest_pass, "digest long").groupBy("digest").count()
+    digests = docs.select(text_col).mapInArrow(_seed_pass(min_words), "digest long").groupBy("digest").count()
     shared = spark.sparkContext.broadcast(hash_map(digests.where("count > 1"), "digest"))
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.struct(*keep).alias("doc"), F.col(text_col).alias("text"))
-    chunk = T.ArrayType(T.StructType.fromDDL("digest long, idx int, n int, start long, stop long"))
-    rows = staged(numbered.mapInArrow(_run_pass(shared, min_words), numbered.select("*").schema.add("n_words", "long").add("chunks", chunk)))
-
-    chunks = rows.where("size(chunks) > 0").select("row", "id", F.inline("chunks"))
-    winners = chunks.groupBy("digest").agg(F.min(F.struct("id", "row", "idx")).alias("w"), F.count("*").alias("c")).where("c > 1")
-    winners = winners.selectExpr("digest", "w.id AS first_id", "w.row AS first_row", "w.idx AS first_idx")
-    repeats = chunks.join(winners, "digest").where("row <> first_row OR idx <> first_idx")
-    islands = repeats.withColumn("island", F.col("idx") - F.row_number().over(Window.partitionBy("row").orderBy("idx")))
-    spans = islands.groupBy("row", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n").alias("n"), F.collect_set("first_id").alias("ids"))
-    spans = spans.where(F.col("n") >= min_words).groupBy("row").agg(
-        F.sum("n").alias("n_removed"),
-        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("first_ids"),
-    )
+    runs = T.ArrayType(T.StructType.fromDDL("at int, n int"))
+    rows = staged(numbered.mapInArrow(_run_pass(shared, min_words), numbered.select("*").schema.add("n_words", "long").add("runs", runs)))
+
+    # dealt once by digest, for the first of each and for the join with it, which therefore read the same rows and columns
+    inside = rows.where("size(runs) > 0").select("id", "row", "text", "runs")
+    passages = inside.mapInArrow(_passage_pass(min_words), "digest long, id long, row long, at int").where("digest IS NOT NULL AND row IS NOT NULL").repartition("digest")
+    winners = passages.groupBy("digest").agg(F.min(F.struct("id", "row", "at")).alias("w"), F.count("*").alias("c")).where("c > 1")
+    repeats = passages.join(winners.select("digest", "w"), "digest").where(f"NOT (id <=> w.id AND row = w.row AND at < w.at + {min_words})")
+    repeats = repeats.selectExpr("row", "at", "w.id AS first_id").repartition("row")
+    found = repeats.groupBy("row").agg(F.array_sort(F.collect_list("at")).alias("at"), F.array_sort(F.collect_set("first_id")).alias("first_ids"))
     columns = ["doc", "text", "n_words"]
     none = "0L AS n_removed", "cast(array() AS array<struct<start: long, stop: long>>) AS spans", "cast(array() AS array<long>) AS first_ids"
-    untouched = rows.where("size(chunks) = 0").selectExpr(*columns, *none)
-    touched = rows.where("size(chunks) > 0").select("row", *columns).join(spans, "row", "left")
-    filled = (f"coalesce({c}, {default}) AS {c}" for c, default in (("n_removed", "0L"), ("spans", "array()"), ("first_ids", "array()")))
-    touched = touched.selectExpr(*columns, *filled)
-    return untouched.union(touched.mapInArrow(_cut_pass, touched.schema))
+    untouched = rows.where("size(runs) = 0").selectExpr(*columns, *none)
+    touched = rows.where("size(runs) > 0").select("row", *columns).join(found, "row", "left")
+    touched = touched.selectExpr(*columns, "coalesce(at, array()) AS at", "coalesce(first_ids, array()) AS first_ids")
+    return untouched.union(touched.mapInArrow(_cut_pass(min_words), untouched.schema))
