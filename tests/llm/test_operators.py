@@ -240,6 +240,15 @@ def test_passages_match_brute_force(spark):
     assert sum(map(sum, gone)) > 5000
 
 
+def test_every_passage_of_fifty_one_words_is_found(spark):
+    rng = random.Random(7)
+    fresh = lambda n: [rng.choice(("it", "a", "of", "in")) if rng.random() < 0.4 else f"{rng.choice('bcdfg') * rng.randint(1, 8)}{rng.randint(0, 9999)}" for _ in range(n)]
+    passages = [fresh(51) for _ in range(3000)]
+    texts = [" ".join(fresh(20) + p + fresh(20)) for p in passages] + [" ".join([f"l{i}"] + p + [f"r{i}"]) for i, p in enumerate(passages)]
+    rows = without_passages(spark, texts)
+    assert all(rows[i]["n_removed"] == 0 and rows[3000 + i]["text"] == f"l{i} r{i}" for i in range(3000))
+
+
 def test_dedup_bears_rough_rows(rough, nothing):
     rows = dedup_substrings(rough, keep=rough.columns).collect()
     assert Counter(r["doc"].text for r in rows) == Counter(r[1] for r in awkward_rows())
