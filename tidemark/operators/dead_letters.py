@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.functions.ordered import ROWS_PER_SLICE, positions
+from tidemark.functions.ordered import ROWS_PER_SLICE, in_slices, positions
 from tidemark.functions.scalars import preview, rfc3339
 
 ORDER = ["batch_id", "partition", "offset"]
@@ -39,10 +39,8 @@ def count_entries(entries: DataFrame) -> DataFrame:
 
 def with_position(entries: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Add ``position`` (0-based) and ``entries`` (the list length)."""
-    block = F.floor(F.col("offset") / rows_per_slice)
-    return positions(entries.withColumn("_block", block), ORDER, "position", [*ORDER[:2], "_block"], total="entries").drop(
-        "_block"
-    )
+    placed = in_slices(entries, ORDER, rows_per_slice, "_slice")
+    return positions(placed, ORDER, "position", ["_slice"], total="entries").drop("_slice")
 
 
 def entry_range(entries: DataFrame, start: int, stop: int, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
