@@ -372,6 +372,14 @@ def test_main_text_keeps_a_lead(around):
     assert main_text(AROUND[0] + around.format(lead, PARAGRAPHS) + AROUND[1]) == "\n".join([lead, *PROSE])
 
 
+@pytest.mark.parametrize("around", ["<article>{}<ul>{}</ul>{}</article>", "<main><div>{}<h2>Sources</h2><ol>{}</ol>{}</div></main>", "<div class=text>{}<ul>{}</ul>{}</div>"])
+def test_main_text_keeps_a_list_of_links(around):
+    links = "".join(f"<li><a href=/{i}>Source {i}</a></li>" for i in range(4)) + "<li class=share><a href=/s>Share</a></li>"
+    html = AROUND[0] + around.format(PARAGRAPHS, links, PARAGRAPHS) + AROUND[1]
+    heading = ["Sources"] * ("Sources" in around)
+    assert main_text(html) == "\n".join([*PROSE, *heading, *(f"Source {i}" for i in range(4)), *PROSE])
+
+
 def test_main_text_of_odd_pages():
     assert [main_text(x) for x in (None, "", "<p>", "<nav><a href=/>x</a></nav>", "<script>if (a < b) {}")] == [""] * 5
     assert main_text("<article><p>One &amp; two,&nbsp;three.\n\t four<br>five<p>six <b>seven</article>") == "One & two, three. four five\nsix seven"

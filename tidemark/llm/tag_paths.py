@@ -252,7 +252,7 @@ def main_text(html: str | None) -> str:
             continue
         whole = named or not wholes.isdisjoint(b.chain)
         in_header = "header" in b.tags and b.tags[-1] not in HEADINGS
-        linked = b.linked > 0.5 * len(b.text.replace(" ", "")) and b.path not in passing
+        linked = b.linked > 0.5 * len(b.text.replace(" ", "")) and b.path not in passing and not (whole and inside[i])
         if not in_header and not linked and (whole or b.path in passing or b.tags[-1:] and b.tags[-1] in HEADINGS):
             texts.append(b.text)
     return "\n".join(texts)
