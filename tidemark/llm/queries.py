@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +12,13 @@ from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.language_id import identify_languages
 from tidemark.llm.line_crf import quality_rules
+from tidemark.llm.periodic_runs import periodic_runs
 from tidemark.llm.quality_knn import quality_scores
 from tidemark.llm.source_mix import mix_sources
 from tidemark.llm.tag_paths import extract_main_text
 from tidemark.llm.token_counts import load_pieces, token_counts
 from tidemark.llm.url_trust import judge_urls, rule_table
+from tidemark.llm.vector_packing import pack_examples
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,6 +116,48 @@ def op9_tag_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page.*", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The documents, a tenth of which (by digest of the id) repeat a stretch of their words up to the end."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    listed = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    listed = listed.withColumn("words", F.when(F.expr("h % 10 = 0"), words)).withColumn("n", F.size("words"))
+    placed = listed.withColumn("a", F.expr("h div 10 % nullif(n, 0)"))
+    placed = placed.withColumn("p", F.expr("1 + (n - a) div (3 + h div 10 % 8)"))
+    repeats = "flatten(array_repeat(slice(words, int(a + 1), int(p)), int((n - a + p - 1) div p)))"
+    text = f"array_join(concat(slice(words, 1, int(a)), slice({repeats}, 1, int(n - a))), ' ')"
+    return placed.select("doc_id", F.expr(f"CASE WHEN n > 0 THEN {text} ELSE text END AS text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of every document that repeat four times over, and the text without the repeats."""
+    found = periodic_runs(with_repeats(_table(spark, sf_dir, "documents")), keep=["doc_id"])
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    best = "array_min(transform(runs, r -> struct(-r.length AS longest, r.start AS start, r.period AS period)))"
+    return found.selectExpr("*", f"{best} AS best").selectExpr(
+        "doc.doc_id",
+        "n_words",
+        "cast(size(runs) AS bigint) AS n_runs",
+        "best.start AS start",
+        "-best.longest AS length",
+        "best.period AS period",
+        "1000 * -best.longest div best.period AS exponent_milli",
+        f"sha2({lines}, 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+
+
+#: A tokenizer of words, and the id that ends an example.
+WORD_TOKENIZER, END_ID = "/opt/tokenizers/word_bpe_49k.json", 1
+
+
+def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of at most 2,048 tokens."""
+    parts = F.array(F.struct(F.col("text").alias("text"), F.lit(True).alias("learn")))
+    definition = Path(WORD_TOKENIZER).read_text(encoding="utf-8")
+    found = pack_examples(_table(spark, sf_dir, "documents"), parts, definition, END_ID, keep=["doc_id"])
+    return found.select("doc.doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_source_mix": op2_source_mix,
@@ -123,4 +169,6 @@ QUERIES = {
     "op8_line_crf": op8_line_crf,
     "op9_tag_path": op9_tag_path,
     "op10_language_id": op10_language_id,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_vector_packing": op13_vector_packing,
 }
