@@ -13,12 +13,14 @@ from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.language_id import identify_languages
 from tidemark.llm.line_crf import quality_rules
 from tidemark.llm.periodic_runs import periodic_runs
+from tidemark.llm.prefix_trie import ends_digest, prefix_trie, turn_keys
 from tidemark.llm.quality_knn import quality_scores
 from tidemark.llm.source_mix import mix_sources
 from tidemark.llm.tag_paths import extract_main_text
 from tidemark.llm.token_counts import load_pieces, token_counts
 from tidemark.llm.url_trust import judge_urls, rule_table
 from tidemark.llm.vector_packing import pack_examples
+from tidemark.session import staged
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,6 +118,32 @@ def op9_tag_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page.*", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def with_shared_beginnings(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The conversations rebuilt so that they begin with turns of the one whose id ends their twenty, and their ids."""
+    convs = turns.where("pos = 0").selectExpr("conv", "conv - conv % 20 AS base", "crc32(cast(cast(conv AS string) AS binary)) % 4 AS h")
+    own = turns.where("pos >= crc32(cast(cast(conv AS string) AS binary)) % 4")
+    first = turns.where("pos < 3").withColumnRenamed("conv", "base")
+    taken = convs.join(first, "base").where("pos < h").select("conv", "pos", "key", "n_words")
+    return own.unionByName(taken), convs.select("conv")
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every beginning that rebuilt conversations share."""
+    turns, members = with_shared_beginnings(staged(turn_keys(_table(spark, sf_dir, "conversations"))))
+    nodes, ends = prefix_trie(turns, members)
+    nodes = nodes.join(ends_digest(ends), "key", "left")
+    return nodes.select(
+        F.col("conv").alias("conv_id"),
+        "depth",
+        F.col("parent_conv").alias("parent_conv_id"),
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        F.col("saved_words").alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """The documents, a tenth of which (by digest of the id) repeat a stretch of their words up to the end."""
     words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
@@ -169,6 +197,7 @@ QUERIES = {
     "op8_line_crf": op8_line_crf,
     "op9_tag_path": op9_tag_path,
     "op10_language_id": op10_language_id,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_vector_packing": op13_vector_packing,
 }
