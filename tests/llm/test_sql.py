@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from tests.llm.rows import awkward_rows
+from tests.llm.test_prefix_trie import awkward_talks
 from tidemark.llm.expected import EXPECTED
 from tidemark.llm.queries import QUERIES
 
@@ -48,6 +49,9 @@ def small_tables(tmp_path_factory):
         ("http://notexample.org/en/1", "<a href='/own'>"), ("http://com/fr/", None), ("http://org", None), (None, None), ("no scheme", "x"), ("http://f.net/1", link.format("shop.com", "a.org")), ("://", None), ("http://d.net/2", link.format("h.net", "shop.com")),
     ]
     pq.write_table(pa.table({"page_id": pa.array(range(len(urls)), pa.int64()), "url": [u for u, _ in urls], "html": [h for _, h in urls]}), folder / "pages.parquet")
+    talks = list(zip(*awkward_talks(), strict=True))
+    named = zip(["conv_id", "turn", "role", "text"], [pa.int64(), pa.int64(), pa.string(), pa.string()], talks, strict=True)
+    pq.write_table(pa.table({n: pa.array(c, t) for n, t, c in named}), folder / "conversations.parquet")
     return folder
 
 

@@ -105,9 +105,56 @@ SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGIN
 FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
+OP11 = r"""
+WITH RECURSIVE turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS turn_key
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+talks AS (
+    SELECT c, list(turn_key ORDER BY turn NULLS FIRST, role, turn_key) AS keys,
+           list(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ORDER BY turn NULLS FIRST, role, turn_key) AS words
+    FROM turns GROUP BY c
+),
+-- crc32 of the decimal id, bit by bit
+digits AS (
+    SELECT c, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::UBIGINT) AS bytes FROM talks
+),
+crc AS (
+    SELECT c, 0 AS i, 4294967295::UBIGINT AS v, bytes FROM digits
+    UNION ALL
+    SELECT c, i + 1, list_reduce(list_concat([xor(v, bytes[i + 1])], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+        lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END), bytes
+    FROM crc WHERE i < len(bytes)
+),
+shares AS (
+    SELECT c, (xor(v, 4294967295::UBIGINT) % 4)::BIGINT AS h FROM crc WHERE i = len(bytes)
+),
+rebuilt AS (
+    SELECT t.c, list_concat(coalesce(b.keys[1:h], []), t.keys[h + 1:]) AS keys, list_concat(coalesce(b.words[1:h], []), t.words[h + 1:]) AS words
+    FROM talks t JOIN shares USING (c) LEFT JOIN talks b ON b.c = t.c - t.c % 20
+),
+nodes AS (
+    SELECT keys[1:d] AS path, d, min(c) AS c, count(*) AS n, any_value(CASE WHEN d > 0 THEN words[d] ELSE 0 END) AS w,
+           coalesce(list(c ORDER BY c) FILTER (len(keys) = d), []) AS ends
+    FROM (SELECT *, unnest(range(0, len(keys) + 1)) AS d FROM rebuilt) GROUP BY 1, 2
+),
+children AS (
+    SELECT path[1:d - 1] AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+),
+below AS (
+    SELECT path[1:k] AS path, sum((n_children IS NULL)::BIGINT) AS n_leaves, sum((n - 1) * w) AS saved
+    FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM nodes LEFT JOIN children USING (path)) GROUP BY 1
+)
+SELECT a.c AS conv_id, a.d AS depth, p.c AS parent_conv_id, a.n AS n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(array_to_string(a.ends, ',')) AS ends_sha256
+FROM nodes a JOIN below USING (path) LEFT JOIN children USING (path) LEFT JOIN nodes p ON a.d > 0 AND p.path = a.path[1:a.d - 1]
+"""
+
 EXPECTED = {
     "op4_url_trust": OP4,
     "op2_source_mix": OP2,
     "op5_jaccard_join": OP5,
     "op7_decontaminate": OP7,
+    "op11_prefix_trie": OP11,
 }
