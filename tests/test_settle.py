@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +9,7 @@ from tests.events import item, log, order, payment, stock, user
 from tests.sequential import Store
 from tidemark.operators.email_claims import refused_claims
 from tidemark.operators.merge import empty_tables
-from tidemark.operators.stock import refused_moves
+from tidemark.operators.stock import play, refused_moves
 from tidemark.plans.ingest import settle
 
 NOW = dt.datetime(2025, 11, 1)
@@ -116,6 +117,32 @@ def test_stock_in_slices(spark, rows_per_slice, lean):
     assert {r[0] for r in refused_moves(moves, balances, rows_per_slice).collect()} == lost
 
 
+def test_one_refusal_replays_one_slice(spark):
+    """A million movements of one sku in ten slices, of which one movement does not fit."""
+    moves = spark.range(1_000_000).selectExpr(
+        "id AS seq", "'hot' AS sku", f"IF(id = 654321, {2**31 - 1}L, IF(id % 2 = 0, 7L, -6L)) AS delta"
+    )
+    balances = spark.createDataFrame([("hot", 1000)], "sku string, quantity int")
+    replays = []
+    refused = refused_moves(moves, balances, rows_per_slice=100_000, on_round=replays.append)
+    assert [r["seq"] for r in refused.collect()] == [654321]
+    assert sum(replays) == 1 and len(replays) <= 2
+
+
+def test_play_against_one_by_one():
+    rng = random.Random(2)
+    for _ in range(300):
+        scale = rng.choice([1, 2**20, 2**29, 2**31])
+        deltas = [rng.randint(-3, 4) * scale for _ in range(rng.randrange(400))]
+        opening = balance = rng.choice([0, 2**31 - 1, -(2**31), 2**30])
+        accepted = []
+        for delta in deltas:
+            accepted.append(-(2**31) <= balance + delta < 2**31)
+            balance += delta if accepted[-1] else 0
+        closing, mask = play(opening, np.array(deltas, dtype=np.int64))
+        assert (closing, mask.tolist()) == (balance, accepted)
+
+
 def test_struct_sequence(spark):
     """The same rules hold when order is (timestamp, partition, offset)."""
     messages = [user("a", "x"), user("b", "x"), stock("s", 2**31 - 1), stock("s", 1), order("o", "a"), order("q", "b")]

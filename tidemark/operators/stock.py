@@ -2,16 +2,24 @@
 
 A movement is refused when the balance it would produce does not fit; later movements then start from
 the unchanged balance. For almost every sku the sum of absolute movements proves that nothing can be
-refused, and one partially aggregated pass settles it. The remaining skus are replayed in slices of
-bounded size, all slices in parallel from guessed opening balances; closing balances then correct the
-next slice's opening balance until none changes. The result equals the sequential replay because a
-state in which every slice starts where its predecessor ended is the sequential one.
+refused, and one partially aggregated pass settles it.
+
+The remaining skus are cut into slices, and each slice is summed up by three numbers: what it adds, and the
+least and the greatest sum of its first movements. They say from which opening balances nothing of the slice is
+refused. A scan over the slices of a sku carries the balance along up to the first slice whose opening lies outside
+that interval. Only from there on movements are replayed, in order: in the first round one slice of each sku, then two,
+four and so on, after which the scan goes on with the exact balance. So no movement is replayed twice, and there are
+no more rounds than the logarithm of the number of slices, whatever is refused.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import reduce
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,47 +60,106 @@ def _seq_parts(df: DataFrame) -> tuple[list[Column], list[str], Column]:
 
 
 def play(opening: int, deltas: np.ndarray) -> tuple[int, np.ndarray]:
-    """Closing balance and an accepted mask for movements applied in order."""
-    path = opening + np.cumsum(deltas)
-    outside = (path < S.INT_MIN) | (path > S.INT_MAX)
+    """Closing balance and an accepted mask for movements applied in order.
+
+    Sums of a stretch of movements show the first one that is refused; stretches grow while nothing is.
+    """
     accepted = np.ones(len(deltas), dtype=bool)
-    if not outside.any():
-        return int(path[-1]), accepted
-    first = int(outside.argmax())
-    balance = int(path[first - 1]) if first else opening
-    for i, delta in enumerate(deltas[first:].tolist(), start=first):
-        if S.INT_MIN <= balance + delta <= S.INT_MAX:
-            balance += delta
+    balance, at, stretch = int(opening), 0, 64
+    while at < len(deltas):
+        path = balance + np.cumsum(deltas[at : at + stretch])
+        outside = (path < S.INT_MIN) | (path > S.INT_MAX)
+        first = int(outside.argmax())
+        if outside[first]:
+            balance = int(path[first - 1]) if first else balance
+            accepted[at + first] = False
+            at, stretch = at + first + 1, 64
         else:
-            accepted[i] = False
+            balance, at, stretch = int(path[-1]), at + len(path), 2 * stretch
     return balance, accepted
 
 
-def _guess_openings(summary: DataFrame) -> DataFrame:
-    """Opening balance per slice if each slice moved by its sum and stopped at the limits."""
+def slice_summaries(tape: DataFrame, order: list[str]) -> DataFrame:
+    """``(sku, slice, moved, lowest, highest)``: the sum of a slice and the extremes of the sums of its first movements."""
+    upto = Window.partitionBy("sku", "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = tape.withColumn("_upto", F.sum("delta").over(upto))
+    return summed.groupBy("sku", "slice").agg(
+        F.sum("delta").alias("moved"), F.min("_upto").alias("lowest"), F.max("_upto").alias("highest")
+    )
+
+
+_STATE = "sku string, slice int, moved bigint, lowest bigint, highest bigint, first bigint, closing bigint, opening bigint, todo boolean"
 
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
+
+def _scan(slices_at_once: int):
+    """Carry the balance of a sku over its slices; the first that refuses something and some after it are to be played."""
+
+    def scan(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("slice")
-        balance, openings = int(group["opening"].iloc[0]), []
-        for moved in group["moved"].tolist():
-            openings.append(balance)
-            balance = min(max(balance + moved, S.INT_MIN), S.INT_MAX)
-        return pd.DataFrame(
-            {
-                "sku": pd.Series([group["sku"].iloc[0]] * len(group), dtype=object),
-                "slice": group["slice"].to_numpy(),
-                "first": group["opening"].to_numpy(),
-                "opening": openings,
-            }
-        )
-
-    return summary.groupBy("sku").applyInPandas(walk, "sku string, slice int, first bigint, opening bigint")
-
-
-def refused_moves(moves: DataFrame, balances: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+        balance, stop = int(group["first"].iloc[0]), len(group)
+        for at, (moved, lowest, highest, closing) in enumerate(zip(*(group[c].tolist() for c in ("moved", "lowest", "highest", "closing")), strict=True)):
+            if not pd.isna(closing):
+                balance = int(closing)
+            elif S.INT_MIN <= balance + lowest and balance + highest <= S.INT_MAX:
+                balance += moved
+            else:
+                stop = at
+                break
+        todo = np.zeros(len(group), dtype=bool)
+        todo[stop : stop + slices_at_once] = True
+        return group.assign(opening=balance, todo=todo & group["closing"].isna().to_numpy())
+
+    return scan
+
+
+def _replay(names: list[str]):
+    """Rows ``(sku, slice, opening, delta, *names)`` in order -> the refused ones, and a row for each slice's closing balance."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, balance = None, 0
+        for batch in batches:
+            sku, at = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            opening, deltas = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            codes = batch.column(0).dictionary_encode().indices.to_numpy()
+            cuts = np.flatnonzero((codes[1:] != codes[:-1]) | (at[1:] != at[:-1])) + 1
+            ends, lost = [], np.zeros(len(at), dtype=bool)
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True):
+                if a == b:
+                    continue
+                key = (sku[a], int(at[a]))
+                if key != current:
+                    if current is not None:
+                        ends.append((*current, balance))
+                    if current is None or current[0] != key[0]:
+                        balance = int(opening[a])
+                    current = key
+                balance, accepted = play(balance, deltas[a:b])
+                lost[a:b] = ~accepted
+            yield _closings(ends)
+            refused = batch.filter(pa.array(lost))
+            none = pa.nulls(len(refused), pa.int64())
+            yield pa.RecordBatch.from_arrays([refused.column(0), refused.column(1), none, *refused.columns[4:]], ["sku", "slice", "closing", *names])
+        if current is not None:
+            yield _closings([(*current, balance)])
+
+    def _closings(ends: list[tuple[str, int, int]]) -> pa.RecordBatch:
+        sku, at, closing = zip(*ends, strict=True) if ends else ((), (), ())
+        none = [pa.nulls(len(ends), pa.int64()) for _ in names]
+        return pa.RecordBatch.from_arrays([pa.array(sku, pa.string()), pa.array(at, pa.int32()), pa.array(closing, pa.int64()), *none], ["sku", "slice", "closing", *names])
+
+    return run
+
+
+def refused_moves(
+    moves: DataFrame,
+    balances: DataFrame,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    on_round: Callable[[int], None] | None = None,
+) -> DataFrame:
     """``seq`` of every movement refused by the running balance.
 
-    ``moves(seq, sku, delta)`` passed the row constraints; ``balances(sku, quantity)`` is the stored table.
+    ``moves(seq, sku, delta)`` passed the row constraints; ``balances(sku, quantity)`` is the stored table. Each round
+    tells ``on_round`` how many slices it replays.
     """
     risky = staged(risky_skus(moves, balances))
     if risky.isEmpty():
@@ -100,44 +167,25 @@ def refused_moves(moves: DataFrame, balances: DataFrame, rows_per_slice: int = R
     parts, names, back = _seq_parts(moves)
     tape = staged(moves.join(risky.select("sku"), "sku", "left_semi").select("sku", "delta", *parts))
     tape = in_slices(tape, [*names, "sku"], rows_per_slice)
-    summary = tape.groupBy("sku", "slice").agg(F.sum("delta").alias("moved")).join(risky, "sku")
-
-    def closing(keys, group: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        if start.empty or group.empty:
-            return pd.DataFrame({"sku": pd.Series([], dtype=object), "slice": [], "closing": []})
-        deltas = group.sort_values(names)["delta"].to_numpy(dtype=np.int64)
-        balance, _ = play(int(start["opening"].iloc[0]), deltas)
-        return pd.DataFrame({"sku": pd.Series([keys[0]], dtype=object), "slice": [keys[1]], "closing": [balance]})
-
-    by_slice = ["sku", "slice"]
-    state = staged(_guess_openings(summary).withColumns({"closing": F.lit(None).cast("bigint"), "todo": F.lit(True)}))
-    previous = Window.partitionBy("sku").orderBy("slice")
+    never = F.lit(None).cast("bigint")
+    state = slice_summaries(tape, names).join(risky.withColumnRenamed("opening", "first"), "sku")
+    state = state.withColumns({"closing": never, "opening": never, "todo": F.lit(False)})
+    schema = "sku string, slice int, closing bigint, " + ", ".join(f"{n} bigint" for n in names)
+    refused, slices_at_once = [], 1
     while True:
+        state = staged(state.groupBy("sku").applyInPandas(_scan(slices_at_once), _STATE))
         todo = state.filter("todo").select("sku", "slice", "opening")
-        played = (
-            tape.join(todo.select(*by_slice), by_slice, "left_semi")
-            .groupBy(*by_slice)
-            .cogroup(todo.groupBy(*by_slice))
-            .applyInPandas(closing, "sku string, slice int, closing bigint")
-        )
-        state = staged(
-            state.withColumnRenamed("closing", "_old")
-            .join(played, by_slice, "left")
-            .withColumn("closing", F.coalesce("closing", "_old"))
-            .withColumn("_next", F.coalesce(F.lag("closing").over(previous), F.col("first")))
-            .withColumn("todo", F.col("_next") != F.col("opening"))
-            .select("sku", "slice", "first", F.col("_next").alias("opening"), "closing", "todo")
-        )
-        if state.filter("todo").isEmpty():
+        count = todo.count()
+        if not count:
             break
-
-    def refused(keys, group: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        if start.empty or group.empty:
-            return group[names].iloc[:0]
-        group = group.sort_values(names)
-        _, accepted = play(int(start["opening"].iloc[0]), group["delta"].to_numpy(dtype=np.int64))
-        return group.loc[~accepted, names]
-
-    parts_schema = ", ".join(f"{n} bigint" for n in names)
-    lost = tape.groupBy(*by_slice).cogroup(state.groupBy(*by_slice)).applyInPandas(refused, parts_schema)
-    return lost.select(back)
+        if on_round:
+            on_round(count)
+        rows = tape.join(todo, ["sku", "slice"]).select("sku", "slice", "opening", "delta", *names)
+        played = staged(rows.repartition("sku").sortWithinPartitions("sku", "slice", *names).mapInArrow(_replay(names), schema))
+        refused.append(played.filter("closing IS NULL"))
+        ends = played.filter("closing IS NOT NULL").selectExpr("sku", "slice", "closing AS _closing")
+        state = state.join(ends, ["sku", "slice"], "left").withColumn("closing", F.coalesce("closing", "_closing")).drop("_closing")
+        slices_at_once *= 2
+    if not refused:
+        return moves.select("seq").limit(0)
+    return reduce(DataFrame.unionByName, refused).select(back)
