@@ -75,14 +75,8 @@ def test_random_logs_match_sequential_replay(spark, seed):
     assert inventory == store.inventory
 
 
-@pytest.mark.parametrize("rows_per_slice", [7, 1_000_000])
-def test_email_claims_in_slices(spark, rows_per_slice):
-    rng = random.Random(5)
-    rows = [(i, f"u{rng.randint(0, 20)}", rng.choice(["hot", "hot", "a", "b", f"own{rng.randint(0, 20)}"]))
-            for i in range(90)]
-    held = [("u1", "a"), ("z", "b"), ("y", "unrelated")]
-    holder, mail_of = {e: u for u, e in held}, dict(held)
-    lost = set()
+def refused_one_by_one(rows, held):
+    holder, mail_of, lost = {e: u for u, e in held}, dict(held), set()
     for seq, uid, email in rows:
         if holder.get(email, uid) != uid:
             lost.add(seq)
@@ -90,9 +84,51 @@ def test_email_claims_in_slices(spark, rows_per_slice):
         if mail_of.get(uid) not in (None, email):
             del holder[mail_of[uid]]
         holder[email], mail_of[uid] = uid, email
+    return lost
+
+
+def refused_in_rounds(spark, rows, held, rows_per_slice=1_000_000):
     claims = spark.createDataFrame(rows, "seq bigint, user_id string, email string")
     holders = spark.createDataFrame(held, "user_id string, email string")
-    assert {r[0] for r in refused_claims(claims, holders, rows_per_slice).collect()} == lost
+    rounds = []
+    found = [r[0] for r in refused_claims(claims, holders, rows_per_slice, on_round=rounds.append).collect()]
+    assert len(found) == len(set(found))
+    return set(found), rounds
+
+
+@pytest.mark.parametrize("rows_per_slice", [7, 1_000_000])
+def test_email_claims_in_slices(spark, rows_per_slice):
+    rng = random.Random(5)
+    rows = [(i, f"u{rng.randint(0, 20)}", rng.choice(["hot", "hot", "a", "b", f"own{rng.randint(0, 20)}"]))
+            for i in range(90)]
+    held = [("u1", "a"), ("z", "b"), ("y", "unrelated")]
+    assert refused_in_rounds(spark, rows, held, rows_per_slice)[0] == refused_one_by_one(rows, held)
+
+
+@pytest.mark.parametrize("users, addresses", [(3, 3), (8, 12)])
+def test_email_claims_at_random(spark, users, addresses):
+    rng = random.Random(users)
+    rows = [(i, f"u{rng.randrange(users)}", f"a{rng.randrange(addresses)}") for i in range(70)]
+    held = [("u0", "a0"), ("other", "a1")]
+    assert refused_in_rounds(spark, rows, held)[0] == refused_one_by_one(rows, held)
+
+
+def chains(links):
+    """Users who hand their addresses on to each other, and one address that goes from user to user."""
+    own = [(f"c{i}", f"own{i}") for i in range(links)]
+    handed = [(f"c{i}", f"own{i + 1}") for i in reversed(range(links - 1))]
+    blocked = [(f"d{i}", f"down{i}") for i in range(links)] + [(f"d{i}", f"down{i + 1}") for i in reversed(range(links))]
+    passed = [claim for i in range(links) for claim in ((f"e{i}", "one"), (f"e{i}", f"left{i}"))]
+    passed += [(f"f{i}", "one") for i in range(3)]
+    steps = [*own, ("c%d" % (links - 1), "fresh"), *handed, *blocked, *passed]
+    return [(i, *step) for i, step in enumerate(steps)], [("other", f"down{links}")]
+
+
+def test_long_chains_end_in_few_rounds(spark):
+    rows, held = chains(1000)
+    found, rounds = refused_in_rounds(spark, rows, held)
+    assert found == refused_one_by_one(rows, held) and len(found) == 1002
+    assert len(rounds) <= 4
 
 
 @pytest.mark.parametrize("rows_per_slice", [9, 1_000_000])

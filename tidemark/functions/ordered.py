@@ -72,6 +72,46 @@ def last_before(
     )
 
 
+def scan(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    slice_col: str,
+    before: dict[str, Column] | None = None,
+    after: dict[str, Column] | None = None,
+    greatest_before: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Several ordered scans over the same key at once; each adds the column it is named by.
+
+    ``before`` and ``after``: the nearest non-null value strictly before or after each row; ``greatest_before``: the greatest
+    non-null value strictly before it.
+    """
+    sides = {"up": (before or {}), "down": (after or {}), "most": (greatest_before or {})}
+    df = df.withColumns({f"_{side}_{out}": value for side, values in sides.items() for out, value in values.items()})
+
+    def within(descending: bool):
+        return Window.partitionBy(*keys, slice_col).orderBy(*_ordering(order, descending)).rowsBetween(Window.unboundedPreceding, -1)
+
+    def across(descending: bool):
+        return Window.partitionBy(*keys).orderBy(*_ordering([slice_col], descending)).rowsBetween(Window.unboundedPreceding, -1)
+
+    ends, carried, near, found = [], {}, {}, {}
+    for side, values in sides.items():
+        for out in values:
+            name = f"_{side}_{out}"
+            place = F.when(F.col(name).isNotNull(), F.struct(*order))
+            end = {"up": F.max_by(name, place), "down": F.min_by(name, place), "most": F.max(name)}[side]
+            ends.append(end.alias(f"{name}_end"))
+            fold = F.max if side == "most" else (lambda c: F.last(c, ignorenulls=True))
+            carried[f"{name}_carried"] = fold(F.col(f"{name}_end")).over(across(side == "down"))
+            near[f"{name}_near"] = fold(F.col(name)).over(within(side == "down"))
+            pick = F.greatest if side == "most" else F.coalesce
+            found[out] = pick(F.col(f"{name}_near"), F.col(f"{name}_carried"))
+    summary = df.groupBy(*keys, slice_col).agg(*ends).withColumns(carried).select(*keys, slice_col, *carried)
+    kept = [c for c in df.columns if not any(c.startswith(f"_{side}_") for side in sides)]
+    return df.withColumns(near).join(summary, [*keys, slice_col]).select(*kept, *(v.alias(k) for k, v in found.items()))
+
+
 def running_total(
     df: DataFrame, keys: list[str], order: list[str], amount: Column, out: str, slice_col: str, total: str | None = None
 ) -> DataFrame:
