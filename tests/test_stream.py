@@ -143,6 +143,29 @@ def test_a_new_stream_meets_live_tables(spark, topic, tmp_path):
     assert tables.read("users").count() == tables.read("users").select("user_id").distinct().count() == len(after["users"])
 
 
+def test_positions_read_only_the_slices_they_meet(spark, tmp_path):
+    """Three batches of seven refused messages, in slices of three: a range lists the files of its own slices."""
+    tables = EntityTables(spark, str(tmp_path / "t"), buckets=2)
+    for version in range(3):
+        rows = [(version, i % 2, 10 * version + i, f"e{version}{i}", "x", "boom", "parse", NOW, 0) for i in range(7)]
+        tables.append_dead_letters(spark.createDataFrame(rows[::-1], S.DEAD_LETTERS), version, rows_per_slice=3)
+        tables.commit(version, "s", version, {})
+    tables.append_dead_letters(spark.createDataFrame([(3, 0, 99, "lost", "x", "boom", "parse", NOW, 0)], S.DEAD_LETTERS), 3)  # never committed
+    listed = tables.dead_letter_list()
+    along = [f"e{v}{i}" for v in range(3) for p in (0, 1) for i in range(7) if i % 2 == p]
+    assert listed.count() == 21
+    for start, stop in [(0, -1), (-1, -1), (5, 12), (20, 99), (-3, 19), (21, 30), (4, 2)]:
+        found = listed.range(start, stop)
+        lo, hi = (p + 21 if p < 0 else p for p in (start, stop))
+        assert [r["event_id"] for r in found.orderBy("position").collect()] == along[lo : hi + 1]
+        places = listed.places(lo, hi)
+        folders = {tuple(f.split("/")[-3:-1]) for f in found.inputFiles()}
+        assert folders == {(f"batch_id={b}", f"slice={s}") for b, s, _ in places}
+    assert len(listed.places(20, 20)) == 1 and len(listed.places(0, 20)) == 9
+    assert [r["event_id"] for r in listed.at(-1).collect()] == [along[-1]]
+    assert [r["event_id"] for r in listed.since(19).orderBy("position").collect()] == along[19:]
+
+
 def test_buckets_are_fixed(spark, tmp_path):
     apply_batch(EntityTables(spark, str(tmp_path / "t"), buckets=3), spark.createDataFrame(topic_rows([user("u")]), S.TOPIC), 0, NOW)
     with pytest.raises(ValueError, match="3 buckets"):

@@ -109,18 +109,21 @@ doc AS (
         '{{"eventId":"' || CASE WHEN version = 2 THEN 'Q-' ELSE 'P-' END || o_orderkey
             || '","eventType":"PaymentSettled","timestamp":"2024-01-01T00:00:00.000000Z","paymentId":"'
             || CASE WHEN version = 2 THEN 'Q' ELSE 'P' END || o_orderkey || '"'
-    FROM pm),
-docpos AS (SELECT *, row_number() OVER (ORDER BY part, off) - 1 AS position, count(*) OVER () AS n
-    FROM doc WHERE error IS NOT NULL)"""
+    FROM pm)"""
 _STOCK_ERROR = "failed to upsert inventory: Arithmetic overflow error in column quantity"
 _ALL = f"""{_DOCUMENTS},
 every AS (
-    SELECT part, event_id, event_type, error, error_class FROM doc
+    SELECT part, off, event_id, event_type, error, error_class, head FROM doc
     UNION ALL
-    SELECT 3, 'I-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey, 'InventoryAdjusted',
+    SELECT 3, 4000000000000000 + ('0x' || left(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT),
+            CAST(round(l_extendedprice * 100) AS BIGINT), CAST(l_shipdate AS DATE) - DATE '1970-01-01')), 15))::BIGINT, 'I-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey, 'InventoryAdjusted',
         CASE WHEN {STOCK_FAULT} = 'too_big' THEN '{_STOCK_ERROR}' END,
-        CASE WHEN {STOCK_FAULT} = 'too_big' THEN 'numeric' END
-    FROM lineitem)"""
+        CASE WHEN {STOCK_FAULT} = 'too_big' THEN 'numeric' END,
+        '{{"eventId":"I-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
+            || '","eventType":"InventoryAdjusted","timestamp":"2024-01-01T00:00:00.000000Z","sku":"' || l_partkey || '"'
+    FROM lineitem),
+placed AS (SELECT *, row_number() OVER (ORDER BY part, off) - 1 AS position, count(*) OVER () AS n
+    FROM every WHERE error IS NOT NULL)"""
 
 _UPSERTED_USERS = f"""WITH {_DOCUMENTS} SELECT CAST(c_custkey AS VARCHAR) AS user_id,
     'c' || CASE WHEN fault = 'clash' THEN c_custkey - 1 ELSE c_custkey END || '@example.com' AS email,
@@ -253,12 +256,12 @@ EXPECTED = {
     "dlq_by_cause": f"""WITH {_ALL} SELECT error_class, count(*) AS entries FROM every
         WHERE error IS NOT NULL GROUP BY 1""",
     "dlq_count": f"WITH {_ALL} SELECT count(*) AS dlq_entries FROM every WHERE error IS NOT NULL",
-    "dlq_range": f"""WITH {_DOCUMENTS} SELECT position, off AS "offset", event_id, error_class FROM docpos
+    "dlq_range": f"""WITH {_ALL} SELECT position, part AS partition, off AS "offset", event_id, error_class FROM placed
         WHERE position BETWEEN 10 AND n - 11""",
-    "dlq_latest": f"""WITH {_DOCUMENTS} SELECT position, off AS "offset", event_id, error FROM docpos
+    "dlq_latest": f"""WITH {_ALL} SELECT position, part AS partition, off AS "offset", event_id, error FROM placed
         WHERE position = n - 1""",
-    "dlq_new_since": f"""WITH {_DOCUMENTS} SELECT off AS "offset", event_id, error, '2025-01-01T00:00:00Z' AS at,
-        left(head, 100) || '...' AS original_preview FROM docpos WHERE position >= 50""",
+    "dlq_new_since": f"""WITH {_ALL} SELECT part AS partition, off AS "offset", event_id, error, '2025-01-01T00:00:00Z' AS at,
+        left(head, 100) || '...' AS original_preview FROM placed WHERE position >= 50""",
     "events_processed_total": f"""WITH {_ALL} SELECT event_type, CASE WHEN error IS NULL THEN 'success' ELSE 'error' END
         AS status, count(*) AS events FROM every WHERE coalesce(error_class, '') <> 'parse' GROUP BY 1, 2""",
     "outcome_summary": f"""WITH {_ALL}, seen AS (SELECT * FROM every WHERE coalesce(error_class, '') <> 'parse'),
@@ -380,6 +383,6 @@ EXPECTED = {
             CASE WHEN kind = 0 THEN '' WHEN kind IN (5, 6) THEN CAST(seq AS VARCHAR) WHEN kind = 8 THEN 'u' || seq END AS user_id,
             CASE WHEN kind IN (0, 5, 6, 8) THEN '' END AS email, CASE WHEN kind IN (0, 5, 6, 8) THEN '0001-01-01 00:00:00' END AS created
         FROM m""",
-    "dlq_read_entries": f"""WITH {_DOCUMENTS} SELECT off AS "offset", event_id, error, 0 AS retry_count FROM doc
+    "dlq_read_entries": f"""WITH {_ALL} SELECT part AS partition, off AS "offset", event_id, error, 0 AS retry_count FROM every
         WHERE error IS NOT NULL AND off % 5 <> 0""",
 }

@@ -73,7 +73,7 @@ def apply_batch(
                 tables.write_version(name, merged[name], version)
         done("merge")
 
-        tables.append("dead_letters", to_dead_letters(outcome.rejected(), version, now), version)
+        tables.append_dead_letters(staged(to_dead_letters(outcome.rejected(), version, now), f"{work}/rejected"), version)
         if dedupe_event_id:
             tables.append(_STOCK_IDS, outcome.stock.accepted.filter("event_id <> ''").select("event_id").distinct(), version)
         tick = F.date_trunc("second", F.col("seq.timestamp")).alias("tick")

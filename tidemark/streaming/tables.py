@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
+from tidemark.functions.ordered import ROWS_PER_SLICE
+from tidemark.operators.dead_letters import EntryList, write_slices
 
 #: ``bucket``: current version of a bucket of table ``name``; ``buckets``: their count; ``source``: last batch of source
 #: ``name``; ``stage``: microseconds that stage ``name`` of the committed batch took.
@@ -142,6 +144,16 @@ class EntityTables:
             return self.spark.createDataFrame([], schema)
         return rows.filter(F.col("batch_id") <= self.version)
 
+    def append_dead_letters(self, rows: DataFrame, version: int, rows_per_slice: int = ROWS_PER_SLICE) -> None:
+        """The dead letters of a batch, in slices whose sizes are noted beside them."""
+        slices = write_slices(rows, f"{self.root}/dead_letters/batch_id={version}", ["slice"], rows_per_slice)
+        self.append("dead_letter_slices", slices.coalesce(1), version)
+
+    def dead_letter_list(self) -> EntryList:
+        """The list of committed dead letters, read by position."""
+        slices = self.read_appended("dead_letter_slices", "slice INT, entries BIGINT, batch_id BIGINT")
+        return EntryList(f"{self.root}/dead_letters", slices)
+
     def dead_letters(self) -> DataFrame:
         return self.read_appended("dead_letters", S.DEAD_LETTERS).select(*S.DEAD_LETTERS.names)
 
