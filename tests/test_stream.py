@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,10 +8,15 @@ from pyspark.sql import functions as F
 from tests.events import item, order, payment, stock, user
 from tidemark import schemas as S
 from tidemark.operators import dead_letters as D
+from tidemark.operators.merge import empty_tables
 from tidemark.operators.metrics import current_rate
+from tidemark.operators.parse import parse_events, with_lane
+from tidemark.plans import serving as Q
+from tidemark.plans.ingest import settle_stock
 from tidemark.sources.topic import replay_topic_files, stream_topic_files, with_seq
-from tidemark.streaming.ingest_job import apply_batch, replay, start_ingest
-from tidemark.streaming.tables import EntityTables
+from tidemark.streaming.ingest_job import _parents, apply_batch, replay, start_ingest
+from tidemark.streaming.lookups import order_with_payment, user_with_orders
+from tidemark.streaming.tables import INDEXES, EntityTables
 
 START = dt.datetime(2025, 10, 20, 10)
 NOW = dt.datetime(2025, 11, 1)
@@ -166,6 +172,67 @@ def test_positions_read_only_the_slices_they_meet(spark, tmp_path):
     assert [r["event_id"] for r in listed.since(19).orderBy("position").collect()] == along[19:]
 
 
+def buckets_read(df, name):
+    return {f.split("/")[-2] for f in df.inputFiles() if f"/{name}/" in f}
+
+
+def test_lookups_read_the_buckets_of_their_ids(spark, tmp_path):
+    tables = EntityTables(spark, str(tmp_path / "t"), buckets=16)
+    messages = [user(f"u{i}") for i in range(60)] + [order(f"o{i}", f"u{i % 7}", [item("A")]) for i in range(60)] + [payment(f"p{i}", f"o{i}") for i in range(0, 60, 2)]
+    apply_batch(tables, spark.createDataFrame(topic_rows(messages), S.TOPIC), 0, NOW)
+    # Orders and payments change hands, and a user takes a new address.
+    later = [order("o1", "u9", [item("B")]), payment("p0", "o5"), user("u3", "new@x"), user("u4", "u3@example.com")]
+    apply_batch(tables, spark.createDataFrame(topic_rows(later, 200), S.TOPIC), 0, NOW)
+    found = user_with_orders(tables, ["u1", "nobody"])
+    whole = Q.user_with_orders(tables.read("users"), tables.read("orders"))
+    assert found.collect() == whole.filter("user_id = 'u1'").collect()
+    assert user_with_orders(tables, spark.createDataFrame([("u9",)], "user_id string")).collect() == whole.filter("user_id = 'u9'").collect()
+    assert len(buckets_read(found, "users")) <= 2 and len(buckets_read(found, "orders")) <= 8
+    one = order_with_payment(tables, ["o5"])
+    assert one.collect() == Q.order_with_payment(tables.read("orders"), tables.read("payments")).filter("order_id = 'o5'").collect()
+    assert one.first()["payment"]["payment_id"] == "p0" and order_with_payment(tables, ["o0"]).first()["payment"] is None
+    assert len(buckets_read(one, "orders")) == 1 and len(buckets_read(one, "payments")) == 1
+    for index, (table, value) in INDEXES.items():
+        pairs = tables.read(table).select(value, S.TABLE_KEYS[table]).collect()
+        assert sorted(map(tuple, tables.read(index).collect())) == sorted(map(tuple, pairs))
+
+
+def test_a_small_batch_reads_few_parents(spark, tmp_path):
+    tables = EntityTables(spark, str(tmp_path / "t"), buckets=32)
+    messages = [user(f"u{i}") for i in range(200)] + [order(f"o{i}", f"u{i}") for i in range(200)]
+    apply_batch(tables, spark.createDataFrame(topic_rows(messages), S.TOPIC), 0, NOW)
+    small = [order("a", "u5"), order("b", "u6"), payment("c", "o7"), payment("d", "o8")]
+    parsed = with_lane(parse_events(with_seq(spark.createDataFrame(topic_rows(small, 900), S.TOPIC))))
+    parents = _parents(tables, parsed)
+    assert 0 < len(buckets_read(parents["users"], "users")) <= 2 and 0 < len(buckets_read(parents["orders"], "orders")) <= 2
+    apply_batch(tables, spark.createDataFrame(topic_rows([*small, order("e", "ghost")], 900), S.TOPIC), 0, NOW)
+    assert tables.read("orders").count() == 202 and tables.read("payments").count() == 2
+    assert [r["error_class"] for r in tables.dead_letters().collect()] == ["foreign_key"]
+
+
+def test_refused_redeliveries_are_settled_in_one_replay(spark):
+    """A thousand redeliveries of refused movements; every tenth message makes room again."""
+    rng = random.Random(4)
+    top, moves = 2**31 - 1, [(0, "q", 2**31 - 40, "fill")]
+    for i in range(1, 2500):
+        moves.append((i, "q", -rng.randint(1, 30), f"down{i}") if i % 10 == 0 else (i, "q", rng.randint(20, 90), f"up{rng.randrange(900)}"))
+    balance, moved, accepted, refused = 0, set(), set(), set()
+    for seq, _, delta, event_id in moves:
+        if event_id not in moved:
+            if -top - 1 <= balance + delta <= top:
+                balance += delta
+                moved.add(event_id)
+                accepted.add(seq)
+            else:
+                refused.add(seq)
+    assert len(refused) > 1000
+    stock_rows = spark.createDataFrame([(s, k, abs(d), "subtract" if d < 0 else "add", e) for s, k, d, e in moves], "seq bigint, sku string, quantity bigint, adjustment_type string, event_id string")
+    found = settle_stock(stock_rows, empty_tables(spark)["inventory"], dedupe_event_id=True)
+    assert {r["seq"] for r in found.accepted.collect()} == accepted
+    assert found.rejected.count() == len(refused)
+    assert found.suppressed.count() == len(moves) - len(accepted) - len(refused)
+
+
 def test_buckets_are_fixed(spark, tmp_path):
     apply_batch(EntityTables(spark, str(tmp_path / "t"), buckets=3), spark.createDataFrame(topic_rows([user("u")]), S.TOPIC), 0, NOW)
     with pytest.raises(ValueError, match="3 buckets"):

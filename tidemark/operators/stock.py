@@ -189,3 +189,48 @@ def refused_moves(
     if not refused:
         return moves.select("seq").limit(0)
     return reduce(DataFrame.unionByName, refused).select(back)
+
+
+def _deliver(names: list[str]):
+    """Rows ``(sku, opening, delta, event_id, *names)`` in order -> those that are tried, and whether they are accepted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, balance, moved = None, 0, set()
+        for batch in batches:
+            tried, accepted = [], []
+            for i, (sku, opening, delta, event_id) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True)):
+                if sku != current:
+                    current, balance, moved = sku, opening, set()
+                if event_id in moved:
+                    continue
+                fits = S.INT_MIN <= balance + delta <= S.INT_MAX
+                if fits:
+                    balance += delta
+                    if event_id is not None:
+                        moved.add(event_id)
+                tried.append(i)
+                accepted.append(fits)
+            rows = batch.take(pa.array(tried, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns[4:], pa.array(accepted, pa.bool_())], [*names, "accepted"])
+
+    return run
+
+
+def replayed_deliveries(deliveries: DataFrame, balances: DataFrame) -> DataFrame:
+    """``(seq, accepted)`` of the deliveries that are tried when each event id moves its sku once.
+
+    ``deliveries(seq, sku, delta, event_id)`` are played in order, a sku after the other in a stream; a delivery after the
+    accepted one of its id is left out, one after a refused one is tried. Only ids that are delivered repeatedly are remembered.
+    """
+    parts, names, back = _seq_parts(deliveries)
+    times = deliveries.filter("event_id <> ''").groupBy("sku", "event_id").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1")
+    opening = F.coalesce("quantity", F.lit(0)).cast("bigint").alias("opening")
+    rows = (
+        deliveries.select("sku", "delta", "event_id", *parts)
+        .join(times, ["sku", "event_id"], "left")
+        .join(balances.select("sku", "quantity"), "sku", "left")
+        .select("sku", opening, "delta", F.when(F.col("_times") > 1, F.col("event_id")).alias("event_id"), *names)
+    )
+    schema = ", ".join(f"{n} bigint" for n in names) + ", accepted boolean"
+    ordered = rows.repartition("sku").sortWithinPartitions("sku", *names)
+    return ordered.mapInArrow(_deliver(names), schema).select(back, "accepted")

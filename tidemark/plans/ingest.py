@@ -13,7 +13,7 @@ from tidemark.operators import constraints as C
 from tidemark.operators import merge as M
 from tidemark.operators.email_claims import refused_claims
 from tidemark.operators.parse import MESSAGE_COLUMNS, parse_events, route, unroutable, with_lane
-from tidemark.operators.stock import refused_moves
+from tidemark.operators.stock import refused_moves, replayed_deliveries
 from tidemark.session import staged
 
 # The beginnings of the errors.
@@ -123,19 +123,17 @@ def settle_stock(
     sound = staged(_sound(checked))
     known = sound if seen is None else sound.join(seen.select("event_id").filter("event_id <> ''").distinct(), "event_id", "left_anti")
     known = staged(known)
-    lost = staged(known.select("seq").limit(0))
-    while True:
-        tried = M.first_deliveries(known.join(lost, "seq", "left_anti"))
-        refused = staged(refused_moves(tried.select("seq", "sku", "delta"), balances))
-        # A refused delivery makes room for the next one of its id. The earliest such delivery of a sku is settled;
-        # what comes after it may change by the one that takes its turn.
-        failed = tried.join(refused, "seq", "left_semi").filter("event_id <> ''").select("event_id", "sku", F.col("seq").alias("_failed"))
-        again = known.join(failed, ["event_id", "sku"]).filter("seq > _failed")
-        turns = staged(again.groupBy("sku").agg(F.min("_failed").alias("seq")).select("seq"))
-        if turns.isEmpty():
-            break
-        lost = staged(lost.union(turns))
-    verdicts = _split(_with_refusals(checked, refused.union(lost), _BALANCE, "numeric"), path)
+    tried = M.first_deliveries(known)
+    refused = staged(refused_moves(tried.select("seq", "sku", "delta"), balances))
+    # A refused delivery makes room for the next one of its id; what follows it on its sku is settled in one ordered replay.
+    failed = tried.join(refused, "seq", "left_semi").filter("event_id <> ''").select("event_id", "sku", F.col("seq").alias("_failed"))
+    again = staged(known.join(failed, ["event_id", "sku"]).filter("seq > _failed").select("sku").distinct())
+    if not again.isEmpty():
+        replayed = staged(replayed_deliveries(known.join(again, "sku", "left_semi"), balances))
+        others = tried.join(again, "sku", "left_anti")
+        refused = others.join(refused, "seq", "left_semi").select("seq").union(replayed.filter("NOT accepted").select("seq"))
+        tried = others.unionByName(known.join(replayed, "seq", "left_semi"))
+    verdicts = _split(_with_refusals(checked, refused, _BALANCE, "numeric"), path)
     accepted = staged(tried.join(refused, "seq", "left_anti"))
     suppressed = verdicts.accepted.join(accepted.select("seq"), "seq", "left_anti")
     return Verdicts(accepted, verdicts.rejected, suppressed)
@@ -201,10 +199,15 @@ def settle_parsed(
     dedupe_event_id: bool = False,
     work: str | None = None,
     seen: DataFrame | None = None,
+    holders: DataFrame | None = None,
 ) -> Settlement:
-    """Decide parsed messages; ``work`` is a folder whose previous intermediate tables are replaced."""
+    """Decide parsed messages; ``work`` is a folder whose previous intermediate tables are replaced.
+
+    ``stored`` must hold the users, orders and skus that the messages refer to; ``holders`` the stored users of claimed
+    addresses, if ``stored`` does not.
+    """
     paths = {name: f"{work}/{name}" if work else None for name in ("users", "orders", "payments", "stock")}
-    users = settle_users(route(parsed, S.USER_CREATED), stored["users"], paths["users"])
+    users = settle_users(route(parsed, S.USER_CREATED), stored["users"] if holders is None else holders, paths["users"])
     orders = settle_orders(route(parsed, S.ORDER_PLACED), users.accepted, stored["users"], paths["orders"])
     payments = settle_payments(route(parsed, S.PAYMENT_SETTLED), orders.accepted, stored["orders"], paths["payments"])
     stock = settle_stock(route(parsed, S.INVENTORY_ADJUSTED), stored["inventory"], dedupe_event_id, seen, paths["stock"])

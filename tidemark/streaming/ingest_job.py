@@ -13,14 +13,27 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas as S
 from tidemark.operators.dead_letters import to_dead_letters
-from tidemark.operators.parse import parse_events, with_lane
+from tidemark.operators.parse import parse_events, route, with_lane
 from tidemark.plans.ingest import settle_parsed
 from tidemark.session import scratch_folder, staged
 from tidemark.sources.topic import with_seq
-from tidemark.streaming.tables import EntityTables
+from tidemark.streaming.tables import INDEXES, STOCK_IDS, EntityTables
 
-#: Side table of the event ids of each batch's accepted stock movements, kept only when duplicates are to be suppressed.
-_STOCK_IDS = "stock_event_ids"
+
+def _parents(tables: EntityTables, parsed: DataFrame) -> dict[str, DataFrame]:
+    """Stored rows that the messages refer to, from the buckets of what they name."""
+    named = {"users": S.ORDER_PLACED, "orders": S.PAYMENT_SETTLED, "inventory": S.INVENTORY_ADJUSTED}
+    return {name: tables.read(name, tables.touched(route(parsed, kind), name)) for name, kind in named.items()}
+
+
+def _known(tables: EntityTables, parsed: DataFrame, dedupe_event_id: bool) -> tuple[DataFrame | None, DataFrame]:
+    """Event ids of the stock messages that were accepted before, and the holders of the addresses that are claimed."""
+    seen = None
+    if dedupe_event_id:
+        ids = route(parsed, S.INVENTORY_ADJUSTED).select("event_id")
+        seen = tables.read(STOCK_IDS, tables.touched(ids, STOCK_IDS))
+    claimed = route(parsed, S.USER_CREATED).select("email")
+    return seen, tables.read("user_emails", tables.touched(claimed, "user_emails"))
 
 
 def apply_batch(
@@ -52,8 +65,7 @@ def apply_batch(
     with scratch_folder(f"{work}/scratch"):
         parsed = staged(with_lane(parse_events(with_seq(log))), f"{work}/parsed")
         done("parse")
-        seen = tables.read_appended(_STOCK_IDS, "event_id STRING, batch_id BIGINT") if dedupe_event_id else None
-        outcome = settle_parsed(parsed, tables.read_all(), dedupe_event_id, work, seen)
+        outcome = settle_parsed(parsed, _parents(tables, parsed), dedupe_event_id, work, *_known(tables, parsed, dedupe_event_id))
         done("settle")
 
         accepted = {
@@ -71,11 +83,20 @@ def apply_batch(
         for name, buckets in touched.items():
             if buckets:
                 tables.write_version(name, merged[name], version)
+        for index, (name, value) in INDEXES.items():
+            key = S.TABLE_KEYS[name]
+            fresh = accepted[name].groupBy(key).agg(F.max_by(value, "seq").alias(value))
+            rows, touched[index] = tables.reindexed(index, fresh, stored[name])
+            if rows is not None:
+                tables.write_version(index, rows, version)
+        if dedupe_event_id:
+            ids = staged(outcome.stock.accepted.filter("event_id <> ''").select("event_id").distinct())
+            touched[STOCK_IDS] = tables.touched(ids, STOCK_IDS)
+            if touched[STOCK_IDS]:
+                tables.write_version(STOCK_IDS, tables.read(STOCK_IDS, touched[STOCK_IDS]).union(ids).distinct(), version)
         done("merge")
 
         tables.append_dead_letters(staged(to_dead_letters(outcome.rejected(), version, now), f"{work}/rejected"), version)
-        if dedupe_event_id:
-            tables.append(_STOCK_IDS, outcome.stock.accepted.filter("event_id <> ''").select("event_id").distinct(), version)
         tick = F.date_trunc("second", F.col("seq.timestamp")).alias("tick")
         counted = outcome.outcomes().groupBy(tick, "event_type", "status").agg(F.count(F.lit(1)).alias("events"))
         tables.append("outcomes", counted, version)

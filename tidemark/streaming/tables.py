@@ -14,10 +14,25 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas as S
 from tidemark.functions.ordered import ROWS_PER_SLICE
 from tidemark.operators.dead_letters import EntryList, write_slices
+from tidemark.session import staged
+
+#: Side tables that say which rows hold a value: the table, the column with the value, the table's key. They are bucketed by
+#: the value, so a batch or a lookup reads the buckets of its own values only.
+INDEXES = {"user_emails": ("users", "email"), "user_orders": ("orders", "user_id"), "order_payments": ("payments", "order_id")}
+#: Event ids of accepted stock movements, kept only when duplicates are to be suppressed.
+STOCK_IDS = "stock_event_ids"
+
+_SCHEMAS = {
+    **S.TABLES,
+    **{name: T.StructType([S.TABLES[t][value], S.TABLES[t][S.TABLE_KEYS[t]]]) for name, (t, value) in INDEXES.items()},
+    STOCK_IDS: T.StructType().add("event_id", "string"),
+}
+_KEYS = {**S.TABLE_KEYS, **{name: value for name, (_, value) in INDEXES.items()}, STOCK_IDS: "event_id"}
 
 #: ``bucket``: current version of a bucket of table ``name``; ``buckets``: their count; ``source``: last batch of source
 #: ``name``; ``stage``: microseconds that stage ``name`` of the committed batch took.
@@ -66,9 +81,35 @@ class EntityTables:
     def bucket_of(self, key: str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
+    def find(self, table: str, keys: DataFrame) -> DataFrame:
+        """Rows of a table, or of an index, with one of the keys; only the keys' buckets are listed and read."""
+        key = _KEYS[table]
+        keys = keys.select(key).distinct()
+        return self.read(table, self.touched(keys, table)).join(keys, key, "left_semi")
+
+    def find_by(self, index: str, values: DataFrame) -> DataFrame:
+        """Rows of the table that an index belongs to with one of the values."""
+        return self.find(INDEXES[index][0], self.find(index, values))
+
+    def reindexed(self, index: str, fresh: DataFrame, stored: DataFrame) -> tuple[DataFrame | None, list[int]]:
+        """New contents of the buckets of an index that change with a batch, and their numbers.
+
+        ``fresh`` has the values that the batch leaves, one row per key; ``stored`` the rows of those keys before it.
+        """
+        table, value = INDEXES[index]
+        key = S.TABLE_KEYS[table]
+        before = stored.select(key, F.col(value).alias("_before"))
+        changed = staged(fresh.select(key, value).join(before, key, "left").filter(f"_before IS NULL OR _before <> {value}"))
+        gone = changed.filter("_before IS NOT NULL").select(F.col("_before").alias(value), key)
+        buckets = self.touched(changed.select(value).union(gone.select(value)), index)
+        if not buckets:
+            return None, []
+        kept = self.read(index, buckets).join(gone, [value, key], "left_anti")
+        return kept.unionByName(changed.select(value, key)), buckets
+
     def touched(self, keys: DataFrame, table: str) -> list[int]:
         """Buckets of ``table`` that a set of keys falls into; at most ``buckets`` numbers."""
-        bucket = self.bucket_of(S.TABLE_KEYS[table]).alias("bucket")
+        bucket = self.bucket_of(_KEYS[table]).alias("bucket")
         return [r["bucket"] for r in keys.select(bucket).distinct().collect()]
 
     def read(self, table: str, buckets: Iterable[int] | None = None) -> DataFrame:
@@ -80,8 +121,8 @@ class EntityTables:
             if name == table and (wanted is None or bucket in wanted)
         ]
         if not paths:
-            return self.spark.createDataFrame([], S.TABLES[table])
-        return self.spark.read.schema(S.TABLES[table]).parquet(*paths)
+            return self.spark.createDataFrame([], _SCHEMAS[table])
+        return self.spark.read.schema(_SCHEMAS[table]).parquet(*paths)
 
     def read_all(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in S.TABLES}
@@ -89,8 +130,8 @@ class EntityTables:
     def write_version(self, table: str, rows: DataFrame, version: int) -> None:
         """Write new contents of the touched buckets; readers do not see them before the commit."""
         (
-            rows.select(*S.TABLES[table].names)
-            .withColumn("bucket", self.bucket_of(S.TABLE_KEYS[table]))
+            rows.select(*_SCHEMAS[table].names)
+            .withColumn("bucket", self.bucket_of(_KEYS[table]))
             .hint("rebalance", "bucket")
             .write.mode("overwrite")
             .partitionBy("bucket")
