@@ -1,5 +1,7 @@
 import re
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
@@ -55,3 +57,25 @@ def test_repeated_words(rows):
             windows = [tuple(row[k : k + 3]) for k in range(len(row) - 2)]
             expected = {k + j for k, w in enumerate(windows) if windows.count(w) > 1 for j in range(3)}
             assert set(np.flatnonzero(marked[a:b]).tolist()) == expected
+
+
+def test_blocks_are_cut_by_rows_too():
+    """A hundred thousand empty rows are no single block."""
+    column = pa.array([None, ""] * 50_000)
+    sizes = [(block.first, block.rows) for block in blocks(column, 500_000, 512)]
+    assert sum(rows for _, rows in sizes) == 100_000 and max(rows for _, rows in sizes) == 512
+    assert [first for first, _ in sizes] == list(range(0, 100_000, 512))
+
+
+def test_dense_counts_of_many_empty_rows_take_little_room():
+    """Ten thousand empty or short texts, as a task meets them."""
+    from tidemark.llm import language_id, quality_knn
+
+    column = pa.array(["", None, "a b c d e f g"] * 3333)
+    tracemalloc.start()
+    language_id_batches = language_id._frequency_pass(iter([pa.RecordBatch.from_arrays([column], ["text"])]))
+    quality_batches = quality_knn._count_pass(iter([pa.RecordBatch.from_arrays([column], ["text"])]))
+    assert all(len(list(batches)) == 1 for batches in (language_id_batches, quality_batches))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300_000_000

@@ -23,7 +23,8 @@ LONGEST = 3
 #: The prediction for a text without a letter.
 UNDETERMINED = "und"
 
-_BLOCK = 500_000
+#: Bytes and rows whose dense counts are held at once.
+_BLOCK, _ROWS = 500_000, 512
 _SEEDS = mixed(np.arange(1, LONGEST + 1, dtype=np.uint64))
 
 
@@ -127,7 +128,7 @@ def _frequency_pass(batches):
     """How many texts hold each n-gram, per batch; feature -1 counts the texts."""
     for batch in batches:
         counts = np.zeros(FEATURES + 1, dtype=np.int64)
-        for block in blocks(batch.column(0), _BLOCK):
+        for block in blocks(batch.column(0), _BLOCK, _ROWS):
             counts[1:] += (gram_counts(block) > 0).sum(axis=0)
             counts[0] += block.rows
         at = np.flatnonzero(counts)
@@ -137,9 +138,12 @@ def _frequency_pass(batches):
 def _sample_pass(batches):
     """``(id, lang, text)`` -> ``(id, lang, features, counts)`` of the n-grams that occur."""
     for batch in batches:
-        rows = [row for block in blocks(batch.column(2), _BLOCK) for row in gram_counts(block)]
-        at = [np.flatnonzero(row) for row in rows]
-        columns = pa.array(at, pa.list_(pa.int64())), pa.array([row[a] for row, a in zip(rows, at, strict=True)], pa.list_(pa.int64()))
+        at, counts = [], []
+        for block in blocks(batch.column(2), _BLOCK, _ROWS):
+            for row in gram_counts(block):
+                at.append(np.flatnonzero(row))
+                counts.append(row[at[-1]])
+        columns = pa.array(at, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "lang", "features", "counts"])
 
 
@@ -149,7 +153,7 @@ def fit_languages(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", te
     One row in five of the sample is held back for the temperature. None without a row to learn from.
     """
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), may_learn.alias("may"))
-    counted = plain.select("text").mapInArrow(_frequency_pass, "feature int, c long").groupBy("feature").agg(F.sum("c").alias("c")).toArrow()
+    counted = plain.where("may").select("text").mapInArrow(_frequency_pass, "feature int, c long").groupBy("feature").agg(F.sum("c").alias("c")).toArrow()
     frequency = np.zeros(FEATURES + 1)
     frequency[counted["feature"].to_numpy() + 1] = counted["c"].to_numpy()
     idf = np.log((1 + frequency[0]) / (1 + frequency[1:])) + 1
@@ -180,7 +184,7 @@ def _predict_pass(model):
     def run(batches):
         for batch in batches:
             found, scores = [], []
-            for block in blocks(batch.column(1), _BLOCK):
+            for block in blocks(batch.column(1), _BLOCK, _ROWS):
                 lettered = has_letter(block)
                 if model.value is None:
                     lettered[:] = False

@@ -68,15 +68,15 @@ def term_shares(block: Block) -> np.ndarray:
     return shares
 
 
-#: Bytes of text whose dense shares are held at once.
-_BLOCK = 500_000
+#: Bytes and rows of text whose dense shares are held at once.
+_BLOCK, _ROWS = 500_000, 512
 
 
 def _count_pass(batches):
     """How many texts hold each term, per batch; term -1 counts the texts."""
     for batch in batches:
         counts = np.zeros(TERMS + 1, dtype=np.int64)
-        for block in blocks(batch.column(0), _BLOCK):
+        for block in blocks(batch.column(0), _BLOCK, _ROWS):
             counts[1:] += (term_shares(block) > 0).sum(axis=0)
             counts[0] += block.rows
         at = np.flatnonzero(counts)
@@ -86,7 +86,7 @@ def _count_pass(batches):
 def _share_pass(batches):
     """``(text, label)`` -> the shares of the terms as raw floats, and the label."""
     for batch in batches:
-        rows = [row.tobytes() for block in blocks(batch.column(0), _BLOCK) for row in term_shares(block)]
+        rows = [row.tobytes() for block in blocks(batch.column(0), _BLOCK, _ROWS) for row in term_shares(block)]
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1)], ["shares", "label"])
 
 
@@ -151,7 +151,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, di
 def _score_pass(model):
     def run(batches):
         for batch in batches:
-            scores = [model.value.scores(model.value.latent(term_shares(block))) for block in blocks(batch.column(1), _BLOCK)]
+            scores = [model.value.scores(model.value.latent(term_shares(block))) for block in blocks(batch.column(1), _BLOCK, _ROWS)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([*scores, np.zeros(0)]))], ["doc", "score"])
 
     return run

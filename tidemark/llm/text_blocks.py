@@ -66,8 +66,8 @@ class Words:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
-def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[Block]:
-    """Cut a string column into blocks of about ``size`` bytes; a null counts as an empty text."""
+def blocks(column: pa.Array, size: int = BLOCK_BYTES, rows: int | None = None) -> Iterator[Block]:
+    """Cut a string column into blocks of about ``size`` bytes, and ``rows`` rows at most; a null counts as an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -79,6 +79,7 @@ def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[Block]:
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(at, at[first] + size, side="right")) - 1)
+        last = last if rows is None else min(last, first + rows)
         yield Block(first, flat[at[first] : at[last]], at[first : last + 1] - at[first])
         first = last
 
