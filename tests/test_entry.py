@@ -17,7 +17,7 @@ COVERED = [
     "keyed_publish", "latency_quantiles", "latency_bucket_p95", "log_severity", "log_correlation", "log_tail",
     "log_retention", "log_numbered", "log_files", "user_documents", "order_documents", "payment_struct",
     "merge_orders_again", "merge_items_again", "merge_payments_again", "merge_inventory_again", "replay_onto_tables",
-    "balance_refusals", "email_chain", "parse_odd_messages", "dlq_read_entries", "dlq_latest", "dlq_new_since",
+    "balance_refusals", "email_chain", "parse_odd_messages", "dlq_read_entries", "dlq_latest", "dlq_new_since", "rate_gauge", "latency_sketch_quantiles",
 ]
 
 

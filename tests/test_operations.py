@@ -179,3 +179,36 @@ def test_slices_tell_equal_times_apart(spark):
     sizes = in_slices(rows, ["at", "id"], rows_per_slice=10).groupBy("slice").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).orderBy("slice").collect()
     assert len(sizes) >= 15 and max(r["n"] for r in sizes) <= 30
     assert all(x["b"] < y["a"] for x, y in zip(sizes, sizes[1:]))
+
+
+def test_gauge_keeps_its_value_over_silent_ticks(spark):
+    start = dt.datetime(2025, 1, 1)
+    ticks = [("a", 0, 5), ("a", 1, 7), ("a", 9000, 1), ("b", 3, 2), ("b", 9002, 4)]
+    rows = spark.createDataFrame([(t, start + dt.timedelta(seconds=s), n) for t, s, n in ticks], "event_type string, tick timestamp, events bigint")
+    for rows_per_slice in (2, 1_000_000):
+        found = M.gauge(rows, "1 second", rows_per_slice).collect()
+        got = {(r["event_type"], (r["tick"] - start).seconds): (r["events"], r["silent"]) for r in found}
+        assert len(got) == len(found) == 9003 + 9000
+        assert got["a", 0] == (5, False) and got["a", 1] == (7, False) and got["a", 8999] == (7, True) and got["a", 9000] == (1, False)
+        assert got["a", 9002] == (1, True) and got["b", 3] == (2, False) and got["b", 9001] == (2, True) and ("b", 2) not in got
+
+
+def test_rates_of_a_stream_wait_for_the_watermark(spark, tmp_path):
+    """Each tick comes once; a row older than the watermark is dropped."""
+    start, schema = dt.datetime(2025, 1, 1), "ts timestamp, event_type string, status string"
+    batches = [[(0, "success"), (0, "success"), (1, "error"), (2, "success")], [(1, "success"), (30, "success")], [(2, "success"), (31, "success"), (60, "success")], [(90, "success")]]
+    for i, batch in enumerate(batches):
+        rows = [(start + dt.timedelta(seconds=s), "a", status) for s, status in batch]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        query = M.rates_of_stream(stream, "5 seconds").writeStream.format("parquet").outputMode("append").option("checkpointLocation", str(tmp_path / "ck"))
+        query.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination(300)
+    found = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(((r["tick"] - start).seconds, r["events"]) for r in found) == [(0, 2), (1, 1), (2, 1), (30, 1), (31, 1), (60, 1)]
+
+
+def test_sketches_of_ticks_merge(spark):
+    durations = spark.range(20_000).selectExpr("timestamp_seconds(id) AS ts", "'op' AS operation", "double(id % 1000) AS duration_seconds")
+    sketches = M.latency_sketches(durations, ["operation"], "10 minutes")
+    found = M.sketched_quantiles(sketches, ["operation"], {"p50": 0.5, "p99": 0.99}).first()
+    assert found["observations"] == 20_000 and abs(found["p50"] - 500) < 20 and abs(found["p99"] - 990) < 20

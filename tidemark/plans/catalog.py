@@ -29,6 +29,8 @@ from tidemark.streaming.tables import EntityTables
 _PROCESSED_AT = datetime(2025, 1, 1)
 _PLAIN_TIMES = ("created_at", "updated_at", "placed_at", "settled_at", "first_time", "last_time", "time", "tick")
 QUANTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+#: By how much of all durations a quantile from sketches may be off.
+_RANK_ERROR = 0.02
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -416,6 +418,22 @@ def current_rate(spark: SparkSession, sf: str) -> DataFrame:
     return X.current_rate(X.processed_per_tick(V.outcomes(spark, sf)))
 
 
+def rate_gauge(spark: SparkSession, sf: str) -> DataFrame:
+    """The gauge at every minute; silent minutes keep the value before them."""
+    return _plain(X.gauge(X.processed_per_tick(V.outcomes(spark, sf), "1 minute"), "1 minute"))
+
+
+def latency_sketch_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles merged from sketches of every hour, judged by the share of durations below and up to them."""
+    durations = V.durations(spark, sf)
+    found = X.sketched_quantiles(staged(X.latency_sketches(durations, ["operation"], "1 hour")), ["operation"], QUANTILES)
+    value = F.col("duration_seconds").cast("double")
+    judged = durations.join(staged(found), "operation").groupBy("operation", "observations")
+    shares = [a for q in QUANTILES for a in (F.avg((value < F.col(q)).cast("int")).alias(f"{q}_low"), F.avg((value <= F.col(q)).cast("int")).alias(f"{q}_high"))]
+    near = [(F.lit(p) >= F.col(f"{q}_low") - _RANK_ERROR) & (F.lit(p) <= F.col(f"{q}_high") + _RANK_ERROR) for q, p in QUANTILES.items()]
+    return judged.agg(*shares).select("operation", "observations", *[n.alias(f"{q}_near") for q, n in zip(QUANTILES, near, strict=True)])
+
+
 def latency_histogram(spark: SparkSession, sf: str) -> DataFrame:
     found = X.latency_histogram(V.durations(spark, sf), ["operation"])
     return found.withColumn("total_seconds", F.col("total_seconds").cast("double"))
@@ -502,7 +520,8 @@ QUERIES = {
         latency_quantiles, latency_bucket_p95, latency_mean, log_severity, log_severity_short, log_correlation,
         log_correlated_lines, log_tail, log_retention, log_numbered, log_files, user_documents, order_documents,
         payment_struct, merge_orders_again, merge_items_again, merge_payments_again, merge_inventory_again,
-        replay_onto_tables, balance_refusals, email_chain, parse_odd_messages, dlq_read_entries,
+        replay_onto_tables, balance_refusals, email_chain, parse_odd_messages, dlq_read_entries, rate_gauge,
+        latency_sketch_quantiles,
     )
 }
 

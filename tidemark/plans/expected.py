@@ -272,6 +272,12 @@ EXPECTED = {
     "events_per_hour": _ticks("hour"),
     "current_rate": f"""WITH ticks AS ({_ticks("second")}) SELECT event_type, arg_max(events, tick) AS events,
         max(tick) AS tick FROM ticks GROUP BY 1""",
+    "rate_gauge": f"""WITH ticks AS ({_ticks("minute")}),
+        every_tick AS (SELECT event_type, unnest(generate_series(min(tick), (SELECT max(tick) FROM ticks), INTERVAL 1 MINUTE)) AS tick FROM ticks GROUP BY 1)
+        SELECT e.event_type, e.tick, t.events, t.tick < e.tick AS silent
+        FROM every_tick e ASOF JOIN ticks t ON e.event_type = t.event_type AND e.tick >= t.tick""",
+    "latency_sketch_quantiles": f"""WITH {_DURATIONS} SELECT operation, count(*) AS observations, true AS p50_near, true AS p95_near,
+        true AS p99_near FROM dur GROUP BY 1""",
     "latency_histogram": f"WITH {_DURATIONS} {_histogram('operation')}",
     "latency_by_stage": f"WITH {_DURATIONS} {_histogram('stage')}",
     "latency_quantiles": f"""WITH {_DURATIONS} SELECT operation,
