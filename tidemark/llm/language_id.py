@@ -1,6 +1,6 @@
 """Language identification by sparse multinomial logistic regression on TF-IDF character n-grams.
 
-N-grams of one to three characters are hashed; document frequencies count all documents. The weights are
+N-grams of one to three characters are hashed; document frequencies count all documents that may be learned from. The weights are
 trained on a bounded sample by follow-the-regularised-leader with elastic-net penalties, which leaves most of them
 at exactly zero, and a temperature fitted on held-back rows of the sample calibrates the probabilities.
 """
