@@ -19,7 +19,7 @@ def at(days):
 def tables(spark):
     users = [(f"u{i}", f"u{i}@x", ["Ann", "Bo  ", "Cleo"][i], "Lee", at(i), at(0)) for i in range(3)]
     orders = [(f"o{i}", "u0", Decimal("1.25") * (i + 1), "USD", at(i // 2), at(0)) for i in range(7)]
-    orders.append(("z", "u1", Decimal("9999999.99"), "USD", at(9), at(0)))
+    orders.append(("z", "u1", Decimal("99999999.99"), "USD", at(9), at(0)))
     items = [("o0", 0, "A", 1, Decimal("1.00")), ("o0", 1, "B", 2, Decimal("2.00"))]
     payments = [
         ("p1", "o0", Decimal("1.25"), "USD", "card", "completed", at(1), at(0)),
@@ -34,7 +34,7 @@ def tables(spark):
 def test_user_with_orders(tables):
     found = {r["user_id"]: r for r in Q.user_with_orders(tables["users"], tables["orders"]).collect()}
     assert [o["order_id"] for o in found["u0"]["orders"]] == ["o6", "o4", "o5", "o2", "o3"]
-    assert found["u1"]["orders"][0]["total_amount"] == 9999999.99
+    assert found["u1"]["orders"][0]["total_amount"] == 99999999.99
     assert found["u2"]["orders"] == []
     assert Q.user_with_orders(tables["users"], tables["orders"], ["nobody"]).count() == 0
     assert [r["user_id"] for r in Q.user_with_orders(tables["users"], tables["orders"], ["u1"]).collect()] == ["u1"]
@@ -86,7 +86,7 @@ def test_reports(tables):
     assert {r["user_id"]: r["order_count"] for r in R.orders_per_user(tables["users"], tables["orders"]).collect()} == {
         "u0": 7, "u1": 1, "u2": 0}
     assert R.name_length_stats(tables["users"]).first() == (2, 4)
-    assert R.largest_amount(tables["orders"]).first()[0] == Decimal("9999999.99")
+    assert R.largest_amount(tables["orders"]).first()[0] == Decimal("99999999.99")
     assert R.balance_range(tables["inventory"]).first() == (-50, 50)
     assert [r["name_length"] for r in R.longest_names(tables["users"]).collect()] == [4, 3, 2]
     assert R.recent_full_names(tables["users"], 1).first()["name"] == "Cleo Lee"
