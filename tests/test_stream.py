@@ -233,6 +233,26 @@ def test_refused_redeliveries_are_settled_in_one_replay(spark):
     assert found.suppressed.count() == len(moves) - len(accepted) - len(refused)
 
 
+def test_a_half_known_topic_moves_stock_once(spark, tmp_path):
+    """A new checkpoint reads a topic from its start; what the tables took before is left out, a gap raises."""
+    tables = EntityTables(spark, str(tmp_path / "t"), buckets=2)
+    messages = [stock("s", 1, eventId=f"e{i}") for i in range(6)]
+    rows = topic_rows(messages)
+    for _ in range(2):
+        apply_batch(tables, spark.createDataFrame(rows[:4], S.TOPIC), 0, NOW, skip_known=True)
+    assert tables.read("inventory").first()["quantity"] == 4 and tables.offsets == {"events/0": 4} and tables.batches == {}
+    spark.createDataFrame(rows, S.TOPIC).coalesce(1).write.parquet(str(tmp_path / "topic"))
+    stream = stream_topic_files(spark, str(tmp_path / "topic"))
+    start_ingest(stream, tables, str(tmp_path / "ck"), available_now=True, skip_known=True).awaitTermination(600)
+    reopened = EntityTables(spark, str(tmp_path / "t"), buckets=2)
+    assert reopened.read("inventory").first()["quantity"] == 6 and reopened.offsets == {"events/0": 6} and len(reopened.batches) == 1
+    with pytest.raises(ValueError, match="missing in events/0"):
+        apply_batch(reopened, spark.createDataFrame(topic_rows(messages, 20), S.TOPIC), 0, NOW, skip_known=True)
+    other = [(*r[:3], 1, *r[4:]) for r in topic_rows(messages[:2], 90)]
+    apply_batch(reopened, spark.createDataFrame(other, S.TOPIC), 0, NOW, skip_known=True)
+    assert reopened.read("inventory").first()["quantity"] == 8 and reopened.offsets == {"events/0": 6, "events/1": 92}
+
+
 def test_buckets_are_fixed(spark, tmp_path):
     apply_batch(EntityTables(spark, str(tmp_path / "t"), buckets=3), spark.createDataFrame(topic_rows([user("u")]), S.TOPIC), 0, NOW)
     with pytest.raises(ValueError, match="3 buckets"):

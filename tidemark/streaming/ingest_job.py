@@ -43,16 +43,19 @@ def apply_batch(
     now: datetime | None = None,
     dedupe_event_id: bool = False,
     source: str | None = None,
+    skip_known: bool = False,
 ) -> bool:
     """Apply one batch of topic rows; returns false when this batch of the source was committed before.
 
     ``source`` names a run of numbered batches. Without a name the batch stands for itself and is always applied.
+    The offsets after the batch are noted for each partition; with ``skip_known`` messages before those noted are left out, whatever
+    source they came from, and offsets missing in between are an error.
     Tables, dead letters and counters of a batch become visible together with its commit.
     """
-    if source is None:
-        source, batch_id = f"single-{uuid.uuid4().hex}", 0
-    if tables.applied(source, batch_id):
+    if source is not None and tables.applied(source, batch_id):
         return False
+    if skip_known:
+        log = tables.unseen(log)
     version = tables.version + 1
     now = now or datetime.now(timezone.utc)
     work = f"{tables.root}/work"
@@ -101,7 +104,9 @@ def apply_batch(
         counted = outcome.outcomes().groupBy(tick, "event_type", "status").agg(F.count(F.lit(1)).alias("events"))
         tables.append("outcomes", counted, version)
         done("report")
-        tables.commit(version, source, batch_id, touched, stages)
+        place = F.concat_ws("/", "topic", "partition").alias("name")
+        taken = {r["name"]: r["after"] for r in log.groupBy(place).agg((F.max("offset") + 1).alias("after")).collect()}
+        tables.commit(version, source, batch_id, touched, stages, taken)
     return True
 
 
@@ -122,17 +127,19 @@ def start_ingest(
     available_now: bool = False,
     interval: str = "1 second",
     dedupe_event_id: bool = False,
+    skip_known: bool = False,
 ) -> StreamingQuery:
     """Run the ingest over a streaming topic source.
 
     A failed batch is retried by Structured Streaming with the same number and the same messages; nothing
     is dropped and nothing is applied twice. A new checkpoint is a new source: its batches are applied to what the
-    tables hold, whatever numbers they have, so a topic can be read again from its start.
+    tables hold, whatever numbers they have, so a topic can be read again from its start; with ``skip_known`` only what the
+    tables have not taken yet is applied, and the topic may be read from any offset they know.
     """
     source = _source_id(tables.spark, checkpoint)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(tables, batch.select(*S.TOPIC.names), batch_id, dedupe_event_id=dedupe_event_id, source=source)
+        apply_batch(tables, batch.select(*S.TOPIC.names), batch_id, dedupe_event_id=dedupe_event_id, source=source, skip_known=skip_known)
 
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (

@@ -35,7 +35,8 @@ _SCHEMAS = {
 _KEYS = {**S.TABLE_KEYS, **{name: value for name, (_, value) in INDEXES.items()}, STOCK_IDS: "event_id"}
 
 #: ``bucket``: current version of a bucket of table ``name``; ``buckets``: their count; ``source``: last batch of source
-#: ``name``; ``stage``: microseconds that stage ``name`` of the committed batch took.
+#: ``name``; ``stage``: microseconds that stage ``name`` of the committed batch took; ``offset``: the
+#: offset after the last one taken from topic and partition ``name``.
 _COMMIT_SCHEMA = "kind STRING, name STRING, bucket INT, number BIGINT"
 _DEFAULT_BUCKETS = 64
 
@@ -49,7 +50,7 @@ class EntityTables:
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark, self.root = spark, root.rstrip("/")
-        self.version, self.batches, self._current, stored = self._load()
+        self.version, self.batches, self._current, self.offsets, stored = self._load()
         if stored and buckets not in (None, stored):
             raise ValueError(f"the tables under {root} have {stored} buckets, not {buckets}")
         self.buckets = stored or buckets or _DEFAULT_BUCKETS
@@ -60,16 +61,17 @@ class EntityTables:
         except AnalysisException:
             return None
 
-    def _load(self) -> tuple[int, dict[str, int], dict[tuple[str, int], int], int]:
-        """The newest commit: a row per bucket and source, so its size does not depend on the rows."""
+    def _load(self) -> tuple[int, dict[str, int], dict[tuple[str, int], int], dict[str, int], int]:
+        """The newest commit: a row per bucket, source and partition, so its size does not depend on the rows."""
         commits = self._commits()
         newest = commits.agg(F.max("version")).first()[0] if commits is not None else None
         if newest is None:
-            return -1, {}, {}, 0
+            return -1, {}, {}, {}, 0
         rows = commits.filter(F.col("version") == newest).collect()
         batches = {r["name"]: r["number"] for r in rows if r["kind"] == "source"}
         current = {(r["name"], r["bucket"]): r["number"] for r in rows if r["kind"] == "bucket"}
-        return newest, batches, current, next(r["number"] for r in rows if r["kind"] == "buckets")
+        offsets = {r["name"]: r["number"] for r in rows if r["kind"] == "offset"}
+        return newest, batches, current, offsets, next(r["number"] for r in rows if r["kind"] == "buckets")
 
     def applied(self, source: str, batch_id: int) -> bool:
         """Whether this batch of the source is in the tables; a batch beyond the next one is an error."""
@@ -78,6 +80,18 @@ class EntityTables:
             raise ValueError(f"batch {batch_id} of source {source} follows batch {last} here: batches in between are missing")
         return batch_id <= last
 
+    def unseen(self, log: DataFrame) -> DataFrame:
+        """The rows of a log beyond the offsets that were taken from its partitions before; a gap after those is an error."""
+        place = F.concat_ws("/", "topic", "partition")
+        first = {r["name"]: r["first"] for r in log.groupBy(place.alias("name")).agg(F.min("offset").alias("first")).collect()}
+        known = {name: after for name, after in self.offsets.items() if name in first}
+        missing = sorted(name for name, after in known.items() if first[name] > after)
+        if missing:
+            raise ValueError(f"offsets between what the tables hold and this batch are missing in {', '.join(missing)}")
+        for name, after in known.items():
+            log = log.filter((place != name) | (F.col("offset") >= after))
+        return log
+
     def bucket_of(self, key: str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
@@ -138,8 +152,16 @@ class EntityTables:
             .parquet(f"{self.root}/{table}/version={version}")
         )
 
-    def commit(self, version: int, source: str, batch_id: int, touched: dict[str, list[int]], stages: dict[str, float] | None = None) -> None:
-        """Make ``version`` current, all tables at once, and note the batch it came from."""
+    def commit(
+        self,
+        version: int,
+        source: str | None,
+        batch_id: int,
+        touched: dict[str, list[int]],
+        stages: dict[str, float] | None = None,
+        taken: dict[str, int] | None = None,
+    ) -> None:
+        """Make ``version`` current, all tables at once, and note the batch it came from and the offsets after it."""
         current = dict(self._current)
         for table, buckets in touched.items():
             written = self._written(table, version) if buckets else set()
@@ -148,14 +170,16 @@ class EntityTables:
                     current[(table, bucket)] = version
                 else:
                     current.pop((table, bucket), None)
-        batches = {**self.batches, source: batch_id}
+        batches = {**self.batches, source: batch_id} if source else self.batches
+        offsets = {**self.offsets, **{name: max(after, self.offsets.get(name, 0)) for name, after in (taken or {}).items()}}
         rows = [("buckets", None, None, self.buckets)]
         rows += [("bucket", t, b, v) for (t, b), v in sorted(current.items())]
         rows += [("source", s, None, b) for s, b in sorted(batches.items())]
+        rows += [("offset", name, None, after) for name, after in sorted(offsets.items())]
         rows += [("stage", name, None, round(1e6 * seconds)) for name, seconds in (stages or {}).items()]
         commit = self.spark.createDataFrame(rows, _COMMIT_SCHEMA).coalesce(1)
         commit.write.mode("overwrite").parquet(f"{self.root}/commits/version={version}")
-        self.version, self.batches, self._current = version, batches, current
+        self.version, self.batches, self._current, self.offsets = version, batches, current, offsets
 
     def stage_latencies(self) -> DataFrame:
         """``(version, stage, seconds)`` of every committed batch."""
