@@ -119,7 +119,7 @@ def _judged(claims: DataFrame) -> DataFrame:
 
 def _followed(judged: DataFrame) -> DataFrame:
     """``judged`` with the outcomes of claims that point to settled ones, by doubling the pointers."""
-    pointers = staged(judged.filter("like IS NOT NULL").select("seq", "like"))
+    pointers = judged.filter("like IS NOT NULL").select("seq", "like")
     if pointers.isEmpty():
         return judged.drop("like")
     while True:
@@ -130,7 +130,7 @@ def _followed(judged: DataFrame) -> DataFrame:
         pointers = pointers.drop("on")
     ends = judged.filter("gen = 1 AND found IS NOT NULL").select(F.col("seq").alias("like"), F.col("found").alias("_found"))
     known = pointers.join(ends, "like").select("seq", "_found")
-    return judged.drop("like").join(known, "seq", "left").withColumn("found", F.coalesce("found", "_found")).drop("_found")
+    return staged(judged.drop("like").join(known, "seq", "left").withColumn("found", F.coalesce("found", "_found")).drop("_found"))
 
 
 def _still_needed(claims: DataFrame) -> DataFrame:
@@ -165,7 +165,9 @@ def refused_claims(
     while open_claims := state.filter("ok IS NULL").count():
         if on_round:
             on_round(open_claims)
-        judged = staged(_followed(staged(_judged(state))).drop("ok").withColumnRenamed("found", "ok"))
+        judged = _followed(staged(_judged(state))).drop("ok").withColumnRenamed("found", "ok")
         refused.append(judged.filter("NOT ok").select("seq"))
+        if judged.filter("ok IS NULL").isEmpty():
+            break
         state = staged(_still_needed(judged.filter("ok IS NULL OR ok")))
     return reduce(DataFrame.unionByName, refused) if refused else claims.select("seq").limit(0)
