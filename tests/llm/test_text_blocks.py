@@ -79,3 +79,23 @@ def test_dense_counts_of_many_empty_rows_take_little_room():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 300_000_000
+
+
+def test_sequences_of_thue_and_morse_have_hashes_of_their_own():
+    bits = np.array([bin(i).count("1") & 1 for i in range(4096)], dtype=np.uint8)
+    for n in (1024, 2048, 4096):
+        data = np.concatenate([bits[:n] + 97, 98 - bits[:n]])
+        starts = np.array([0, n])
+        for pair in (0, 1):
+            a, b = range_hashes(data, starts, starts + n, pair)
+            assert a != b
+
+
+def test_hashes_do_not_depend_on_the_place_or_the_length_of_the_text():
+    rng = np.random.default_rng(4)
+    word = rng.integers(0, 256, 300).astype(np.uint8)
+    found = set()
+    for before, after in ((0, 0), (17, 5), (1_500_000, 900_000)):
+        data = np.concatenate([rng.integers(0, 256, before).astype(np.uint8), word, rng.integers(0, 256, after).astype(np.uint8)])
+        found.add(int(range_hashes(data, np.array([before]), np.array([before + 300]))[0]))
+    assert len(found) == 1

@@ -14,11 +14,12 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a single longer text forms a block of its own.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_BASE = 0xD6E8FEB86659FD93  # odd, so that it has an inverse modulo 2^64
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_PRIME = (1 << 31) - 1
+#: Bases of the polynomials modulo ``_PRIME``; each pair makes one hash.
+_BASES = ((0x2545F491, 0x5851F42D), (0x14057B7E, 0x6C078965))
 
 
 def byte_class(excluded: bytes) -> np.ndarray:
@@ -111,29 +112,50 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Values below 2^64 as equal ones modulo ``_PRIME``, of little more than 31 bits."""
+    for _ in range(2):
+        x = (x & np.uint64(_PRIME)) + (x >> np.uint64(31))
+    return x
+
+
+def _powers_of(base: int, n: int) -> np.ndarray:
+    powers = np.ones(n, dtype=np.uint32)
+    m = 1
+    while m < n:
+        step = min(m, n - m)
+        powers[m : m + step] = _reduced(powers[:step] * np.uint64(pow(base, m, _PRIME)))
+        m += step
+    return powers
+
+
+_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
 
+def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse; tables for an unusually long text are not kept."""
+    if n > BLOCK_BYTES + 1:
+        return _powers_of(base, n), _powers_of(pow(base, -1, _PRIME), n)
+    if base not in _tables:
+        _tables[base] = _powers_of(base, BLOCK_BYTES + 1), _powers_of(pow(base, -1, _PRIME), BLOCK_BYTES + 1)
+    return _tables[base]
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        for i, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0], _powers[1]
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, pair: int = 0) -> np.ndarray:
+    """64-bit hashes of byte ranges; equal bytes give equal hashes wherever they stand.
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges; equal bytes give equal hashes wherever they stand."""
+    Each holds two polynomials modulo a prime, as those modulo a power of two have known collisions whatever the base.
+    Another ``pair`` of bases gives hashes that collide independently.
+    """
     if len(starts) == 0:
         return np.zeros(0, dtype=np.uint64)
-    powers, inverses = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
-    value = (sums[ends] - sums[starts]) * inverses[starts]
-    if len(_powers[0]) > 4 * BLOCK_BYTES:  # keep no tables of an unusually long text
-        _powers[0], _powers[1] = np.ones(1, np.uint64), np.ones(1, np.uint64)
+    value = np.zeros(len(starts), dtype=np.uint64)
+    for base in _BASES[pair]:
+        powers, inverses = _power_tables(base, len(data) + 1)
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(_reduced((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)]), out=sums[1:])
+        part = _reduced(_reduced(sums[ends] - sums[starts]) * inverses[starts])
+        value = (value << np.uint64(31)) | part % np.uint64(_PRIME)
     return mixed(value + (ends - starts).astype(np.uint64) * _ODD)
 
 
