@@ -249,6 +249,26 @@ def test_every_passage_of_fifty_one_words_is_found(spark):
     assert all(rows[i]["n_removed"] == 0 and rows[3000 + i]["text"] == f"l{i} r{i}" for i in range(3000))
 
 
+def test_whole_copies_and_copies_inside_one_text(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [rng.choice("bcdfg") + str(rng.randint(0, 99999)) for _ in range(n)]
+    a, b, c = fresh(70), fresh(120), fresh(9)
+    texts = [a, fresh(40), a, b + fresh(20) + a, a + b, b, a + a + a, c * 20, c * 20, fresh(30) + c * 20, b + fresh(15) + b, a, b + fresh(15) + b[:60]]
+    gone = check_passages(spark, [" ".join(t) for t in texts])
+    assert not any(gone[0] + gone[1] + gone[3][:120]) and all(gone[2] + gone[5] + gone[8])
+
+
+def test_equal_digests_modulo_a_power_of_two_remove_and_link_nothing(spark):
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    one, other = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    rng = random.Random(9)
+    tail = [f"w{rng.randint(0, 9999)}" for _ in range(60)]
+    texts = [" ".join([*tail[:30], one, *tail[30:]]), " ".join([*tail[:30], other, *tail[30:]])]
+    assert not any(map(any, check_passages(spark, texts)))
+    docs = spark.createDataFrame([(0, f"{one} x y"), (1, f"{other} x y")], "doc_id long, text string")
+    assert {(r["id"], r["component"]) for r in jaccard_components(docs, words=3).collect()} == {(0, 0), (1, 1)}
+
+
 def test_dedup_bears_rough_rows(rough, nothing):
     rows = dedup_substrings(rough, keep=rough.columns).collect()
     assert Counter(r["doc"].text for r in rows) == Counter(r[1] for r in awkward_rows())

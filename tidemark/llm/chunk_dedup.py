@@ -5,8 +5,9 @@ passages are cut alike wherever they stand, but for their ends, and chunks are s
 chunks are the seeds: every passage of ``min_words`` words holds one whole. Only where seeds repeat are the passages
 themselves compared, word by word, and removed everywhere but in their first document.
 
-Documents are read twice: to count the seeds, and to find the passages around seeds that occur more than once. In
-between only a map of fixed size goes to the tasks.
+Documents are read twice: to count the seeds, and to find the stretches around seeds that occur more than once. In
+between only a map of fixed size goes to the tasks. A stretch that an earlier document has as a whole goes as a whole;
+only the first of equal stretches is cut into its passages. What is equal is told by 128 bits of two independent hashes.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ REACH = 16
 #: So many words hold more bytes than the rolling hash covers, as no word is shorter than its byte and a separator.
 REACH_WORDS = REACH // 2
 
+#: The two digests of a passage, and those of a stretch.
+_DIGESTS, _WHOLE = ("digest", "check"), ("whole", "whole_check")
+
 _GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
@@ -116,6 +120,8 @@ def _run_pass(shared_map, min_words: int):
                 n = np.diff(np.append(heads, len(at)))
                 row = np.searchsorted(words.bounds, at[heads], side="right") - 1
                 fields = {"at": (at[heads] - words.bounds[row]).astype(np.int32), "n": n.astype(np.int32)}
+                start, end = words.starts[at[heads]], words.ends[at[heads] + n + min_words - 2]
+                fields |= {name: range_hashes(block.data, start, end, pair).view(np.int64) for pair, name in enumerate(_WHOLE)}
                 runs = pa.StructArray.from_arrays([pa.array(x) for x in fields.values()], list(fields))
                 offsets = np.append(0, np.cumsum(np.bincount(row, minlength=block.rows))).astype(np.int32)
                 part = batch.slice(block.first, block.rows)
@@ -125,8 +131,8 @@ def _run_pass(shared_map, min_words: int):
     return run
 
 
-def _passage_pass(min_words: int):
-    """``(digest, id, row, at)`` of each passage of the ``runs``."""
+def _passage_pass(shared_map, min_words: int):
+    """``(digest, check, id, row, at)`` of each passage of the ``runs`` whose ``key`` the map lets through."""
 
     def run(batches):
         for batch in batches:
@@ -134,30 +140,39 @@ def _passage_pass(min_words: int):
                 words = find_words(block, SPACED)
                 part = batch.slice(block.first, block.rows)
                 runs = part["runs"].flatten()
-                at, n = (runs.field(i).to_numpy() for i in (0, 1))
-                row = np.repeat(np.repeat(np.arange(block.rows), part["runs"].value_lengths().to_numpy()), n)
+                at, n, key = (runs.field(i).to_numpy() for i in range(3))
+                taken = passing(shared_map.value, key.view(np.uint64))
+                owner = np.repeat(np.arange(block.rows), part["runs"].value_lengths().to_numpy())
+                at, n, owner = at[taken], n[taken], owner[taken]
+                row = np.repeat(owner, n)
                 place = np.repeat(at, n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
                 begin = place + words.bounds[row]
-                digests = range_hashes(block.data, words.starts[begin], words.ends[begin + min_words - 1])
-                columns = [pa.array(digests.view(np.int64)), *(part[c].take(pa.array(row)) for c in ("id", "row")), pa.array(place, pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, ["digest", "id", "row", "at"])
+                start, end = words.starts[begin], words.ends[begin + min_words - 1]
+                digests = [pa.array(range_hashes(block.data, start, end, pair).view(np.int64)) for pair in range(len(_DIGESTS))]
+                columns = [*digests, *(part[c].take(pa.array(row)) for c in ("id", "row")), pa.array(place, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, [*_DIGESTS, "id", "row", "at"])
 
     return run
 
 
 def _cut_pass(min_words: int):
-    """``(doc, text, n_words, n_removed, spans, first_ids)``, the texts without the passages that begin ``at`` some words."""
+    """``(doc, text, n_words, n_removed, spans, first_ids)``, the texts without the passages that begin at the ``places``.
+
+    A place holds the first word and, in its lower 32 bits, how many passages begin there one after the other.
+    """
 
     def run(batches):
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         for batch in batches:
             texts, removed, spans = [], [], []
-            for text, begins in zip(batch["text"].to_pylist(), batch["at"].to_pylist(), strict=True):
+            for text, places in zip(batch["text"].to_pylist(), batch["places"], strict=True):
                 data, kept, end = (text or "").encode(), [], 0
                 removed.append(0)
                 spans.append([])
-                if begins:
-                    at = np.array(begins)
+                if len(places.values):
+                    place = places.values.to_numpy()
+                    begin, n = place >> 32, place & 0xFFFFFFFF
+                    at = np.unique(np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
                     starts = np.append(find_words(Block(0, np.frombuffer(data, np.uint8), np.array([0, len(data)])), SPACED).starts, len(data))
                     gaps = np.flatnonzero(at[1:] > at[:-1] + min_words)
                     heads, ends = at[np.append(0, gaps + 1)], at[np.append(gaps, len(at) - 1)] + min_words
@@ -180,25 +195,36 @@ def dedup_substrings(docs: DataFrame, keep: list[str], id_col: str = "doc_id", t
     ``text`` has lost every passage of ``min_words`` words or more that occurs, to the byte, before it, by id (null first),
     row and place without overlap, so everything removed stays somewhere. ``n_words`` and ``n_removed`` count words of
     the text as it was, ``spans`` are the byte ranges removed from its UTF-8 form, ``first_ids`` the ids of the documents
-    where the passages occur first. Null texts stay null; texts without repeats stay as they are to the byte.
+    where the passages occur first (of a stretch of passages that another document has as a whole, the first such one). Null texts stay null; texts without repeats stay as they are to the byte.
     """
     spark = docs.sparkSession
     digests = docs.select(text_col).mapInArrow(_seed_pass(min_words), "digest long").groupBy("digest").count()
     shared = spark.sparkContext.broadcast(hash_map(digests.where("count > 1"), "digest"))
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.struct(*keep).alias("doc"), F.col(text_col).alias("text"))
-    runs = T.ArrayType(T.StructType.fromDDL("at int, n int"))
+    runs = T.ArrayType(T.StructType.fromDDL("at int, n int, whole long, whole_check long"))
     rows = staged(numbered.mapInArrow(_run_pass(shared, min_words), numbered.select("*").schema.add("n_words", "long").add("runs", runs)))
 
+    stretches = rows.where("size(runs) > 0").select("id", "row", F.inline("runs"))
+    first = stretches.groupBy(*_WHOLE).agg(F.min(F.struct("id", "row", "at")).alias("f"), F.count("*").alias("c"))
+    # equal stretches of one document may overlap, so all but those of other documents are compared passage by passage
+    again = stretches.join(first.where("c > 1"), list(_WHOLE))
+    compared = first.select("f.row", "f.at").union(again.where("row = f.row").select("row", "at"))
+    compared_map = spark.sparkContext.broadcast(hash_map(compared, F.xxhash64("row", "at")))
+    again = again.where("row <> f.row").selectExpr("row", "at", "n", "f.id AS first_id")
+
     # dealt once by digest, for the first of each and for the join with it, which therefore read the same rows and columns
-    inside = rows.where("size(runs) > 0").select("id", "row", "text", "runs")
-    passages = inside.mapInArrow(_passage_pass(min_words), "digest long, id long, row long, at int").where("digest IS NOT NULL AND row IS NOT NULL").repartition("digest")
-    winners = passages.groupBy("digest").agg(F.min(F.struct("id", "row", "at")).alias("w"), F.count("*").alias("c")).where("c > 1")
-    repeats = passages.join(winners.select("digest", "w"), "digest").where(f"NOT (id <=> w.id AND row = w.row AND at < w.at + {min_words})")
-    repeats = repeats.selectExpr("row", "at", "w.id AS first_id").repartition("row")
-    found = repeats.groupBy("row").agg(F.array_sort(F.collect_list("at")).alias("at"), F.array_sort(F.collect_set("first_id")).alias("first_ids"))
+    keyed = F.expr("transform(runs, r -> struct(r.at AS at, r.n AS n, xxhash64(row, r.at) AS key))").alias("runs")
+    inside = rows.where("size(runs) > 0").select("id", "row", "text", keyed)
+    passages = inside.mapInArrow(_passage_pass(compared_map, min_words), "digest long, check long, id long, row long, at int")
+    passages = passages.where("digest IS NOT NULL AND check IS NOT NULL AND row IS NOT NULL").repartition("digest")
+    winners = passages.groupBy(*_DIGESTS).agg(F.min(F.struct("id", "row", "at")).alias("w"), F.count("*").alias("c")).where("c > 1")
+    repeats = passages.join(winners.select(*_DIGESTS, "w"), list(_DIGESTS)).where(f"NOT (id <=> w.id AND row = w.row AND at < w.at + {min_words})")
+    places = repeats.selectExpr("row", "at", "1 AS n", "w.id AS first_id").union(again)
+    places = places.selectExpr("row", "shiftleft(cast(at AS long), 32) | n AS place", "first_id")
+    found = places.groupBy("row").agg(F.collect_list("place").alias("places"), F.array_sort(F.collect_set("first_id")).alias("first_ids"))
     columns = ["doc", "text", "n_words"]
     none = "0L AS n_removed", "cast(array() AS array<struct<start: long, stop: long>>) AS spans", "cast(array() AS array<long>) AS first_ids"
     untouched = rows.where("size(runs) = 0").selectExpr(*columns, *none)
     touched = rows.where("size(runs) > 0").select("row", *columns).join(found, "row", "left")
-    touched = touched.selectExpr(*columns, "coalesce(at, array()) AS at", "coalesce(first_ids, array()) AS first_ids")
+    touched = touched.selectExpr(*columns, "coalesce(places, array()) AS places", "coalesce(first_ids, array()) AS first_ids")
     return untouched.union(touched.mapInArrow(_cut_pass(min_words), untouched.schema))
