@@ -278,6 +278,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = docs.select("text").mapInArrow(_bucket_pass(words, num, den), "bucket long").groupBy("bucket").count().where("count > 1")
     shared_map = spark.sparkContext.broadcast(hash_map(shared, "bucket"))
     nodes = staged(docs.mapInArrow(_node_pass(words, num, den, shared_map), "id long, node long, n long, buckets array<long>"))
+    shared_map.unpersist()
 
     classes = nodes.where("size(buckets) > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.first("buckets").alias("buckets"))
     members = staged(classes.select("node", "rep", "n", F.explode("buckets").alias("bucket")))
@@ -289,9 +290,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     chosen = members.select(F.expr("node ^ coalesce(rep, 0)").alias("h")).distinct()
     chosen_map = spark.sparkContext.broadcast(hash_map(chosen, "h"))
     elements = staged(docs.mapInArrow(_element_pass(words, chosen_map), "node long, elements array<long>"))
+    chosen_map.unpersist()
     common = elements.select(F.explode("elements").alias("e")).groupBy("e").count().where("count > 1")
     common_map = spark.sparkContext.broadcast(hash_map(common, "e"))
     elements = staged(elements.mapInArrow(_alone_pass(common_map, num, den), "node long, elements array<long>, n long, alone long"))
+    common_map.unpersist()
     alone = elements.select("node", "n", "alone").distinct()
     part = F.expr(f"transform(sequence(0, {PARTS - 1}), p -> struct(p as part, filter(elements, e -> shiftrightunsigned(e, 61) = p) as segment))")
     parts = staged(elements.select("node", F.inline(part)).dropDuplicates(["node", "part"]))
@@ -324,13 +327,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return linked.unionByName(labelled.where("n = 0").withColumn("component", F.col("id"))).select("id", "n", "component", "node", "root")
 
 
-def _split_pass(words: int, special_map, inside: bool):
-    """``(doc, id, text)`` -> ``(doc, k, node)`` of the rows that the map of special rows lets through, or of the others."""
+def _split_pass(words: int, special_map, inside: bool, text_at: int):
+    """``(doc, id)`` -> ``(doc, k, node)`` of the rows that the map of special rows lets through, or of the others."""
 
     def run(batches):
         for batch in batches:
             ids, known = batch.column(1).fill_null(0).to_numpy(), batch.column(1).is_valid().to_numpy(zero_copy_only=False)
-            for first, sets in _text_sets(batch.column(2), words):
+            for first, sets in _text_sets(batch.column(0).field(text_at), words):
                 keys = np.array([_set_key(x) for x in sets], dtype=np.int64)
                 at = slice(first, first + len(sets))
                 k = np.where(known[at], ids[at], keys)
@@ -356,9 +359,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     special = staged(each.where("goes OR c > 1").select("k", "node", "goes"))
     special_map = docs.sparkSession.sparkContext.broadcast(hash_map(special, F.expr("node ^ k")))
 
-    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("id"))
+    text_at = [c.lower() for c in docs.columns].index(text_col.lower())
     schema = rows.select("doc").schema.add("k", "long").add("node", "long")
-    others = rows.mapInArrow(_split_pass(words, special_map, False), schema).select("doc.*")
-    told = rows.mapInArrow(_split_pass(words, special_map, True), schema).join(special, ["k", "node"], "left")
+    others = rows.mapInArrow(_split_pass(words, special_map, False, text_at), schema).select("doc.*")
+    told = rows.mapInArrow(_split_pass(words, special_map, True, text_at), schema).join(special, ["k", "node"], "left")
     once = told.where("NOT goes").dropDuplicates(["k", "node"])
     return others.union(told.where("goes IS NULL").select("doc.*")).union(once.select("doc.*"))
