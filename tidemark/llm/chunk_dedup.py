@@ -6,8 +6,8 @@ chunks are the seeds: every passage of ``min_words`` words holds one whole. Only
 themselves compared, word by word, and removed everywhere but in their first document.
 
 Documents are read twice: to count the seeds, and to find the stretches around seeds that occur more than once. In
-between only a map of fixed size goes to the tasks. A stretch that an earlier document has as a whole goes as a whole;
-only the first of equal stretches is cut into its passages. What is equal is told by 128 bits of two independent hashes.
+between only a map of fixed size goes to the tasks. These stretches are cut by the hash as well, and one that an earlier
+document has goes as a whole; only the first of equal stretches is taken apart into its passages. What is equal is told by 128 bits of two independent hashes.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.hash_map import hash_map, passing
-from tidemark.llm.text_blocks import SPACED, Block, Words, blocks, find_words, mixed, range_hashes
+from tidemark.llm.text_blocks import SPACED, Block, RangeHashes, Words, blocks, find_words, mixed
 from tidemark.session import staged
 
 #: Bytes that the rolling hash covers.
@@ -27,6 +27,9 @@ REACH = 16
 #: So many words hold more bytes than the rolling hash covers, as no word is shorter than its byte and a separator.
 REACH_WORDS = REACH // 2
 
+#: Neighbouring words of which one begins a stretch.
+STRETCH = 32
+
 #: The two digests of a passage, and those of a stretch.
 _DIGESTS, _WHOLE = ("digest", "check"), ("whole", "whole_check")
 
@@ -71,7 +74,7 @@ def first_words(block: Block, words: Words, near: int) -> np.ndarray:
     return np.unique(n - (least & np.uint64(0xFFFFFFFF)).astype(np.int64))
 
 
-def seeds(block: Block, words: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def seeds(block: Block, words: Words, hashes: RangeHashes, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of neighbouring chunks: their first words, the word after their last, and digests; none spans two rows."""
     near, least = _bounds(min_words)
     first = first_words(block, words, near)
@@ -81,7 +84,7 @@ def seeds(block: Block, words: Words, min_words: int) -> tuple[np.ndarray, np.nd
     row = np.searchsorted(words.bounds, first, side="right")
     inside = after <= words.bounds[row]
     first, after = first[inside], after[inside]
-    return first, after, range_hashes(block.data, words.starts[first], words.ends[after - 1])
+    return first, after, hashes(words.starts[first], words.ends[after - 1])
 
 
 def _count_inside(marked: np.ndarray, first: np.ndarray, after: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -95,33 +98,38 @@ def _seed_pass(min_words: int):
     def run(batches):
         for batch in batches:
             for block in blocks(batch.column(0)):
-                _, _, digests = seeds(block, find_words(block, SPACED), min_words)
+                _, _, digests = seeds(block, find_words(block, SPACED), RangeHashes(block.data), min_words)
                 yield pa.RecordBatch.from_arrays([pa.array(digests.view(np.int64))], ["digest"])
 
     return run
 
 
 def _run_pass(shared_map, min_words: int):
-    """``(row, id, doc, text)`` with ``n_words`` and where ``n`` passages from ``at`` on have only seeds that the map lets through."""
+    """``(row, id, doc, text)`` with ``n_words`` and the stretches of ``n`` passages from ``at`` on with only seeds that the map lets through.
+
+    A stretch ends where such passages end or another cut of the gear hash, coarser than that of the chunks, comes.
+    """
     near, _ = _bounds(min_words)
 
     def run(batches):
         for batch in batches:
             for block in blocks(batch["text"]):
-                words = find_words(block, SPACED)
-                first, after, digests = seeds(block, words, min_words)
+                words, hashes = find_words(block, SPACED), RangeHashes(block.data)
+                first, after, digests = seeds(block, words, hashes, min_words)
                 repeated = passing(shared_map.value, digests)
                 at = np.arange(max(len(words.starts) - min_words + 1, 0))
                 row = words.row_of_word()[: len(at)]
                 at = at[at + min_words <= words.bounds[row + 1]]
                 at = at[_count_inside(repeated, first, after, at, at + min_words) > 0]
                 at = at[_count_inside(~repeated, first, after, at + REACH_WORDS + near - 1, at + min_words - near) == 0]
-                heads = np.flatnonzero(np.append(True, at[1:] != at[:-1] + 1)[: len(at)])  # the words of a row's end begin no passage
+                cut = np.zeros(len(words.starts) + 1, dtype=bool)
+                cut[first_words(block, words, STRETCH)] = True
+                heads = np.flatnonzero(np.append(True, at[1:] != at[:-1] + 1)[: len(at)] | cut[at])  # the words of a row's end begin no passage
                 n = np.diff(np.append(heads, len(at)))
                 row = np.searchsorted(words.bounds, at[heads], side="right") - 1
                 fields = {"at": (at[heads] - words.bounds[row]).astype(np.int32), "n": n.astype(np.int32)}
                 start, end = words.starts[at[heads]], words.ends[at[heads] + n + min_words - 2]
-                fields |= {name: range_hashes(block.data, start, end, pair).view(np.int64) for pair, name in enumerate(_WHOLE)}
+                fields |= {name: hashes(start, end, pair).view(np.int64) for pair, name in enumerate(_WHOLE)}
                 runs = pa.StructArray.from_arrays([pa.array(x) for x in fields.values()], list(fields))
                 offsets = np.append(0, np.cumsum(np.bincount(row, minlength=block.rows))).astype(np.int32)
                 part = batch.slice(block.first, block.rows)
@@ -137,7 +145,7 @@ def _passage_pass(shared_map, min_words: int):
     def run(batches):
         for batch in batches:
             for block in blocks(batch["text"]):
-                words = find_words(block, SPACED)
+                words, hashes = find_words(block, SPACED), RangeHashes(block.data)
                 part = batch.slice(block.first, block.rows)
                 runs = part["runs"].flatten()
                 at, n, key = (runs.field(i).to_numpy() for i in range(3))
@@ -148,7 +156,7 @@ def _passage_pass(shared_map, min_words: int):
                 place = np.repeat(at, n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
                 begin = place + words.bounds[row]
                 start, end = words.starts[begin], words.ends[begin + min_words - 1]
-                digests = [pa.array(range_hashes(block.data, start, end, pair).view(np.int64)) for pair in range(len(_DIGESTS))]
+                digests = [pa.array(hashes(start, end, pair).view(np.int64)) for pair in range(len(_DIGESTS))]
                 columns = [*digests, *(part[c].take(pa.array(row)) for c in ("id", "row")), pa.array(place, pa.int32())]
                 yield pa.RecordBatch.from_arrays(columns, [*_DIGESTS, "id", "row", "at"])
 
@@ -212,11 +220,11 @@ def dedup_substrings(docs: DataFrame, keep: list[str], id_col: str = "doc_id", t
     compared_map = spark.sparkContext.broadcast(hash_map(compared, F.xxhash64("row", "at")))
     again = again.where("row <> f.row").selectExpr("row", "at", "n", "f.id AS first_id")
 
-    # dealt once by digest, for the first of each and for the join with it, which therefore read the same rows and columns
+    # dealt once by both digests, for the first of each and for the join with it, which therefore read the same rows and columns
     keyed = F.expr("transform(runs, r -> struct(r.at AS at, r.n AS n, xxhash64(row, r.at) AS key))").alias("runs")
     inside = rows.where("size(runs) > 0").select("id", "row", "text", keyed)
     passages = inside.mapInArrow(_passage_pass(compared_map, min_words), "digest long, check long, id long, row long, at int")
-    passages = passages.where("digest IS NOT NULL AND check IS NOT NULL AND row IS NOT NULL").repartition("digest")
+    passages = passages.where("digest IS NOT NULL AND check IS NOT NULL AND row IS NOT NULL").repartition(*_DIGESTS)
     winners = passages.groupBy(*_DIGESTS).agg(F.min(F.struct("id", "row", "at")).alias("w"), F.count("*").alias("c")).where("c > 1")
     repeats = passages.join(winners.select(*_DIGESTS, "w"), list(_DIGESTS)).where(f"NOT (id <=> w.id AND row = w.row AND at < w.at + {min_words})")
     places = repeats.selectExpr("row", "at", "1 AS n", "w.id AS first_id").union(again)

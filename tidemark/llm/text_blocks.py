@@ -141,22 +141,44 @@ def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _tables[base]
 
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, pair: int = 0) -> np.ndarray:
-    """64-bit hashes of byte ranges; equal bytes give equal hashes wherever they stand.
+#: Sums of so many products of a byte's value and a power stay below 2^64.
+_SHORT = 1 << 24
+
+
+class RangeHashes:
+    """64-bit hashes of byte ranges of ``data``; equal bytes give equal hashes wherever they stand.
 
     Each holds two polynomials modulo a prime, as those modulo a power of two have known collisions whatever the base.
     Another ``pair`` of bases gives hashes that collide independently.
     """
-    if len(starts) == 0:
-        return np.zeros(0, dtype=np.uint64)
-    value = np.zeros(len(starts), dtype=np.uint64)
-    for base in _BASES[pair]:
-        powers, inverses = _power_tables(base, len(data) + 1)
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_reduced((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)]), out=sums[1:])
-        part = _reduced(_reduced(sums[ends] - sums[starts]) * inverses[starts])
-        value = (value << np.uint64(31)) | part % np.uint64(_PRIME)
-    return mixed(value + (ends - starts).astype(np.uint64) * _ODD)
+
+    def __init__(self, data: np.ndarray):
+        self.data = data
+        self._sums: dict[int, np.ndarray] = {}
+
+    def _sums_of(self, base: int, powers: np.ndarray) -> np.ndarray:
+        if base not in self._sums:
+            terms = (self.data.astype(np.uint64) + np.uint64(1)) * powers[: len(self.data)]
+            sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
+            np.cumsum(terms if len(terms) < _SHORT else _reduced(terms), out=sums[1:])
+            self._sums[base] = sums
+        return self._sums[base]
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray, pair: int = 0) -> np.ndarray:
+        value = np.zeros(len(starts), dtype=np.uint64)
+        if len(starts) == 0:
+            return value
+        for base in _BASES[pair]:
+            powers, inverses = _power_tables(base, len(self.data) + 1)
+            sums = self._sums_of(base, powers)
+            part = _reduced(_reduced(sums[ends] - sums[starts]) * inverses[starts])
+            value = (value << np.uint64(31)) | part % np.uint64(_PRIME)
+        return mixed(value + (ends - starts).astype(np.uint64) * _ODD)
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, pair: int = 0) -> np.ndarray:
+    """``RangeHashes`` for one use."""
+    return RangeHashes(data)(starts, ends, pair)
 
 
 def sequence_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
