@@ -212,15 +212,15 @@ def dedup_substrings(docs: DataFrame, keep: list[str], id_col: str = "doc_id", t
     runs = T.ArrayType(T.StructType.fromDDL("at int, n int, whole long, whole_check long"))
     rows = staged(numbered.mapInArrow(_run_pass(shared, min_words), numbered.select("*").schema.add("n_words", "long").add("runs", runs)))
 
-    stretches = rows.where("size(runs) > 0").select("id", "row", F.inline("runs"))
-    first = stretches.groupBy(*_WHOLE).agg(F.min(F.struct("id", "row", "at")).alias("f"), F.count("*").alias("c"))
-    # equal stretches of one document may overlap, so all but those of other documents are compared passage by passage
-    again = stretches.join(first.where("c > 1"), list(_WHOLE))
-    compared = first.select("f.row", "f.at").union(again.where("row = f.row").select("row", "at"))
-    compared_map = spark.sparkContext.broadcast(hash_map(compared, F.xxhash64("row", "at")))
-    again = again.where("row <> f.row").selectExpr("row", "at", "n", "f.id AS first_id")
-
-    # dealt once by both digests, for the first of each and for the join with it, which therefore read the same rows and columns
+    # dealt once, for the first of each and for the join with it, which therefore read the same rows and columns
+    stretches = rows.where("size(runs) > 0").select("id", "row", F.inline("runs")).repartition(*_WHOLE)
+    first = stretches.groupBy(*_WHOLE).agg(F.min(F.struct("id", "row", "at")).alias("f"))
+    # equal stretches of one document may overlap, so only those of other documents go as a whole
+    told = staged(stretches.join(first, list(_WHOLE)).selectExpr("row", "at", "n", "f.id AS first_id", "row = f.row AS compared"))
+    compared_map = spark.sparkContext.broadcast(hash_map(told.where("compared"), F.xxhash64("row", "at")))
+    again = told.where("NOT compared").select("row", "at", "n", "first_id")
+
+    # the same with what is left, passage by passage
     keyed = F.expr("transform(runs, r -> struct(r.at AS at, r.n AS n, xxhash64(row, r.at) AS key))").alias("runs")
     inside = rows.where("size(runs) > 0").select("id", "row", "text", keyed)
     passages = inside.mapInArrow(_passage_pass(compared_map, min_words), "digest long, check long, id long, row long, at int")
