@@ -165,6 +165,30 @@ def test_one_refusal_replays_one_slice(spark):
     assert sum(replays) == 1 and len(replays) <= 2
 
 
+def moves_one_by_one(rows, opening=0):
+    balance, lost = {}, set()
+    for seq, sku, delta in rows:
+        after = balance.get(sku, opening) + delta
+        if -(2**31) <= after < 2**31:
+            balance[sku] = after
+        else:
+            lost.add(seq)
+    return lost
+
+
+@pytest.mark.parametrize("rows_per_slice, rounds", [(50, 0), (10, 4)])
+def test_many_skus_need_no_slices_of_their_rows(spark, rows_per_slice, rounds):
+    """Skus whose movements fit a slice are replayed at once; others have no more slices than their rows ask for."""
+    rng = random.Random(3)
+    rows = [(i, f"s{i % 40}", rng.randint(-3, 4) * 2**30) for i in range(1200)]
+    moves = spark.createDataFrame(rows, "seq bigint, sku string, delta bigint")
+    balances = spark.createDataFrame([], "sku string, quantity int")
+    replays = []
+    refused = refused_moves(moves, balances, rows_per_slice, on_round=replays.append)
+    assert {r["seq"] for r in refused.collect()} == moves_one_by_one(rows)
+    assert len(replays) <= rounds and sum(replays) <= rounds * 40
+
+
 def test_play_against_one_by_one():
     rng = random.Random(2)
     for _ in range(300):
