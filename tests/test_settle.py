@@ -266,6 +266,13 @@ def test_duplicate_suppression_is_opt_in(spark):
     assert once.merged(empty_tables(spark), NOW)["inventory"].first()["quantity"] == 6
 
 
+def test_only_refused_messages_keep_their_text(spark):
+    outcome = run(spark, [user("u"), order("o", "u"), order("p", "nobody"), stock("s", 1)])
+    accepted = [v.accepted.select("value") for v in (outcome.users, outcome.orders, outcome.stock)]
+    assert [r["value"] for df in accepted for r in df.collect()] == [None] * 3
+    assert "nobody" in outcome.orders.rejected.first()["value"]
+
+
 def test_outcomes(spark):
     messages = [user("u")] * 5 + ["{}", "garbage", user("v", f"u@example.com")]
     got = {(r["event_type"], r["status"]): r["count"] for r in run(spark, messages).outcomes()
