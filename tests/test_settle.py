@@ -10,7 +10,9 @@ from tests.sequential import Store
 from tidemark.operators.email_claims import refused_claims
 from tidemark.operators.merge import empty_tables
 from tidemark.operators.stock import play, refused_moves
+from tidemark.plans import ingest
 from tidemark.plans.ingest import settle
+from tidemark.session import staged
 
 NOW = dt.datetime(2025, 11, 1)
 
@@ -278,3 +280,37 @@ def test_outcomes(spark):
     got = {(r["event_type"], r["status"]): r["count"] for r in run(spark, messages).outcomes()
            .groupBy("event_type", "status").count().collect()}
     assert got == {("UserCreated", "success"): 5, ("UserCreated", "error"): 1, ("", "error"): 1}
+
+
+def test_settling_copies_only_what_it_reads(spark):
+    rows = log(spark, [user("u1"), stock("A", 5)]).withColumns({"key": F.lit("k"), "topic": F.lit("events"), "partition": F.lit(0), "offset": F.col("seq"), "timestamp": F.lit(NOW)})
+    found = settle(rows, empty_tables(spark))
+    assert not {"key", "topic", "timestamp", "event_time"} & set(found.parsed.columns)
+    assert {r["seq"] for r in found.outcomes().collect()} == {0, 1}
+
+
+def settled_stock(spark, messages, monkeypatch):
+    """The settlement, and whether the verdicts on the stock messages were written."""
+    written = []
+
+    def noted(df, path=None):
+        written.append("delta" in df.columns)
+        return staged(df, path)
+
+    monkeypatch.setattr(ingest, "staged", noted)
+    return run(spark, messages), any(written)
+
+
+def test_stock_verdicts_are_not_written_if_no_balance_is_refused(spark, monkeypatch):
+    found, written = settled_stock(spark, [stock("A", 5), stock("B" * 60, 1), stock("A", 2, "subtract"), stock("A", 5_000_000_000)], monkeypatch)
+    assert not written
+    assert causes(found) == {(1, "length"), (3, "numeric")}
+    assert {(r["seq"], r["delta"]) for r in found.stock.accepted.collect()} == {(0, 5), (2, -2)}
+    assert {r["value"] is not None for r in found.rejected().collect()} == {True}
+
+
+def test_stock_verdicts_with_refused_balances(spark, monkeypatch):
+    found, written = settled_stock(spark, [stock("A", 2_000_000_000), stock("A", 2_000_000_000), stock("A", 7)], monkeypatch)
+    assert written
+    assert causes(found) == {(1, "numeric")}
+    assert {r["seq"] for r in found.stock.accepted.collect()} == {0, 2}
