@@ -9,7 +9,7 @@ from tests.events import item, log, order, payment, stock, user
 from tests.sequential import Store
 from tidemark.operators.email_claims import refused_claims
 from tidemark.operators.merge import empty_tables
-from tidemark.operators.stock import play, refused_moves
+from tidemark.operators.stock import play, refused_moves, risky_skus
 from tidemark.plans import ingest
 from tidemark.plans.ingest import settle
 from tidemark.session import staged
@@ -314,3 +314,12 @@ def test_stock_verdicts_with_refused_balances(spark, monkeypatch):
     assert written
     assert causes(found) == {(1, "numeric")}
     assert {r["seq"] for r in found.stock.accepted.collect()} == {0, 2}
+
+
+def test_movements_are_read_once_for_the_risky_skus(spark, tmp_path):
+    path = str(tmp_path / "moves")
+    spark.createDataFrame([(0, "A", 2**31), (1, "B", 1), (2, "B", None)], "seq bigint, sku string, delta bigint").write.parquet(path)
+    balances = spark.createDataFrame([("A", -5), ("C", 7)], "sku string, quantity int")
+    found = risky_skus(spark.read.parquet(path), balances)
+    assert not [f for f in found.inputFiles() if path in f]
+    assert [tuple(r) for r in found.collect()] == [("A", -5, 1)]
