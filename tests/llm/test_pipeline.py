@@ -1,13 +1,15 @@
 """The pipeline, stage by stage, against brute-force versions."""
 
+import os
 import re
 
 import pytest
 
 import corpus_pipeline
 from tests.llm.test_operators import WORD, brute_components
+from tidemark.llm.jaccard_join import one_of_each
 from tidemark.llm.queries import QUERIES
-from tidemark.session import staged
+from tidemark.session import shared_folder, staged
 
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -83,3 +85,34 @@ def test_mix_takes_whole_documents(results):
 
 def test_run_is_the_stages_in_order(spark, sf_dir, results):
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(map(tuple, results[-1].collect()))
+
+
+def own_documents(spark):
+    shared = " ".join(f"w{i}" for i in range(60))
+    texts = [f"{shared} first end", f"{shared} first end", f"begin {shared} " + " ".join(f"x{i}" for i in range(200)), "short text", None]
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_stages_remove_the_tables_of_those_before(spark):
+    folder = f"{shared_folder(spark)}/pipeline-{spark.sparkContext.applicationId}"
+    left = []
+    docs = own_documents(spark)
+    for stage in (corpus_pipeline.one_of_each_group, corpus_pipeline.without_repeats, corpus_pipeline.mixed_sources):
+        docs = staged(stage(spark, docs, ""))
+        left.append(set(os.listdir(folder.removeprefix("file:"))))
+    assert [len(x) for x in left] == [1, 1, 1] and len(set.union(*left)) == 3
+    assert sorted(r["doc_id"] for r in docs.collect()) == [0, 2, 3, 4]
+
+
+def test_a_stage_keeps_tables_that_its_documents_still_read(spark):
+    rows = corpus_pipeline.one_of_each_group(spark, own_documents(spark), "")
+    found = corpus_pipeline.without_repeats(spark, rows, "")
+    assert sorted(r["doc_id"] for r in found.collect()) == [0, 2, 3, 4]
+
+
+def test_a_join_leaves_no_tables_but_its_result(spark):
+    before = set(os.listdir(shared_folder(spark).removeprefix("file:")))
+    rows = one_of_each(own_documents(spark))
+    left = set(os.listdir(shared_folder(spark).removeprefix("file:"))) - before
+    assert len(left) == 2 and not any(x.startswith("passing") for x in left)
+    assert sorted(r["doc_id"] for r in rows.collect()) == [0, 2, 3, 4]

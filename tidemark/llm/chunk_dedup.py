@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.hash_map import hash_map, passing
 from tidemark.llm.text_blocks import SPACED, Block, RangeHashes, Words, blocks, find_words, mixed
-from tidemark.session import staged
+from tidemark.session import free_shuffles, staged
 
 #: Bytes that the rolling hash covers.
 REACH = 16
@@ -211,6 +211,8 @@ def dedup_substrings(docs: DataFrame, keep: list[str], id_col: str = "doc_id", t
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.struct(*keep).alias("doc"), F.col(text_col).alias("text"))
     runs = T.ArrayType(T.StructType.fromDDL("at int, n int, whole long, whole_check long"))
     rows = staged(numbered.mapInArrow(_run_pass(shared, min_words), numbered.select("*").schema.add("n_words", "long").add("runs", runs)))
+    shared.unpersist()
+    free_shuffles(spark)
 
     # dealt once, for the first of each and for the join with it, which therefore read the same rows and columns
     stretches = rows.where("size(runs) > 0").select("id", "row", F.inline("runs")).repartition(*_WHOLE)
@@ -218,6 +220,7 @@ def dedup_substrings(docs: DataFrame, keep: list[str], id_col: str = "doc_id", t
     # equal stretches of one document may overlap, so only those of other documents go as a whole
     told = staged(stretches.join(first, list(_WHOLE)).selectExpr("row", "at", "n", "f.id AS first_id", "row = f.row AS compared"))
     compared_map = spark.sparkContext.broadcast(hash_map(told.where("compared"), F.xxhash64("row", "at")))
+    free_shuffles(spark)
     again = told.where("NOT compared").select("row", "at", "n", "first_id")
 
     # the same with what is left, passage by passage

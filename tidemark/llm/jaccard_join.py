@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import components
 from tidemark.llm.hash_map import hash_map, passing
 from tidemark.llm.text_blocks import SPACED, blocks, find_words, mixed, range_hashes, sequence_hashes
-from tidemark.session import staged
+from tidemark.session import free_shuffles, passing_tables, place, staged
 
 #: Fragments in which a pair's overlap is counted.
 PARTS = 4
@@ -263,27 +263,14 @@ def _verified(pairs: DataFrame, parts: DataFrame, num: int, den: int) -> DataFra
     return summed.where(f"{den} * overlap >= {num} * (na + nb - overlap)").select("a", "b")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``(id, n, component, node, root)`` of every row: its set's size, and the smallest id linked with it.
-
-    A set holds the distinct ``words``-word shingles of the text with A-Z lower-cased, or the whole sequence of a
-    shorter text; two texts link when ``den * intersection >= num * union``. A null or wordless text has an
-    empty set and links with nothing; its component is its own id. Equal sets are linked; rows with null ids are
-    linked as others are, and a component of null ids only has a null number. Repeated ids are rows of their own.
-    Columns other than the two named are not read. ``node`` is a digest of the set, ``root`` the smallest node of its
-    component.
-    """
+def _roots(docs: DataFrame, nodes: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """``(node, root)`` of the sets that are linked with another one; ``nodes`` say in which buckets links may be found."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    shared = docs.select("text").mapInArrow(_bucket_pass(words, num, den), "bucket long").groupBy("bucket").count().where("count > 1")
-    shared_map = spark.sparkContext.broadcast(hash_map(shared, "bucket"))
-    nodes = staged(docs.mapInArrow(_node_pass(words, num, den, shared_map), "id long, node long, n long, buckets array<long>"))
-    shared_map.unpersist()
-
     classes = nodes.where("size(buckets) > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.first("buckets").alias("buckets"))
     members = staged(classes.select("node", "rep", "n", F.explode("buckets").alias("bucket")))
     met = members.groupBy("bucket").count().where("count > 1").select("bucket")
     members = staged(members.join(met, "bucket"))
+    free_shuffles(spark)
 
     # The elements of the sets that meet another one, and how many of them no other such set has. A row may stand for
     # its set twice if its id does; that only makes elements look less alone.
@@ -299,6 +286,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     part = F.expr(f"transform(sequence(0, {PARTS - 1}), p -> struct(p as part, filter(elements, e -> shiftrightunsigned(e, 61) = p) as segment))")
     parts = staged(elements.select("node", F.inline(part)).dropDuplicates(["node", "part"]))
     members = staged(members.select("bucket", "node").join(alone, "node"))
+    free_shuffles(spark)
 
     # Every bucket against its member with the fewest elements of its own.
     heads = members.groupBy("bucket").agg(F.min(F.struct("alone", "node", "n")).alias("h")).select("bucket", "h.*")
@@ -306,6 +294,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pair = "least(x.node, {0}.node) as a", "greatest(x.node, {0}.node) as b", "if(x.node < {0}.node, x.n, {0}.n) as na", "if(x.node < {0}.node, {0}.n, x.n) as nb"
     pairs = stars.selectExpr(*(c.format("h") for c in pair)).distinct()
     links = staged(_verified(pairs, parts, num, den))
+    free_shuffles(spark)
     roots = staged(components(links))
 
     # Members of different components that still share a bucket.
@@ -319,7 +308,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     x, y = open_members.alias("x"), open_members.alias("y")
     late = x.join(y, F.expr(f"x.bucket = y.bucket and x.node < y.node and x.root <> y.root and {_can_link('x', 'y', num, den)} and {_sketches_agree('x', 'y', num, den)}"))
     late = _verified(late.selectExpr(*(c.format("y") for c in pair)).distinct(), parts, num, den)
-    roots = staged(components(links.union(late)))
+    return components(links.union(late))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``(id, n, component, node, root)`` of every row: its set's size, and the smallest id linked with it.
+
+    A set holds the distinct ``words``-word shingles of the text with A-Z lower-cased, or the whole sequence of a
+    shorter text; two texts link when ``den * intersection >= num * union``. A null or wordless text has an
+    empty set and links with nothing; its component is its own id. Equal sets are linked; rows with null ids are
+    linked as others are, and a component of null ids only has a null number. Repeated ids are rows of their own.
+    Columns other than the two named are not read. ``node`` is a digest of the set, ``root`` the smallest node of its
+    component.
+    """
+    spark = docs.sparkSession
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    shared = docs.select("text").mapInArrow(_bucket_pass(words, num, den), "bucket long").groupBy("bucket").count().where("count > 1")
+    shared_map = spark.sparkContext.broadcast(hash_map(shared, "bucket"))
+    nodes = staged(docs.mapInArrow(_node_pass(words, num, den, shared_map), "id long, node long, n long, buckets array<long>"))
+    shared_map.unpersist()
+    free_shuffles(spark)
+
+    # What leads from the sets to the roots of their components is as large as the sets and read by nothing later.
+    at = place(spark)
+    with passing_tables(spark):
+        roots = staged(_roots(docs, nodes, words, num, den), at)
 
     labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).select("id", "n", "node", "root")
     smallest = labelled.where("n > 0").groupBy("root").agg(F.min("id").alias("component"))
@@ -351,8 +364,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the group one stays, of equal rows one. Texts without words are linked with nothing and all stay. Only rows that
     go or occur twice, and few others that a map of fixed size can not tell from them, are shuffled.
     """
-    found = jaccard_components(docs, id_col, text_col, words, **threshold).where("n > 0")
-    found = staged(found.select(F.coalesce("id", "node").alias("k"), F.col("id").isNull().alias("none"), "node", "root"))
+    at = place(docs.sparkSession)
+    with passing_tables(docs.sparkSession):
+        found = jaccard_components(docs, id_col, text_col, words, **threshold).where("n > 0")
+        found = staged(found.select(F.coalesce("id", "node").alias("k"), F.col("id").isNull().alias("none"), "node", "root"), at)
     first = found.groupBy("root").agg(F.min(F.struct("none", "k", "node")).alias("f"))
     each = found.groupBy("k", "node", "root").agg(F.count("*").alias("c")).join(first, "root")
     each = each.select("k", "node", "c", (~F.col("f.k").eqNullSafe(F.col("k")) | (F.col("f.node") != F.col("node"))).alias("goes"))
