@@ -232,7 +232,9 @@ def dedup_substrings(docs: DataFrame, keep: list[str], id_col: str = "doc_id", t
     repeats = passages.join(winners.select(*_DIGESTS, "w"), list(_DIGESTS)).where(f"NOT (id <=> w.id AND row = w.row AND at < w.at + {min_words})")
     places = repeats.selectExpr("row", "at", "1 AS n", "w.id AS first_id").union(again)
     places = places.selectExpr("row", "shiftleft(cast(at AS long), 32) | n AS place", "first_id")
-    found = places.groupBy("row").agg(F.collect_list("place").alias("places"), F.array_sort(F.collect_set("first_id")).alias("first_ids"))
+    # written, so that the passages are gone before the texts are dealt
+    found = staged(places.groupBy("row").agg(F.collect_list("place").alias("places"), F.array_sort(F.collect_set("first_id")).alias("first_ids")))
+    free_shuffles(spark)
     columns = ["doc", "text", "n_words"]
     none = "0L AS n_removed", "cast(array() AS array<struct<start: long, stop: long>>) AS spans", "cast(array() AS array<long>) AS first_ids"
     untouched = rows.where("size(runs) = 0").selectExpr(*columns, *none)

@@ -190,7 +190,7 @@ def _sketch(elements: np.ndarray, bands: _Bands, band: int) -> np.ndarray:
     at = np.searchsorted(elements, _cut_points(k))
     sums = np.zeros(len(elements) + 1, dtype=np.uint64)
     np.cumsum(mixed(elements), out=sums[1:])
-    return (sums[at[1:]] - sums[at[:-1]]).astype(np.uint16).view(np.int16)
+    return (sums[at[1:]] - sums[at[:-1]]).astype(np.uint8).view(np.int8)
 
 
 def _element_pass(words: int, chosen_map):
@@ -235,7 +235,7 @@ def _sketch_pass(num: int, den: int):
             of = [bands.of(len(x)) or [0] for x in sets]
             own = [_sketch(x, bands, b[0]) for x, b in zip(sets, of, strict=True)]
             low = [_sketch(x, bands, b[1]) if len(b) > 1 else None for x, b in zip(sets, of, strict=True)]
-            columns = [pa.array([b[0] for b in of], pa.int32()), pa.array(own, pa.list_(pa.int16())), pa.array(low, pa.list_(pa.int16()))]
+            columns = [pa.array([b[0] for b in of], pa.int32()), pa.array(own, pa.list_(pa.int8())), pa.array(low, pa.list_(pa.int8()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["node", "band", "own", "low"])
 
     return run
@@ -263,38 +263,48 @@ def _verified(pairs: DataFrame, parts: DataFrame, num: int, den: int) -> DataFra
     return summed.where(f"{den} * overlap >= {num} * (na + nb - overlap)").select("a", "b")
 
 
+def _links(pairs: DataFrame, parts: DataFrame, num: int, den: int, at: str) -> DataFrame:
+    """The pairs that reach the threshold, written to ``at``; the buckets they come from are gone before their elements are dealt."""
+    spark = pairs.sparkSession
+    with passing_tables(spark):
+        pairs = staged(pairs)
+        free_shuffles(spark)
+        return staged(_verified(pairs, parts, num, den), at)
+
+
 def _roots(docs: DataFrame, nodes: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """``(node, root)`` of the sets that are linked with another one; ``nodes`` say in which buckets links may be found."""
     spark = docs.sparkSession
-    classes = nodes.where("size(buckets) > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.first("buckets").alias("buckets"))
-    members = staged(classes.select("node", "rep", "n", F.explode("buckets").alias("bucket")))
-    met = members.groupBy("bucket").count().where("count > 1").select("bucket")
-    members = staged(members.join(met, "bucket"))
-    free_shuffles(spark)
-
-    # The elements of the sets that meet another one, and how many of them no other such set has. A row may stand for
-    # its set twice if its id does; that only makes elements look less alone.
-    chosen = members.select(F.expr("node ^ coalesce(rep, 0)").alias("h")).distinct()
-    chosen_map = spark.sparkContext.broadcast(hash_map(chosen, "h"))
-    elements = staged(docs.mapInArrow(_element_pass(words, chosen_map), "node long, elements array<long>"))
-    chosen_map.unpersist()
-    common = elements.select(F.explode("elements").alias("e")).groupBy("e").count().where("count > 1")
-    common_map = spark.sparkContext.broadcast(hash_map(common, "e"))
-    elements = staged(elements.mapInArrow(_alone_pass(common_map, num, den), "node long, elements array<long>, n long, alone long"))
-    common_map.unpersist()
-    alone = elements.select("node", "n", "alone").distinct()
-    part = F.expr(f"transform(sequence(0, {PARTS - 1}), p -> struct(p as part, filter(elements, e -> shiftrightunsigned(e, 61) = p) as segment))")
-    parts = staged(elements.select("node", F.inline(part)).dropDuplicates(["node", "part"]))
-    members = staged(members.select("bucket", "node").join(alone, "node"))
-    free_shuffles(spark)
+    members_at, elements_at, parts_at, links_at, late_at = (place(spark) for _ in range(5))
+    with passing_tables(spark):
+        classes = nodes.where("size(buckets) > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.first("buckets").alias("buckets"))
+        members = staged(classes.select("node", "rep", "n", F.explode("buckets").alias("bucket")))
+        met = members.groupBy("bucket").count().where("count > 1").select("bucket")
+        members = staged(members.join(met, "bucket"))
+        free_shuffles(spark)
+
+        # The elements of the sets that meet another one, and how many of them no other such set has. A row may stand for
+        # its set twice if its id does; that only makes elements look less alone.
+        chosen = members.select(F.expr("node ^ coalesce(rep, 0)").alias("h")).distinct()
+        chosen_map = spark.sparkContext.broadcast(hash_map(chosen, "h"))
+        elements = staged(docs.mapInArrow(_element_pass(words, chosen_map), "node long, elements array<long>"))
+        chosen_map.unpersist()
+        common = elements.select(F.explode("elements").alias("e")).groupBy("e").count().where("count > 1")
+        common_map = spark.sparkContext.broadcast(hash_map(common, "e"))
+        free_shuffles(spark)
+        elements = staged(elements.mapInArrow(_alone_pass(common_map, num, den), "node long, elements array<long>, n long, alone long"), elements_at)
+        common_map.unpersist()
+        alone = elements.select("node", "n", "alone").distinct()
+        part = F.expr(f"transform(sequence(0, {PARTS - 1}), p -> struct(p as part, filter(elements, e -> shiftrightunsigned(e, 61) = p) as segment))")
+        parts = staged(elements.select("node", F.inline(part)).dropDuplicates(["node", "part"]), parts_at)
+        free_shuffles(spark)
+        members = staged(members.select("bucket", "node").join(alone, "node"), members_at)
 
     # Every bucket against its member with the fewest elements of its own.
     heads = members.groupBy("bucket").agg(F.min(F.struct("alone", "node", "n")).alias("h")).select("bucket", "h.*")
     stars = members.alias("x").join(heads.alias("h"), F.expr(f"x.bucket = h.bucket and x.node <> h.node and {_can_link('x', 'h', num, den)}"))
     pair = "least(x.node, {0}.node) as a", "greatest(x.node, {0}.node) as b", "if(x.node < {0}.node, x.n, {0}.n) as na", "if(x.node < {0}.node, {0}.n, x.n) as nb"
-    pairs = stars.selectExpr(*(c.format("h") for c in pair)).distinct()
-    links = staged(_verified(pairs, parts, num, den))
-    free_shuffles(spark)
+    links = _links(stars.selectExpr(*(c.format("h") for c in pair)).distinct(), parts, num, den, links_at)
     roots = staged(components(links))
 
     # Members of different components that still share a bucket.
@@ -302,12 +312,13 @@ def _roots(docs: DataFrame, nodes: DataFrame, words: int, num: int, den: int) ->
     mixed_buckets = told.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("n").alias("least_n")).where("r0 <> r1")
     open_members = told.join(mixed_buckets, "bucket").where(f"{num + den} * (n - alone) >= {num} * (n + least_n)")
     open_members = staged(open_members.select("bucket", "node", "n", "alone", "root"))
+    free_shuffles(spark)
     sketched = elements.select("node", "elements").join(open_members.select("node").distinct(), "node", "left_semi")
-    sketched = sketched.mapInArrow(_sketch_pass(num, den), "node long, band int, own array<short>, low array<short>").dropDuplicates(["node"])
+    sketched = sketched.mapInArrow(_sketch_pass(num, den), "node long, band int, own array<byte>, low array<byte>").dropDuplicates(["node"])
     open_members = open_members.join(sketched, "node")
     x, y = open_members.alias("x"), open_members.alias("y")
     late = x.join(y, F.expr(f"x.bucket = y.bucket and x.node < y.node and x.root <> y.root and {_can_link('x', 'y', num, den)} and {_sketches_agree('x', 'y', num, den)}"))
-    late = _verified(late.selectExpr(*(c.format("y") for c in pair)).distinct(), parts, num, den)
+    late = _links(late.selectExpr(*(c.format("y") for c in pair)).distinct(), parts, num, den, late_at)
     return components(links.union(late))
 
 
@@ -379,5 +390,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     schema = rows.select("doc").schema.add("k", "long").add("node", "long")
     others = rows.mapInArrow(_split_pass(words, special_map, False, text_at), schema).select("doc.*")
     told = rows.mapInArrow(_split_pass(words, special_map, True, text_at), schema).join(special, ["k", "node"], "left")
-    once = told.where("NOT goes").dropDuplicates(["k", "node"])
-    return others.union(told.where("goes IS NULL").select("doc.*")).union(once.select("doc.*"))
+    # rows that are not special only look so, and each of them stays; one pass tells both kinds
+    kept = told.where("goes IS NULL OR NOT goes").withColumn("each", F.when(F.col("goes").isNull(), F.monotonically_increasing_id()))
+    return others.union(kept.dropDuplicates(["k", "node", "each"]).select("doc.*"))
